@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from vitrine.session import stored
+
 # Up to this n Spark cuts every map task's rows to n per group before the
 # shuffle (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
 GROUP_LIMIT_MAX = 1000
-# Fan-in of one counting level: ids per block are 1024, blocks per parent 1024.
-_LEVEL_BITS = 10
-_LEVELS = 6
+# Page ids are counted in blocks of 1024, blocks in blocks of 1024, and so on;
+# six levels cover 60 of 64 bits, which leaves at most 16 blocks at the top.
+LEVEL_BITS = 10
+LEVELS = 6
 
 
-def first_per_group(df: DataFrame, n: int | None, group: str, page: str = "page_id", pos: str = "pos") -> DataFrame:
+def first_per_group(
+    df: DataFrame, n: int | None, group: str, page: str = "page_id", pos: str = "pos"
+) -> DataFrame:
     """First ``n`` rows of each group in ``(page, pos)`` order; 0 or None = all.
 
     Small n: a ranked filter, which Spark applies before the shuffle too.  Large
@@ -22,45 +27,41 @@ def first_per_group(df: DataFrame, n: int | None, group: str, page: str = "page_
         return df
     if n <= GROUP_LIMIT_MAX:
         order = W.partitionBy(group).orderBy(page, pos)
-        return df.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n).drop("_rank")
+        ranked = df.withColumn("_rank", F.row_number().over(order))
+        return ranked.filter(F.col("_rank") <= n).drop("_rank")
     return _first_by_blocks(df, n, group, page, pos)
 
 
 def _first_by_blocks(df, n, group, page, pos):
     """Rank = rows in earlier blocks + row number in the own block.
 
-    A block is 1024 consecutive page ids.  Block offsets come from running sums
-    inside the block's parent (1024 blocks), plus the parent's own offset from
-    the level above, and so on: every window sees at most 1024 counts, except the
-    top level, whose parent spans 2**60 ids.
+    A block's start is its parent's start plus the counts of its earlier
+    siblings, from the top level down, so a window sees at most 1024 counts.
+    Blocks starting at or beyond ``n`` are dropped on the way.  The input is
+    stored first: it is read for the counts and again for the rows.
     """
-    def block(level):
-        return F.shiftright(F.col(page), _LEVEL_BITS * level)
+    rows, _ = stored(df.withColumn("b1", F.shiftright(F.col(page), LEVEL_BITS)), "ranked-rows")
+    smallest, _ = stored(
+        rows.groupBy(group, "b1").agg(F.count(F.lit(1)).alias("size")), "block-sizes"
+    )
+    sizes = {1: smallest}
+    for level in range(2, LEVELS + 1):
+        up = F.shiftright(F.col("b1"), LEVEL_BITS * (level - 1))
+        sizes[level] = smallest.groupBy(group, up.alias(f"b{level}")).agg(F.sum("size").alias("size"))
+
+    starts = None
+    for level in range(LEVELS, 0, -1):
+        own, parent = f"b{level}", f"b{level + 1}"
+        if starts is None:
+            here = sizes[level].withColumn(parent, F.lit(0)).withColumn("start", F.lit(0))
+        else:
+            here = sizes[level].withColumn(parent, F.shiftright(own, LEVEL_BITS)).join(starts, [group, parent])
+        earlier = W.partitionBy(group, parent).orderBy(own).rowsBetween(W.unboundedPreceding, -1)
+        start = F.col("start") + F.coalesce(F.sum("size").over(earlier), F.lit(0))
+        starts = here.select(group, own, start.alias("start")).filter(F.col("start") < n)
 
-    counts = [
-        df.groupBy(group, block(1).alias("b1")).agg(F.count(F.lit(1)).alias("c"))
-    ]
-    for level in range(2, _LEVELS):
-        below = counts[-1]
-        counts.append(
-            below.groupBy(group, F.shiftright(f"b{level - 1}", _LEVEL_BITS).alias(f"b{level}"))
-            .agg(F.sum("c").alias("c"))
-        )
-    offsets = None
-    for level in range(_LEVELS - 1, 0, -1):
-        key = f"b{level}"
-        parent = f"b{level + 1}"
-        here = counts[level - 1].withColumn(parent, F.shiftright(key, _LEVEL_BITS))
-        before = W.partitionBy(group, parent).orderBy(key).rowsBetween(W.unboundedPreceding, -1)
-        here = here.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0)))
-        if offsets is not None:
-            above = offsets.select(group, F.col("start").alias("above"), parent)
-            here = here.join(above, [group, parent]).withColumn("before", F.col("before") + F.col("above"))
-        offsets = here.filter(F.col("before") < n).select(group, key, F.col("before").alias("start"))
-    ranked = df.withColumn("b1", block(1)).join(offsets, [group, "b1"])
-    own = W.partitionBy(group, "b1").orderBy(page, pos)
-    return (
-        ranked.withColumn("_rank", F.row_number().over(own) + F.col("start"))
-        .filter(F.col("_rank") <= n)
-        .select(*df.columns)
+    in_block = W.partitionBy(group, "b1").orderBy(page, pos)
+    ranked = rows.join(starts, [group, "b1"]).withColumn(
+        "_rank", F.col("start") + F.row_number().over(in_block)
     )
+    return ranked.filter(F.col("_rank") <= n).select(*df.columns)

@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from vitrine.functions import nodes as nd
 from vitrine.functions import text as tx
 from vitrine.functions import urls
-from vitrine.functions.sql import Sql, any_of, coalesce, first, first_of, lit
+from vitrine.functions.sql import coalesce, first_of, lit
 from vitrine.operators.links import ANCHORS, LINK_KEEP, page_links
 from vitrine.operators.products import RECORD, first_with_digit
 from vitrine.plans.rules import Rules
-from vitrine.sources.htmltree import Keep
 from vitrine.sources.parse import parse_pages
 
 # Default words and selectors of the reports.
@@ -72,15 +69,8 @@ def first_headings(pages: DataFrame, rules: Rules) -> DataFrame:
 
 
 # -- links ---------------------------------------------------------------------
-def keyword_links(
-    pages: DataFrame, base_url: str, keywords: Sequence[str] = LINK_KEYWORDS, samples: int = 5
-) -> DataFrame:
-    """Per page and keyword: number of links and the first few as samples.
-
-    All links of a page are in its own row, so counting needs no shuffle.  Rows:
-    ``page_id, keyword_ord, keyword, links, samples array<struct<text,url>>``;
-    keywords without a link give no row.
-    """
+def _keyword_reports(pages: DataFrame, base_url: str, keywords: Sequence[str], samples: int) -> DataFrame:
+    """One row per page with an array of per-keyword reports; no shuffle."""
     href = nd.attr("n", "href")
     shown = (
         f"named_struct('text', substring({tx.strip(nd.text_of('n'))}, 1, 50),"
@@ -93,23 +83,32 @@ def keyword_links(
             f"named_struct('keyword_ord', {order}, 'keyword', {lit(word)}, 'links', size({hits}),"
             f" 'samples', transform(slice({hits}, 1, {samples}), n -> {shown}))"
         )
-    return (
-        parse_pages(pages, LINK_KEEP)
-        .selectExpr("page_id", "url", f"inline(filter(array({', '.join(reports)}), r -> r.links > 0))")
+    return parse_pages(pages, LINK_KEEP).selectExpr(
+        "page_id", "url", f"filter(array({', '.join(reports)}), r -> r.links > 0) AS reports"
     )
 
 
-def first_item_links(report: DataFrame, n: int = 5) -> DataFrame:
-    """First ``n`` sample links of each page, keyword by keyword, repeats kept.
+def keyword_links(
+    pages: DataFrame, base_url: str, keywords: Sequence[str] = LINK_KEYWORDS, samples: int = 5
+) -> DataFrame:
+    """Per page and keyword: number of links and the first few as samples.
 
-    ``report`` comes from :func:`keyword_links`; at most one small row per
-    keyword and page is grouped.
+    Rows: ``page_id, url, keyword_ord, keyword, links, samples
+    array<struct<text,url>>``; keywords without a link give no row.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("keyword_ord", "samples")))
-    found = F.slice(F.flatten(F.transform(ordered, lambda r: r.getField("samples"))), 1, n)
+    return _keyword_reports(pages, base_url, keywords, samples).selectExpr(
+        "page_id", "url", "inline(reports)"
+    )
+
+
+def first_item_links(
+    pages: DataFrame, base_url: str, keywords: Sequence[str] = LINK_KEYWORDS, n: int = 5, samples: int = 5
+) -> DataFrame:
+    """First ``n`` of a page's keyword samples, keyword by keyword, repeats kept."""
+    found = f"slice(flatten(transform(reports, r -> r.samples)), 1, {n})"
     return (
-        report.groupBy("page_id").agg(found.alias("found"))
-        .select("page_id", F.posexplode("found").alias("pos", "link"))
+        _keyword_reports(pages, base_url, keywords, samples)
+        .selectExpr("page_id", f"posexplode({found}) AS (pos, link)")
         .select("page_id", "pos", "link.url", "link.text")
     )
 
@@ -157,7 +156,7 @@ def selector_profile(pages: DataFrame, sels: Sequence[nd.Sel] = CONTAINERS) -> D
     per_sel = []
     for sel in sels:
         hits = nd.find_all(sel)
-        example = f"transform(slice(hs, 1, 1), e -> named_struct('page_id', page_id, 'pre', e.pre, 'cls', e.cls))[0]"
+        example = "transform(slice(hs, 1, 1), e -> named_struct('page_id', page_id, 'pre', e.pre, 'cls', e.cls))[0]"
         per_sel.append(
             f"transform(array({hits}), hs -> named_struct('selector', {lit(sel.label)},"
             f" 'n', size(hs), 'example', if(size(hs) > 0, {example}, NULL)))[0]"
@@ -189,13 +188,14 @@ def image_report(
 
 
 def selector_first_hit(
-    pages: DataFrame, probe: Mapping[str, Sequence[nd.Sel]], non_empty: bool, cut: int = 100
+    pages: DataFrame, probe: Mapping[str, Sequence[nd.Sel]], non_empty: bool
 ) -> DataFrame:
     """Per page and field, the first selector that matches and what it holds.
 
     ``non_empty=False``: an element without text still wins.  ``non_empty=True``:
     it does not, and images fall back to ``data-src``.  Rows: ``page_id, url,
     field, selector_ord, selector, content``; fields without a hit give no row.
+    Texts of the first kind are cut to 100 characters, the others are whole.
     """
     fields = []
     for field, sels in probe.items():
@@ -207,13 +207,15 @@ def selector_first_hit(
                 content = f"coalesce({src}, {other})"
             else:
                 content = tx.strip(nd.text_of("e"))
+                if not non_empty:
+                    content = f"substring({content}, 1, 100)"
             value = first_of(nd.find_all(sel), "e", content)
             if non_empty:
                 value = tx.non_empty(value)
             tries.append(
                 f"transform(array({value}), v -> if(v IS NULL, NULL, named_struct("
                 f"'field', {lit(field)}, 'selector_ord', {order}, 'selector', {lit(sel.label)},"
-                f" 'content', substring(v, 1, {cut}))))[0]"
+                " 'content', v)))[0]"
             )
         fields.append(coalesce(tries))
     keep = nd.keep_for(*[s for sels in probe.values() for s in sels], attr_names=("src", "data-src"))

@@ -2,37 +2,52 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
+from vitrine.functions.urls import is_item_url
 from vitrine.operators.follow import follow_links
 from vitrine.operators.limits import first_per_group
 from vitrine.operators.links import category_links
 from vitrine.operators.products import COLUMNS, extract_products
 from vitrine.plans.rules import Rules
+from vitrine.session import stored
 from vitrine.sources.pages import usable_pages
 
+# URL lists up to this size (measured, not estimated) are sent to every task.
+BROADCAST_BYTES = 64 << 20
+
 
 def extract_category(
     pages: DataFrame, categories: DataFrame, rules: Rules, limit: int | None = 10, as_of=None
 ) -> DataFrame:
-    """Records of the items listed on the category pages: ``category`` + the record.
-
-    Links are cut to ``limit`` per category (0 or None = all) before any item
-    page is read.  Only linked pages are parsed, each once; the records are then
-    joined to the links, so an item in two categories appears twice.
+    """Records of the items listed on the category pages.
+
+    Columns: ``listed_in`` (category), ``listed_pos`` and the record.  Links are
+    cut to ``limit`` per category (0 or None = all) before any item page is
+    parsed.  The link table is stored, because it is small, read twice, and its
+    measured size decides how item pages are picked: a short list filters the
+    pages inside the scan stage; a long one would shuffle page sources, so then
+    every item page is extracted and only the finished records are shuffled.
+    An item in two categories appears twice.
     """
     usable = usable_pages(pages)
-    links = first_per_group(category_links(usable, categories, rules), limit, "category")
-    linked = usable.join(links.select("url").distinct(), "url", "left_semi")
-    records = extract_products(linked, rules, as_of=as_of)
-    return follow_links(links.select("category", "page_id", "pos", "url"), records).select(
-        "category", "pos", *COLUMNS
+    found = category_links(usable, categories, rules).select(
+        F.col("category").alias("listed_in"), "page_id", F.col("pos").alias("listed_pos"), "url"
+    )
+    links, size = stored(
+        first_per_group(found, limit, "listed_in", pos="listed_pos"),
+        "links", bytes=F.coalesce(F.sum(F.octet_length("url")), F.lit(0)),
     )
+    if size["bytes"] <= BROADCAST_BYTES:
+        items = usable.join(F.broadcast(links.select("url").distinct()), "url", "left_semi")
+    else:
+        items = usable.filter(is_item_url("url", rules.base_url))
+    records = extract_products(items, rules, as_of=as_of)
+    return follow_links(links, records).select("listed_in", "listed_pos", *COLUMNS)
 
 
 def union_runs(*runs: DataFrame) -> DataFrame:
     """Append runs; a bag, nothing is removed."""
-    out = runs[0]
-    for run in runs[1:]:
-        out = out.unionByName(run)
-    return out
+    return reduce(DataFrame.unionByName, runs)

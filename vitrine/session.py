@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # Settings the engine is tuned with.  They are plain Spark options: pass them to
 # your own builder, or use ``build_session`` for local runs.
@@ -58,3 +58,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+def stored(df: DataFrame, name: str, **totals: Column) -> tuple[DataFrame, dict]:
+    """Write an intermediate result that is read more than once, and read it back.
+
+    The table lies in the shared work folder, so a lost executor costs a task
+    retry and not a recomputation.  ``totals`` are aggregates measured during the
+    same write; ``rows`` is always among them.
+    """
+    path = work_folder(df.sparkSession, name)
+    seen = Observation()
+    measures = {"rows": F.count(F.lit(1)), **totals}
+    df.observe(seen, *[value.alias(key) for key, value in measures.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
