@@ -34,9 +34,9 @@ class Sel:
         tests = [f"{n}.tag = {lit(self.tag)}" if self.tag else f"{n}.kind = 'element'"]
         cls = f"{n}.cls"
         for token in self.classes:
-            tests.append(f"contains(concat(' ', {cls}, ' '), {lit(f' {token} ')})")
+            tests.append(f"contains({cls}, {lit(f' {token} ')})")
         if self.cls_exact is not None:
-            tests.append(f"{cls} = {lit(self.cls_exact)}")
+            tests.append(f"{cls} = {lit(f' {self.cls_exact} ')}")
         if self.cls_part is not None:
             tests.append(f"contains({cls}, {lit(self.cls_part)})")
         tests += [f"{attr(n, name)} = {lit(value)}" for name, value in self.attr_is]

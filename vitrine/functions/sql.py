@@ -28,6 +28,11 @@ def any_of(tests: Iterable[Sql]) -> Sql:
     return "(" + " OR ".join(tests) + ")"
 
 
+def let(var: str, value: Sql, body: Sql) -> Sql:
+    """``body`` with ``var`` bound to ``value``, which is computed once."""
+    return f"transform(array({value}), {var} -> {body})[0]"
+
+
 def first(array: Sql) -> Sql:
     """First array element, NULL for an empty or NULL array."""
     return f"get({array}, 0)"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from vitrine.functions import nodes as nd
-from vitrine.functions.sql import Sql, first, first_non_empty, lit
+from vitrine.functions.sql import Sql, first, first_non_empty, let, lit
 from vitrine.functions.text import non_empty, strip
 from vitrine.functions.urls import contains_any, full_size_image
 from vitrine.plans.rules import Rules
@@ -34,12 +34,13 @@ def keep(rules: Rules) -> Keep:
 
 def is_product_image(url: Sql, rules: Rules) -> Sql:
     """Deny words first, then the storage host and a product mark on it."""
-    low = f"lower({url})"
-    return (
-        f"(contains({low}, {lit(rules.image_host)})"
-        f" AND ({contains_any(low, rules.image_marks)} OR rlike({url}, {lit(rules.image_code)}))"
-        f" AND NOT {contains_any(low, rules.image_deny)})"
+    test = (
+        f"contains(low, {lit(rules.image_host)})"
+        f" AND ({contains_any('low', rules.image_marks)} OR rlike({url}, {lit(rules.image_code)}))"
+        f" AND NOT {contains_any('low', rules.image_deny)}"
     )
+    # bound to a variable, so the URL is lowered once and not per word
+    return let("low", f"lower({url})", test)
 
 
 # -- choosing a URL from one img element --------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitrine.functions import nodes as nd
 from vitrine.functions import text as tx
-from vitrine.functions.sql import Sql, any_of, coalesce, first_non_empty, first_of, first_value, lit
+from vitrine.functions.sql import Sql, any_of, coalesce, first_non_empty, first_of, first_value, let, lit
 from vitrine.operators import content, images
 from vitrine.plans.rules import Rules
 from vitrine.sources.htmltree import Keep
@@ -62,7 +62,7 @@ def first_existing(sels: Iterable[nd.Sel]) -> Sql:
 
 def first_with_digit(sels: Iterable[nd.Sel]) -> Sql:
     """Text of the first selector whose first element holds a digit."""
-    body = f"transform(array({nd.text_of('e')}), t -> if({tx.has_digit('t')}, t, NULL))[0]"
+    body = let("t", nd.text_of("e"), f"if({tx.has_digit('t')}, t, NULL)")
     return coalesce(first_of(nd.find_all(sel), "e", body) for sel in sels)
 
 
@@ -71,7 +71,7 @@ def link_trail(sels: Iterable[nd.Sel]) -> Sql:
     anchors = [nd.find_all(nd.tag("a").under(sel), "n", "_anchors") for sel in sels]
     texts = f"transform({first_non_empty(anchors)}, e -> {tx.clean_text(nd.text_of('e'))})"
     # a NULL stands for "no link at all": joining an empty list would give ''
-    return f"array_join(transform(array({texts}), ts -> if(size(ts) = 0, NULL, ts))[0], ' > ')"
+    return f"array_join({let('ts', texts, 'if(size(ts) = 0, NULL, ts)')}, ' > ')"
 
 
 # -- attribute table ---------------------------------------------------------
@@ -126,7 +126,7 @@ def brand(rules: Rules) -> Sql:
 
 # -- ratings and counts ------------------------------------------------------
 def _in_range(value: Sql) -> Sql:
-    return f"transform(array({value}), x -> if(x BETWEEN 0 AND 5, x, NULL))[0]"
+    return let("x", value, "if(x BETWEEN 0 AND 5, x, NULL)")
 
 
 def rating(rules: Rules, fixed_decimals: bool = False) -> Sql:

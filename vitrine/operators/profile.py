@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from vitrine.functions import nodes as nd
 from vitrine.functions import text as tx
 from vitrine.functions import urls
-from vitrine.functions.sql import coalesce, first_of, lit
+from vitrine.functions.sql import coalesce, first_of, let, lit
 from vitrine.operators.links import ANCHORS, LINK_KEEP, page_links
 from vitrine.operators.products import RECORD, first_with_digit
 from vitrine.plans.rules import Rules
@@ -156,11 +156,9 @@ def selector_profile(pages: DataFrame, sels: Sequence[nd.Sel] = CONTAINERS) -> D
     per_sel = []
     for sel in sels:
         hits = nd.find_all(sel)
-        example = "transform(slice(hs, 1, 1), e -> named_struct('page_id', page_id, 'pre', e.pre, 'cls', e.cls))[0]"
-        per_sel.append(
-            f"transform(array({hits}), hs -> named_struct('selector', {lit(sel.label)},"
-            f" 'n', size(hs), 'example', if(size(hs) > 0, {example}, NULL)))[0]"
-        )
+        example = first_of("hs", "e", "named_struct('page_id', page_id, 'pre', e.pre, 'cls', trim(e.cls))")
+        row = f"named_struct('selector', {lit(sel.label)}, 'n', size(hs), 'example', {example})"
+        per_sel.append(let("hs", hits, row))
     rows = parse_pages(pages, nd.keep_for(*sels), carry=("page_id",)).selectExpr(
         f"inline(array({', '.join(per_sel)}))"
     )
@@ -212,11 +210,11 @@ def selector_first_hit(
             value = first_of(nd.find_all(sel), "e", content)
             if non_empty:
                 value = tx.non_empty(value)
-            tries.append(
-                f"transform(array({value}), v -> if(v IS NULL, NULL, named_struct("
-                f"'field', {lit(field)}, 'selector_ord', {order}, 'selector', {lit(sel.label)},"
-                " 'content', v)))[0]"
+            hit = (
+                f"named_struct('field', {lit(field)}, 'selector_ord', {order},"
+                f" 'selector', {lit(sel.label)}, 'content', v)"
             )
+            tries.append(let("v", value, f"if(v IS NULL, NULL, {hit})"))
         fields.append(coalesce(tries))
     keep = nd.keep_for(*[s for sels in probe.values() for s in sels], attr_names=("src", "data-src"))
     return parse_pages(pages, keep).selectExpr(

@@ -7,7 +7,9 @@ those rows.  Two tricks keep the rows small:
 * a subtree is a range: descendants of ``e`` are the nodes with
   ``e.pre < pre <= e.last``;
 * the text (and the cleaned markup) of a subtree is a *slice* of one page-level
-  string, so nodes carry offsets, not copies.
+  string, so nodes carry offsets, not copies;
+* ``cls`` is the class list with a space on both sides, so one substring test
+  finds a whole class token.
 
 Tree rules are those of the lenient standard-library parser: nothing is
 repaired, an end tag closes the nearest open element of that name and is ignored
@@ -16,7 +18,9 @@ if there is none, void elements never stay open.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
+from html import unescape
 from html.parser import HTMLParser
 
 # Elements that never have content.
@@ -86,225 +90,332 @@ class PageTree:
     nodes: list = field(default_factory=list)
 
 
+# Plain tags, read with one match each.  Anything else in a page (comments,
+# declarations, odd attributes, broken tags) goes to the library's own methods.
+_NAME = r"[a-zA-Z][-.a-zA-Z0-9:_]*+"
+_ATTR_NAME = r"[a-zA-Z_:@][-.a-zA-Z0-9:_@]*+"
+_BARE = r"[^\s\"'<>=`/&]++(?=[\s>]|\Z)"
+_START = re.compile(
+    rf"""<({_NAME})((?:\s++{_ATTR_NAME}(?:=(?:"[^"]*+"|'[^']*+'|{_BARE}))?+)*+)\s*+(/?)>"""
+)
+_END = re.compile(rf"</({_NAME})\s*+>")
+_ATTR = re.compile(rf"""({_ATTR_NAME})(?:=(?:"([^"]*)"|'([^']*)'|({_BARE})))?""")
+_RAW_END = {tag: re.compile(rf"</\s*{tag}\s*>", re.I) for tag in ("script", "style")}
+_CACHE_MAX = 20000
+
+
 class TreeBuilder(HTMLParser):
     """Reusable builder; call :meth:`build` once per page."""
 
     def __init__(self, keep: Keep, markup_attrs=None, markup_skip=()):
+        super().__init__(convert_charrefs=True)
         self._keep = keep
         self._markup_attrs = None if markup_attrs is None else frozenset(markup_attrs)
         self._markup_skip = frozenset(markup_skip)
-        super().__init__(convert_charrefs=True)
-
-    # Line numbers are never used; skip counting them.
-    def updatepos(self, i, j):
-        return j
-
-    def build(self, html: str) -> PageTree:
-        self.reset()
-        self._next = 0
-        self._stack: list = []
-        self._open: dict = {}
-        self._out: list = []
-        self._late = False
-        self._buf: list = []
-        self._text: list = []
-        self._text_len = 0
-        self._markup: list = []
-        self._markup_len = 0
-        self._skip_depth = 0
-        self._containers: list = []
-        self._preserve = 0
-        self.feed(html)
-        self.close()
-        self._flush()
-        while self._stack:
-            self._pop()
-        out = self._out
-        if self._late:
-            out.sort(key=lambda row: row[PRE])
-        return PageTree("".join(self._text), "".join(self._markup), out)
+        self._marked = (
+            re.compile("|".join(map(re.escape, sorted(keep.strings)))).search
+            if keep.strings else None
+        )
+        self._wanted_cache: dict = {}
+        self._events: list = []
 
-    # -- parser callbacks ---------------------------------------------------
+    # The library's callbacks only note what they saw.
     def handle_starttag(self, tag, attrs):
-        self._open_element(tag, attrs)
-        if tag in VOID_TAGS:
-            self._pop()
+        self._events.append(("open", tag, attrs))
 
     def handle_startendtag(self, tag, attrs):
-        self._open_element(tag, attrs)
-        self._pop()
+        self._events.append(("single", tag, attrs))
 
     def handle_endtag(self, tag):
-        self._flush()
-        if self._open.get(tag):
-            while self._pop() != tag:
-                pass
+        self._events.append(("close", tag, None))
 
     def handle_data(self, data):
-        self._buf.append(data)
+        self._events.append(("text", data, None))
 
     def handle_comment(self, data):
-        self._flush()
-        self._string(data, "comment", "<!--" + data + "-->")
+        self._events.append(("comment", data, "<!--" + data + "-->"))
 
     def handle_decl(self, decl):
-        self._flush()
-        self._string(decl, "comment", "<!" + decl + ">")
+        self._events.append(("comment", decl, "<!" + decl + ">"))
 
     def handle_pi(self, data):
-        self._flush()
-        self._string(data, "comment", "<?" + data + ">")
+        self._events.append(("comment", data, "<?" + data + ">"))
 
     def unknown_decl(self, data):
-        self._flush()
         if data[:6].upper() == "CDATA[":
-            body = data[6:]
-            self._string(body, "text", "<![CDATA[" + body + "]]>")
+            self._events.append(("cdata", data[6:], "<![" + data + "]]>"))
+        else:
+            self._events.append(("comment", data, "<!" + data + ">"))
+
+    def updatepos(self, i, j):  # line numbers are never used
+        return j
+
+    def _odd(self, html, at):
+        """Read one construct the fast patterns do not cover; returns its end."""
+        follows = html[at + 1 : at + 2]
+        if follows.isalpha() and follows.isascii():
+            end = self.parse_starttag(at)
+        elif follows == "/":
+            end = self.parse_endtag(at)
+        elif follows == "?":
+            end = self.parse_pi(at)
+        elif follows == "!":
+            comment = html.startswith("<!--", at)
+            end = self.parse_comment(at) if comment else self.parse_html_declaration(at)
         else:
-            self._string(data, "comment", "<!" + data + ">")
-
-    # -- tree ---------------------------------------------------------------
-    def _open_element(self, tag, attrs):
-        self._flush()
-        pre = self._next
-        self._next = pre + 1
-        cls = None
-        for name, value in attrs:
-            if name == "class":
-                cls = " ".join(value.split()) if value else ""
-        stack = self._stack
-        row = [pre, pre, -1, "element", tag, cls, None, None,
-               self._text_len, 0, self._markup_len, 0, None, 0, False, None]
-        if stack:
-            parent = stack[-1]
-            row[PARENT] = parent[PRE]
-            parent[CHILDREN] += 1
-            parent[SOLE] = None
-        stack.append(row)
-        self._open[tag] = self._open.get(tag, 0) + 1
-        if tag in STRING_CONTAINERS:
-            row[OWN] = []
-            self._containers.append(row)
-        elif tag in PRESERVE_SPACE:
-            self._preserve += 1
-        if self._markup_attrs is not None:
-            if tag in self._markup_skip:
-                self._skip_depth += 1
-            elif not self._skip_depth:
-                self._put(self._start_markup(tag, attrs, cls))
-        names = self._keep.attr_names
-        row[ATTRS] = attrs if names is None else [a for a in attrs if a[0] in names]
-        if self._wanted(tag, cls, attrs):
-            row[KEPT] = True
-            self._out.append(row)
-
-    def _wanted(self, tag, cls, attrs):
+            end = at + 1
+            self.handle_data("<")
+        if end < 0:  # never closed: plain text up to the next bracket
+            end = html.find(">", at + 1) + 1
+            if not end:
+                end = html.find("<", at + 1)
+                if end < 0:
+                    end = at + 1
+            self.handle_data(unescape(html[at:end]))
+        return end
+
+    def _wants(self, tag, cls):
+        """Tag and class conditions of the filter (remembered per tag and class)."""
+        keep = self._keep
+        wanted = keep.everything or tag in keep.tags
+        if not wanted and cls:
+            wanted = (
+                not keep.tokens.isdisjoint(cls.split())
+                or cls[1:-1] in keep.exact_classes
+                or any(part in cls for part in keep.class_parts)
+            )
+        if len(self._wanted_cache) >= _CACHE_MAX:
+            self._wanted_cache.clear()
+        self._wanted_cache[tag, cls] = wanted
+        return wanted
+
+    def _wants_attrs(self, tag, attrs):
         keep = self._keep
-        if keep.everything or tag in keep.tags:
-            return True
-        if cls:
-            if not keep.tokens.isdisjoint(cls.split(" ")) or cls in keep.exact_classes:
-                return True
-            for part in keep.class_parts:
-                if part in cls:
-                    return True
-        if attrs and (keep.attr_values or keep.attrs):
+        return any(
+            (name, value) in keep.attr_values or (tag, name) in keep.attrs or (None, name) in keep.attrs
+            for name, value in attrs
+        )
+
+    def build(self, html: str) -> PageTree:
+        keep, marked = self._keep, self._marked
+        keep_all, names = keep.everything, keep.attr_names
+        by_attrs = bool(keep.attr_values or keep.attrs)
+        cache, wants = self._wanted_cache, self._wants
+        markup_attrs, markup_skip = self._markup_attrs, self._markup_skip
+        show = markup_attrs is not None
+        events = self._events = []
+        stack: list = []  # open elements
+        open_count: dict = {}
+        out: list = []
+        late = False
+        buffered: list = []  # pieces of the current string
+        texts: list = []
+        text_len = 0
+        shown: list = []
+        shown_len = 0
+        skipped = 0  # open elements left out of the markup
+        holders: list = []  # open string containers
+        preserving = 0
+        count = 0  # nodes so far
+
+        def put(piece):
+            nonlocal shown_len
+            shown.append(piece)
+            shown_len += len(piece)
+
+        def open_element(tag, attrs):
+            nonlocal count, preserving, skipped
+            if buffered:
+                flush()
+            cls = None
             for name, value in attrs:
-                if (name, value) in keep.attr_values:
-                    return True
-                if (tag, name) in keep.attrs or (None, name) in keep.attrs:
-                    return True
-        return False
-
-    def _pop(self):
-        row = self._stack.pop()
-        tag = row[TAG]
-        self._open[tag] -= 1
-        row[LAST] = self._next - 1
-        row[T1] = self._text_len
-        if tag in STRING_CONTAINERS:
-            self._containers.pop()
-            row[TEXT] = "".join(row[OWN])
-        elif tag in PRESERVE_SPACE:
-            self._preserve -= 1
-        if self._markup_attrs is not None:
-            if tag in self._markup_skip:
-                self._skip_depth -= 1
-            elif not self._skip_depth and tag not in VOID_TAGS:
-                self._put("</" + tag + ">")
-        row[H1] = self._markup_len
-        # the ``.string`` of an only child is handed up to its parent
-        if self._stack:
-            parent = self._stack[-1]
-            if parent[CHILDREN] == 1:
-                parent[SOLE] = row[SOLE]
-        return tag
-
-    def _flush(self):
-        if self._buf:
-            data = "".join(self._buf) if len(self._buf) > 1 else self._buf[0]
-            self._buf = []
-            if not self._preserve and not data.strip(ASCII_SPACE):
+                if name == "class":
+                    cls = f" {' '.join(value.split())} " if value else "  "
+            row = [count, count, -1, "element", tag, cls, None, None,
+                   text_len, 0, shown_len, 0, None, 0, False, None]
+            count += 1
+            if stack:
+                parent = stack[-1]
+                row[PARENT] = parent[PRE]
+                parent[CHILDREN] += 1
+                parent[SOLE] = None
+            stack.append(row)
+            open_count[tag] = open_count.get(tag, 0) + 1
+            if tag in STRING_CONTAINERS:
+                row[OWN] = []
+                holders.append(row)
+            elif tag in PRESERVE_SPACE:
+                preserving += 1
+            if show:
+                if tag in markup_skip:
+                    skipped += 1
+                elif not skipped:
+                    put(_start_markup(tag, attrs, cls, markup_attrs) if attrs else
+                        "<" + tag + ("/>" if tag in VOID_TAGS else ">"))
+            if attrs:
+                row[ATTRS] = attrs if names is None else [a for a in attrs if a[0] in names]
+            wanted = cache.get((tag, cls))
+            if wanted is None:
+                wanted = wants(tag, cls)
+            if wanted or (by_attrs and attrs and self._wants_attrs(tag, attrs)):
+                row[KEPT] = True
+                out.append(row)
+
+        def pop():
+            nonlocal preserving, skipped
+            row = stack.pop()
+            tag = row[TAG]
+            open_count[tag] -= 1
+            row[LAST] = count - 1
+            row[T1] = text_len
+            if tag in STRING_CONTAINERS:
+                holders.pop()
+                row[TEXT] = "".join(row[OWN])
+            elif tag in PRESERVE_SPACE:
+                preserving -= 1
+            if show:
+                if tag in markup_skip:
+                    skipped -= 1
+                elif not skipped and tag not in VOID_TAGS:
+                    put("</" + tag + ">")
+                row[H1] = shown_len
+            # the string of an only child is handed up to its parent
+            if stack and stack[-1][CHILDREN] == 1:
+                stack[-1][SOLE] = row[SOLE]
+            return tag
+
+        def close_element(tag):
+            if buffered:
+                flush()
+            if open_count.get(tag):
+                while pop() != tag:
+                    pass
+
+        def flush():
+            data = buffered[0] if len(buffered) == 1 else "".join(buffered)
+            buffered.clear()
+            if not preserving and not data.strip(ASCII_SPACE):
                 data = "\n" if "\n" in data else " "
-            kind = self._containers[-1][TAG] if self._containers else "text"
-            if self._markup_attrs is None:
-                shown = ""
-            elif kind == "script" or kind == "style":
-                shown = data
+            kind = holders[-1][TAG] if holders else "text"
+            if show and kind not in _RAW_END:
+                string(data, kind, _escape(data))
             else:
-                shown = _escape(data)
-            self._string(data, kind, shown)
-
-    def _string(self, data, kind, shown):
-        pre = self._next
-        self._next = pre + 1
-        start = self._text_len
-        if kind == "text" and self._containers:
-            kind = self._containers[-1][TAG]
-        markup_start = self._markup_len
-        if self._markup_attrs is not None and not self._skip_depth:
-            self._put(shown)
-        own = None
-        if kind == "text":
-            self._text.append(data)
-            self._text_len += len(data)
-        else:
-            own = data
-            for holder in self._containers:
-                if holder[TAG] == kind:
-                    holder[OWN].append(data)
-        parent = self._stack[-1] if self._stack else None
-        if parent is not None:
-            parent[CHILDREN] += 1
-            parent[SOLE] = pre if parent[CHILDREN] == 1 else None
-        keep = self._keep
-        if keep.everything or any(s in data for s in keep.strings):
-            self._out.append(
-                [pre, pre, -1 if parent is None else parent[PRE], kind, None, None, None,
-                 own, start, self._text_len, markup_start, self._markup_len, None]
-            )
-            # rules look at a string's parent and at its only-child ancestors
-            for row in reversed(self._stack):
-                if not row[KEPT]:
-                    row[KEPT] = True
-                    self._late = True
-                    self._out.append(row)
-                if row[CHILDREN] != 1:
+                string(data, kind, data)
+
+        def string(data, kind, piece):
+            nonlocal count, text_len, late
+            start, shown_start = text_len, shown_len
+            if show and not skipped:
+                put(piece)
+            own = None
+            if kind == "text":
+                texts.append(data)
+                text_len += len(data)
+            else:
+                own = data
+                for holder in holders:
+                    if holder[TAG] == kind:
+                        holder[OWN].append(data)
+            if stack:
+                parent = stack[-1]
+                parent[CHILDREN] += 1
+                parent[SOLE] = count if parent[CHILDREN] == 1 else None
+            if keep_all or (marked is not None and marked(data)):
+                out.append([count, count, stack[-1][PRE] if stack else -1, kind, None, None, None,
+                            own, start, text_len, shown_start, shown_len, None])
+                # rules look at a string's parent and at its only-child ancestors
+                for row in reversed(stack):
+                    if not row[KEPT]:
+                        row[KEPT] = late = True
+                        out.append(row)
+                    if row[CHILDREN] != 1:
+                        break
+            count += 1
+
+        def replay():
+            for what, value, extra in events:
+                if what == "text":
+                    if value:
+                        buffered.append(value)
+                elif what == "open" or what == "single":
+                    open_element(value, extra)
+                    if what == "single" or value in VOID_TAGS:
+                        pop()
+                elif what == "close":
+                    close_element(value)
+                else:
+                    if buffered:
+                        flush()
+                    string(value, "comment" if what == "comment" else "text", extra)
+            events.clear()
+
+        self.reset()
+        self.rawdata = html
+        find, start_at, end_at = html.find, _START.match, _END.match
+        at, size = 0, len(html)
+        while at < size:
+            bracket = find("<", at)
+            if bracket < 0:
+                bracket = size
+            if bracket > at:
+                data = html[at:bracket]
+                buffered.append(unescape(data) if "&" in data else data)
+                if bracket == size:
+                    break
+            raw = None
+            match = start_at(html, bracket)
+            if match is not None:
+                tag, section, slash = match.groups()
+                tag = tag.lower()
+                at = match.end()
+                open_element(tag, _attributes(section) if section else ())
+                if slash or tag in VOID_TAGS:
+                    pop()
+                elif tag in _RAW_END:
+                    raw = tag
+            else:
+                match = end_at(html, bracket)
+                if match is not None:
+                    at = match.end()
+                    close_element(match.group(1).lower())
+                else:
+                    at = self._odd(html, bracket)
+                    replay()
+                    raw = self.cdata_elem
+                    if raw:
+                        self.clear_cdata_mode()
+            if raw:  # script and style: no markup up to their own end tag
+                match = _RAW_END[raw].search(html, at)
+                if match is None:  # never closed: no content
                     break
+                if match.start() > at:
+                    buffered.append(html[at : match.start()])
+                close_element(raw)
+                at = match.end()
+        if buffered:
+            flush()
+        while stack:
+            pop()
+        if late:
+            out.sort(key=lambda row: row[PRE])
+        return PageTree("".join(texts), "".join(shown), out)
+
+
+def _attributes(section):
+    pairs = []
+    for name, double, single, bare in _ATTR.findall(section):
+        value = double or single or bare
+        pairs.append((name.lower(), unescape(value) if "&" in value else value))
+    return pairs
+
 
-    # -- markup -------------------------------------------------------------
-    def _put(self, piece):
-        self._markup.append(piece)
-        self._markup_len += len(piece)
-
-    def _start_markup(self, tag, attrs, cls):
-        allowed = self._markup_attrs
-        values = {}
-        for name, value in attrs:
-            if name in allowed:
-                values[name] = cls if name == "class" else (value or "")
-        parts = [f" {name}={_quote(_escape(value))}" for name, value in values.items()]
-        return "<" + tag + "".join(parts) + ("/>" if tag in VOID_TAGS else ">")
+def _start_markup(tag, attrs, cls, allowed):
+    values = {}
+    for name, value in attrs:
+        if name in allowed:
+            values[name] = cls[1:-1] if name == "class" else (value or "")
+    parts = [f" {name}={_quote(_escape(value))}" for name, value in values.items()]
+    return "<" + tag + "".join(parts) + ("/>" if tag in VOID_TAGS else ">")
 
 
 def _escape(text: str) -> str:

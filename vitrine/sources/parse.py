@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import itertools
+import sys
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from vitrine.functions import jsonsearch
 from vitrine.functions.jsonsearch import search_script
+from vitrine.sources import htmltree
 from vitrine.sources.htmltree import (
     ALL_NODES,
     ATTRS,
@@ -20,6 +24,10 @@ from vitrine.sources.htmltree import (
     TreeBuilder,
 )
 
+# Executors need no copy of this package: the parse step travels with its code.
+for _module in (htmltree, jsonsearch, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
+
 NODE_FIELDS = (
     "pre int, last int, parent int, kind string, tag string, cls string, "
     "attrs map<string,string>, text string, t0 int, t1 int, h0 int, h1 int, sole int"
