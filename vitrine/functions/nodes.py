@@ -61,6 +61,8 @@ class Sel:
             spec["class_parts"] = frozenset((self.cls_part,))
         elif self.attr_is:
             spec["attr_values"] = frozenset(self.attr_is[:1])
+        elif self.attr_head:
+            spec["attr_heads"] = frozenset(self.attr_head[:1])
         elif names:
             spec["attrs"] = frozenset((self.tag, name) for name in list(names)[:1])
         elif self.tag:

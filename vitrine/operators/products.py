@@ -277,6 +277,7 @@ def parse_for(pages: DataFrame, rules: Rules, fields: Iterable[str], carry: Iter
         carry=carry,
         markup_attrs=rules.content_attrs if "content" in fields else None,
         markup_skip=rules.content_drop_tags,
+        markup_keep=nd.keep_for(rules.content_box, *rules.content_fallbacks),
         json_keys=rules.brand_keys if "brand" in fields else (),
     )
     # each stage may use the columns of the stages before it

@@ -32,6 +32,7 @@ VOID_TAGS = frozenset(
 STRING_CONTAINERS = frozenset(("script", "style", "template", "rt", "rp"))
 # Elements inside which white space is kept as written.
 PRESERVE_SPACE = frozenset(("pre", "textarea"))
+SPECIAL_TAGS = STRING_CONTAINERS | PRESERVE_SPACE
 ASCII_SPACE = " \n\t\f\r"
 
 # Slots of one node row.  The first NODE_WIDTH slots are emitted, in the order of
@@ -55,6 +56,7 @@ class Keep:
     exact_classes: frozenset = frozenset()
     class_parts: frozenset = frozenset()
     attr_values: frozenset = frozenset()  # (name, value) pairs
+    attr_heads: frozenset = frozenset()  # (name, start of value) pairs
     attrs: frozenset = frozenset()  # (tag or None, name) pairs
     strings: frozenset = frozenset()  # emit strings containing one of these
     attr_names: frozenset | None = frozenset()
@@ -72,6 +74,7 @@ class Keep:
             self.exact_classes | other.exact_classes,
             self.class_parts | other.class_parts,
             self.attr_values | other.attr_values,
+            self.attr_heads | other.attr_heads,
             self.attrs | other.attrs,
             self.strings | other.strings,
             names,
@@ -101,22 +104,26 @@ _START = re.compile(
 _END = re.compile(rf"</({_NAME})\s*+>")
 _ATTR = re.compile(rf"""({_ATTR_NAME})(?:=(?:"([^"]*)"|'([^']*)'|({_BARE})))?""")
 _RAW_END = {tag: re.compile(rf"</\s*{tag}\s*>", re.I) for tag in ("script", "style")}
-_CACHE_MAX = 20000
+# Start and end tags repeat a lot within a site, so their meaning is remembered by
+# their source text: up to this length and number.
+_TAG_MAX = 200
+_TAGS_MAX = 20000
 
 
 class TreeBuilder(HTMLParser):
     """Reusable builder; call :meth:`build` once per page."""
 
-    def __init__(self, keep: Keep, markup_attrs=None, markup_skip=()):
+    def __init__(self, keep: Keep, markup_attrs=None, markup_skip=(), markup_keep=ALL_NODES):
         super().__init__(convert_charrefs=True)
         self._keep = keep
         self._markup_attrs = None if markup_attrs is None else frozenset(markup_attrs)
         self._markup_skip = frozenset(markup_skip)
+        self._markup_keep = markup_keep
         self._marked = (
             re.compile("|".join(map(re.escape, sorted(keep.strings)))).search
             if keep.strings else None
         )
-        self._wanted_cache: dict = {}
+        self._tags: dict = {}  # source of a plain tag -> what it means
         self._events: list = []
 
     # The library's callbacks only note what they saw.
@@ -174,35 +181,43 @@ class TreeBuilder(HTMLParser):
             self.handle_data(unescape(html[at:end]))
         return end
 
-    def _wants(self, tag, cls):
-        """Tag and class conditions of the filter (remembered per tag and class)."""
-        keep = self._keep
-        wanted = keep.everything or tag in keep.tags
-        if not wanted and cls:
-            wanted = (
-                not keep.tokens.isdisjoint(cls.split())
-                or cls[1:-1] in keep.exact_classes
-                or any(part in cls for part in keep.class_parts)
-            )
-        if len(self._wanted_cache) >= _CACHE_MAX:
-            self._wanted_cache.clear()
-        self._wanted_cache[tag, cls] = wanted
-        return wanted
-
-    def _wants_attrs(self, tag, attrs):
-        keep = self._keep
-        return any(
-            (name, value) in keep.attr_values or (tag, name) in keep.attrs or (None, name) in keep.attrs
-            for name, value in attrs
-        )
+    def _opening(self, tag, attrs, single):
+        """All a start tag means for the walk, independent of its place."""
+        cls = None
+        for name, value in attrs:
+            if name == "class":
+                cls = f" {' '.join(value.split())} " if value else "  "
+        names = self._keep.attr_names
+        # a repeated attribute: the last one wins, at the place of the first
+        kept = list({n: v or "" for n, v in attrs if names is None or n in names}.items())
+        piece, shows = "", False
+        if self._markup_attrs is not None:
+            piece = _start_markup(tag, attrs, cls, self._markup_attrs)
+            shows = _wants(self._markup_keep, tag, cls, attrs)
+        wanted = _wants(self._keep, tag, cls, attrs)
+        return tag, cls, kept or None, wanted, piece, shows, single or tag in VOID_TAGS
+
+    def _plain_tag(self, html, at):
+        """(what a plain tag means, its end), or None for anything else."""
+        match = _START.match(html, at)
+        if match is not None:
+            tag, section, slash = match.groups()
+            meaning = self._opening(tag.lower(), _attributes(section) if section else (), bool(slash))
+        else:
+            match = _END.match(html, at)
+            if match is None:
+                return None
+            meaning = (match.group(1).lower(),)
+        end = match.end()
+        if end - at <= _TAG_MAX and html.find(">", at) == end - 1:
+            if len(self._tags) >= _TAGS_MAX:
+                self._tags.clear()
+            self._tags[html[at:end]] = meaning
+        return meaning, end
 
     def build(self, html: str) -> PageTree:
-        keep, marked = self._keep, self._marked
-        keep_all, names = keep.everything, keep.attr_names
-        by_attrs = bool(keep.attr_values or keep.attrs)
-        cache, wants = self._wanted_cache, self._wants
-        markup_attrs, markup_skip = self._markup_attrs, self._markup_skip
-        show = markup_attrs is not None
+        keep_all, marked = self._keep.everything, self._marked
+        tags, markup_skip = self._tags, self._markup_skip
         events = self._events = []
         stack: list = []  # open elements
         open_count: dict = {}
@@ -213,6 +228,7 @@ class TreeBuilder(HTMLParser):
         text_len = 0
         shown: list = []
         shown_len = 0
+        showing = 0  # open elements since the outermost one with markup
         skipped = 0  # open elements left out of the markup
         holders: list = []  # open string containers
         preserving = 0
@@ -223,16 +239,12 @@ class TreeBuilder(HTMLParser):
             shown.append(piece)
             shown_len += len(piece)
 
-        def open_element(tag, attrs):
-            nonlocal count, preserving, skipped
+        def open_element(tag, cls, attrs, wanted, piece, shows, single):
+            nonlocal count, preserving, skipped, showing
             if buffered:
                 flush()
-            cls = None
-            for name, value in attrs:
-                if name == "class":
-                    cls = f" {' '.join(value.split())} " if value else "  "
-            row = [count, count, -1, "element", tag, cls, None, None,
-                   text_len, 0, shown_len, 0, None, 0, False, None]
+            row = [count, count, -1, "element", tag, cls, attrs, None,
+                   text_len, 0, shown_len, 0, None, 0, wanted, None]
             count += 1
             if stack:
                 parent = stack[-1]
@@ -241,44 +253,43 @@ class TreeBuilder(HTMLParser):
                 parent[SOLE] = None
             stack.append(row)
             open_count[tag] = open_count.get(tag, 0) + 1
-            if tag in STRING_CONTAINERS:
-                row[OWN] = []
-                holders.append(row)
-            elif tag in PRESERVE_SPACE:
-                preserving += 1
-            if show:
+            if tag in SPECIAL_TAGS:
+                if tag in STRING_CONTAINERS:
+                    row[OWN] = []
+                    holders.append(row)
+                else:
+                    preserving += 1
+            if shows or showing:
+                showing += 1
                 if tag in markup_skip:
                     skipped += 1
                 elif not skipped:
-                    put(_start_markup(tag, attrs, cls, markup_attrs) if attrs else
-                        "<" + tag + ("/>" if tag in VOID_TAGS else ">"))
-            if attrs:
-                row[ATTRS] = attrs if names is None else [a for a in attrs if a[0] in names]
-            wanted = cache.get((tag, cls))
-            if wanted is None:
-                wanted = wants(tag, cls)
-            if wanted or (by_attrs and attrs and self._wants_attrs(tag, attrs)):
-                row[KEPT] = True
+                    put(piece)
+            if wanted:
                 out.append(row)
+            if single:
+                pop()
 
         def pop():
-            nonlocal preserving, skipped
+            nonlocal preserving, skipped, showing
             row = stack.pop()
             tag = row[TAG]
             open_count[tag] -= 1
             row[LAST] = count - 1
             row[T1] = text_len
-            if tag in STRING_CONTAINERS:
-                holders.pop()
-                row[TEXT] = "".join(row[OWN])
-            elif tag in PRESERVE_SPACE:
-                preserving -= 1
-            if show:
+            if tag in SPECIAL_TAGS:
+                if tag in STRING_CONTAINERS:
+                    holders.pop()
+                    row[TEXT] = "".join(row[OWN])
+                else:
+                    preserving -= 1
+            if showing:
+                showing -= 1
                 if tag in markup_skip:
                     skipped -= 1
                 elif not skipped and tag not in VOID_TAGS:
                     put("</" + tag + ">")
-                row[H1] = shown_len
+            row[H1] = shown_len
             # the string of an only child is handed up to its parent
             if stack and stack[-1][CHILDREN] == 1:
                 stack[-1][SOLE] = row[SOLE]
@@ -297,7 +308,7 @@ class TreeBuilder(HTMLParser):
             if not preserving and not data.strip(ASCII_SPACE):
                 data = "\n" if "\n" in data else " "
             kind = holders[-1][TAG] if holders else "text"
-            if show and kind not in _RAW_END:
+            if showing and kind not in _RAW_END:
                 string(data, kind, _escape(data))
             else:
                 string(data, kind, data)
@@ -305,7 +316,7 @@ class TreeBuilder(HTMLParser):
         def string(data, kind, piece):
             nonlocal count, text_len, late
             start, shown_start = text_len, shown_len
-            if show and not skipped:
+            if showing and not skipped:
                 put(piece)
             own = None
             if kind == "text":
@@ -338,9 +349,7 @@ class TreeBuilder(HTMLParser):
                     if value:
                         buffered.append(value)
                 elif what == "open" or what == "single":
-                    open_element(value, extra)
-                    if what == "single" or value in VOID_TAGS:
-                        pop()
+                    open_element(*self._opening(value, extra, what == "single"))
                 elif what == "close":
                     close_element(value)
                 else:
@@ -351,7 +360,7 @@ class TreeBuilder(HTMLParser):
 
         self.reset()
         self.rawdata = html
-        find, start_at, end_at = html.find, _START.match, _END.match
+        find, plain_tag = html.find, self._plain_tag
         at, size = 0, len(html)
         while at < size:
             bracket = find("<", at)
@@ -363,27 +372,24 @@ class TreeBuilder(HTMLParser):
                 if bracket == size:
                     break
             raw = None
-            match = start_at(html, bracket)
-            if match is not None:
-                tag, section, slash = match.groups()
-                tag = tag.lower()
-                at = match.end()
-                open_element(tag, _attributes(section) if section else ())
-                if slash or tag in VOID_TAGS:
-                    pop()
-                elif tag in _RAW_END:
-                    raw = tag
+            at = find(">", bracket, bracket + _TAG_MAX) + 1
+            meaning = tags.get(html[bracket:at]) if at else None
+            if meaning is None:
+                found = plain_tag(html, bracket)
+                if found is not None:
+                    meaning, at = found
+            if meaning is None:
+                at = self._odd(html, bracket)
+                replay()
+                raw = self.cdata_elem
+                if raw:
+                    self.clear_cdata_mode()
+            elif len(meaning) == 1:
+                close_element(meaning[0])
             else:
-                match = end_at(html, bracket)
-                if match is not None:
-                    at = match.end()
-                    close_element(match.group(1).lower())
-                else:
-                    at = self._odd(html, bracket)
-                    replay()
-                    raw = self.cdata_elem
-                    if raw:
-                        self.clear_cdata_mode()
+                open_element(*meaning)
+                if meaning[0] in _RAW_END and not meaning[6]:
+                    raw = meaning[0]
             if raw:  # script and style: no markup up to their own end tag
                 match = _RAW_END[raw].search(html, at)
                 if match is None:  # never closed: no content
@@ -401,6 +407,25 @@ class TreeBuilder(HTMLParser):
         return PageTree("".join(texts), "".join(shown), out)
 
 
+def _wants(keep, tag, cls, attrs):
+    """Does the filter let this element through?"""
+    if keep.everything or tag in keep.tags:
+        return True
+    if cls and (
+        not keep.tokens.isdisjoint(cls.split())
+        or cls[1:-1] in keep.exact_classes
+        or any(part in cls for part in keep.class_parts)
+    ):
+        return True
+    return any(
+        (name, value) in keep.attr_values
+        or (tag, name) in keep.attrs
+        or (None, name) in keep.attrs
+        or any(name == n and (value or "").startswith(head) for n, head in keep.attr_heads)
+        for name, value in attrs
+    )
+
+
 def _attributes(section):
     pairs = []
     for name, double, single, bare in _ATTR.findall(section):

@@ -65,12 +65,14 @@ def parse_pages(
     html: str = "html",
     markup_attrs: Iterable[str] | None = None,
     markup_skip: Iterable[str] = (),
+    markup_keep: Keep = ALL_NODES,
     json_keys: Iterable[str] = (),
 ) -> DataFrame:
     """Parse every page once.
 
     Output: the ``carry`` columns, ``text`` (all visible text), ``markup``
-    (re-serialised page, only with ``markup_attrs``), ``nodes`` (filtered by
+    (re-serialised elements let through by ``markup_keep``, only with
+    ``markup_attrs``), ``nodes`` (filtered by
     ``keep``), ``json_hits`` (only with ``json_keys``) and ``parse_error``, which
     is NULL for a good page.  A bad page is a row, never an exception.
 
@@ -91,6 +93,7 @@ def parse_pages(
         "keep": keep,
         "markup_attrs": None if markup_attrs is None else tuple(markup_attrs),
         "markup_skip": tuple(markup_skip),
+        "markup_keep": markup_keep,
     }
     keys = tuple(json_keys)
 
@@ -125,15 +128,13 @@ def _parse_one(builder, html, keys):
     except Exception as error:  # noqa: BLE001 - a bad page is data, not a failure
         return "", "", [], [], f"{type(error).__name__}: {error}"[:200], len(html)
     hits = []
-    for node in tree.nodes:
-        attrs = node[ATTRS]
-        if attrs:
-            attrs = node[ATTRS] = {name: value or "" for name, value in attrs}
-        if keys and node[TAG] == "script" and attrs and node[TEXT]:
-            kind = attrs.get("type")
-            if kind == JSON_TYPE or kind == LINKED_JSON_TYPE:
-                value, failed = search_script(node[TEXT], keys)
-                hits.append((node[PRE], kind == LINKED_JSON_TYPE, value, failed))
+    if keys:
+        for node in tree.nodes:
+            if node[TAG] == "script" and node[ATTRS] and node[TEXT]:
+                kind = dict(node[ATTRS]).get("type")
+                if kind == JSON_TYPE or kind == LINKED_JSON_TYPE:
+                    value, failed = search_script(node[TEXT], keys)
+                    hits.append((node[PRE], kind == LINKED_JSON_TYPE, value, failed))
     return tree.text, tree.markup, tree.nodes, hits, None, len(html)
 
 
@@ -159,6 +160,6 @@ def _nested(groups, fields, width):
     children = []
     for spec, values in zip(fields, slots):
         if pa.types.is_map(spec.type):
-            values = [list(v.items()) if v else [] for v in values]
+            values = [v or [] for v in values]
         children.append(pa.array(values, spec.type))
     return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(children, fields=fields))
