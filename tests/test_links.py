@@ -121,9 +121,9 @@ def test_extract_category_is_a_bag_with_limit(spark):
 
 
 def test_extract_category_with_a_long_link_list(spark, monkeypatch):
-    from vitrine.plans import catalogue
+    from vitrine import session
 
-    monkeypatch.setattr(catalogue, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
     test_extract_category_is_a_bag_with_limit(spark)
 
 

@@ -78,11 +78,12 @@ def test_candidates(page, spark):
         '<a href="/thuoc/tra-cuu/x">long enough</a><a href="/thuoc/ho">short</a><a href="/thuoc/ho">a good name</a>',
         '<a href="/product/1">another name</a>',
     )
-    links = profile.candidate_links(pages, BASE)
     seeds = spark.createDataFrame([("https://shop.example/p/1.html", 0), ("https://shop.example/p/0.html", 1)], "url string, ord int")
-    best = profile.first_candidate(links, seeds).collect()
+    best = profile.first_candidate(pages, seeds, BASE).collect()
     assert [(r["ord"], r["url"]) for r in best] == [(0, f"{BASE}/product/1")]
-    assert profile.first_candidate(links.filter("false"), seeds).count() == 0
+    assert profile.first_candidate(pages.filter("false"), seeds, BASE).count() == 0
+    assert profile.first_candidate(pages, seeds.filter("ord = 1"), BASE).first()["url"] == f"{BASE}/thuoc/ho"
+    assert profile.first_search_hit(pages, seeds, BASE, part="product").first()["link_text"] == "another name"
 
 
 def test_selector_reports(page):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from vitrine.session import join_side
+
 
 def contains_join(urls: DataFrame, words: DataFrame, text: str, word: str, gram: int) -> DataFrame:
     """All pairs where ``text`` contains ``word``: each pair exactly once.
@@ -11,15 +13,14 @@ def contains_join(urls: DataFrame, words: DataFrame, text: str, word: str, gram:
     A word is looked up by its first ``gram`` characters, a text by every
     distinct ``gram``-character piece of it, so the join is an equi-join (no
     nested loop) and its work grows with the text length, not with the number of
-    words.  ``gram`` must not exceed the shortest word; words shorter than it are
-    a caller error and rejected by :func:`shortest`.
+    words.  ``gram`` must not exceed the shortest word (see :func:`shortest`).
     """
     pieces = (
         f"array_distinct(transform(sequence(1, greatest(length({text}) - {gram} + 1, 1)),"
         f" i -> substring({text}, i, {gram})))"
     )
     left = urls.withColumn("_gram", F.explode(F.expr(pieces)))
-    right = words.withColumn("_gram", F.substring(word, 1, gram))
+    right = join_side(words.withColumn("_gram", F.substring(word, 1, gram)))
     return left.join(right, "_gram").filter(F.contains(F.col(text), F.col(word))).drop("_gram")
 
 

@@ -10,14 +10,15 @@ HOT_SHARE = 1000
 SALTS = 64
 
 
-def follow_links(links: DataFrame, records: DataFrame, key: str = "url", row: tuple[str, ...] = ("page_id", "pos")) -> DataFrame:
+def follow_links(links: DataFrame, records: DataFrame, key: str = "url") -> DataFrame:
     """Inner equi-join ``links.url = records.url``; bag semantics, links without a page drop out.
 
     Extract records once per page and join afterwards: the costly step never
-    runs once per link.  Skewed link targets are split by Spark's adaptive
-    skew join; :func:`follow_links_salted` does it without relying on it.
+    runs once per link.  Both sides grow with the corpus, so the join is always
+    shuffled; a skewed link target is split by Spark's adaptive skew join, and by
+    :func:`follow_links_salted` without relying on it.
     """
-    return links.join(records, key)
+    return links.join(records.hint("merge"), key)
 
 
 def hot_keys(links: DataFrame, key: str = "url") -> DataFrame:
@@ -44,4 +45,4 @@ def follow_links_salted(
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     left = links.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
     right = records.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.join(right.hint("merge"), [key, "_salt"]).drop("_salt")

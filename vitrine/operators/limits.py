@@ -61,7 +61,7 @@ def _first_by_blocks(df, n, group, page, pos):
         starts = here.select(group, own, start.alias("start")).filter(F.col("start") < n)
 
     in_block = W.partitionBy(group, "b1").orderBy(page, pos)
-    ranked = rows.join(starts, [group, "b1"]).withColumn(
+    ranked = rows.join(starts.hint("merge"), [group, "b1"]).withColumn(
         "_rank", F.col("start") + F.row_number().over(in_block)
     )
     return ranked.filter(F.col("_rank") <= n).select(*df.columns)

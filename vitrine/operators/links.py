@@ -9,6 +9,7 @@ from vitrine.functions import urls
 from vitrine.functions.sql import Sql, lit
 from vitrine.functions.text import strip
 from vitrine.plans.rules import Rules
+from vitrine.session import join_side
 from vitrine.sources.htmltree import Keep
 from vitrine.sources.parse import parse_pages
 
@@ -18,21 +19,24 @@ _HREF = nd.attr("n", "href")
 ANCHORS = f"filter(nodes, n -> n.tag = 'a' AND {_HREF} IS NOT NULL)"
 
 
-def page_links(pages: DataFrame, base_url: str, with_text: bool = False) -> DataFrame:
+def page_links(
+    pages: DataFrame, base_url: str, with_text: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Every link of every page, in document order.
 
-    One row per ``a[href]``: ``page_id, page_url, pos`` (0-based order on the
-    page), ``href`` as written, ``url`` made absolute and, on request, the
-    stripped ``link_text``.  No shuffle: links leave their page by explode.
+    One row per ``a[href]``: ``page_id, page_url``, more page columns on request
+    (``carry``), ``pos`` (0-based order on the page), ``href`` as written, ``url``
+    made absolute and, on request, the stripped ``link_text``.  No shuffle: links
+    leave their page by explode.
     """
     parts = f"'href', {_HREF}, 'url', {urls.absolutise(_HREF, base_url)}"
     if with_text:
         parts += f", 'link_text', {strip(nd.text_of('n'))}"
     links = f"transform({ANCHORS}, n -> named_struct({parts}))"
     return (
-        parse_pages(pages, LINK_KEEP)
-        .selectExpr("page_id", "url AS page_url", f"posexplode({links}) AS (pos, link)")
-        .select("page_id", "page_url", "pos", "link.*")
+        parse_pages(pages, LINK_KEEP, carry=("page_id", "url", *carry))
+        .selectExpr("page_id", "url AS page_url", *carry, f"posexplode({links}) AS (pos, link)")
+        .select("page_id", "page_url", *carry, "pos", "link.*")
     )
 
 
@@ -66,15 +70,11 @@ def item_links(category: Sql, rules: Rules) -> Sql:
 
 
 def category_pages(pages: DataFrame, categories: DataFrame, rules: Rules) -> DataFrame:
-    """The pages of the listed categories: ``categories(ord, category)`` joined on URL.
-
-    A plain equi-join: Spark broadcasts the list when it is small enough by its
-    own size check and otherwise shuffles both sides.
-    """
+    """The pages of the listed categories: ``categories(ord, category)`` joined on URL."""
     wanted = categories.select(
         "ord", "category", F.concat(F.lit(rules.base_url + "/"), F.col("category")).alias("url")
     )
-    return pages.join(wanted, "url")
+    return pages.join(join_side(wanted), "url")
 
 
 def category_links(pages: DataFrame, categories: DataFrame, rules: Rules) -> DataFrame:

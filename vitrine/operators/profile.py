@@ -12,6 +12,7 @@ from vitrine.functions.sql import coalesce, first_of, let, lit
 from vitrine.operators.links import ANCHORS, LINK_KEEP, page_links
 from vitrine.operators.products import RECORD, first_with_digit
 from vitrine.plans.rules import Rules
+from vitrine.session import join_side
 from vitrine.sources.parse import parse_pages
 
 # Default words and selectors of the reports.
@@ -116,10 +117,10 @@ def first_item_links(
 def candidate_links(
     pages: DataFrame, base_url: str,
     parts: Sequence[str] = CANDIDATE_PARTS, skips: Sequence[str] = CANDIDATE_SKIPS,
-    min_text: int = 5, max_text: int = 100,
+    min_text: int = 5, max_text: int = 100, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Links that look like items: a wanted part, no skipped part, a plausible text."""
-    links = page_links(pages, base_url, with_text=True)
+    links = page_links(pages, base_url, with_text=True, carry=carry)
     size = F.length("link_text")
     return links.filter(
         F.expr(urls.contains_any("href", parts))
@@ -128,21 +129,37 @@ def candidate_links(
     )
 
 
-def search_hits(pages: DataFrame, base_url: str, part: str = SEARCH_PART, min_text: int = 10) -> DataFrame:
+def search_hits(
+    pages: DataFrame, base_url: str, part: str = SEARCH_PART, min_text: int = 10, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Links of search-result pages that lead to an item."""
-    links = page_links(pages, base_url, with_text=True)
+    links = page_links(pages, base_url, with_text=True, carry=carry)
     return links.filter(F.contains("href", F.lit(part)) & (F.length("link_text") > min_text))
 
 
-def first_candidate(links: DataFrame, seeds: DataFrame) -> DataFrame:
+def seed_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The pages of ``seeds(ord, url)``, picked before any of them is parsed."""
+    return pages.join(join_side(seeds.select("url", "ord")), "url")
+
+
+def first_link(links: DataFrame) -> DataFrame:
     """First link on the first seed page that has any: at most one row.
 
-    ``seeds(ord, url)`` is joined on the page URL; the winner is a minimum, so
-    nothing is sorted and one row per task is shuffled.
+    ``links`` carries the seed's ``ord``.  The winner is a minimum, so nothing is
+    sorted globally and one row per task is shuffled.
     """
-    seeded = links.join(seeds.select(F.col("url").alias("page_url"), "ord"), "page_url")
     best = F.min(F.struct("ord", "page_id", "pos", "url", "link_text")).alias("best")
-    return seeded.agg(best).filter(F.col("best").isNotNull()).select("best.*")
+    return links.agg(best).filter(F.col("best").isNotNull()).select("best.*")
+
+
+def first_candidate(pages: DataFrame, seeds: DataFrame, base_url: str, **marks) -> DataFrame:
+    """First item-like link over the seed pages in their order."""
+    return first_link(candidate_links(seed_pages(pages, seeds), base_url, carry=("ord",), **marks))
+
+
+def first_search_hit(pages: DataFrame, seeds: DataFrame, base_url: str, **marks) -> DataFrame:
+    """First item link over the stored result pages of the search terms, in their order."""
+    return first_link(search_hits(seed_pages(pages, seeds), base_url, carry=("ord",), **marks))
 
 
 # -- elements -----------------------------------------------------------------

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from vitrine import session
 from vitrine.functions.urls import is_item_url
 from vitrine.operators.follow import follow_links
 from vitrine.operators.limits import first_per_group
@@ -15,10 +16,6 @@ from vitrine.plans.rules import Rules
 from vitrine.session import stored
 from vitrine.sources.pages import usable_pages
 
-# URL lists up to this size (measured, not estimated) are sent to every task.
-BROADCAST_BYTES = 64 << 20
-
-
 def extract_category(
     pages: DataFrame, categories: DataFrame, rules: Rules, limit: int | None = 10, as_of=None
 ) -> DataFrame:
@@ -40,7 +37,7 @@ def extract_category(
         first_per_group(found, limit, "listed_in", pos="listed_pos"),
         "links", bytes=F.coalesce(F.sum(F.octet_length("url")), F.lit(0)),
     )
-    if size["bytes"] <= BROADCAST_BYTES:
+    if size["bytes"] <= session.BROADCAST_BYTES:
         items = usable.join(F.broadcast(links.select("url").distinct()), "url", "left_semi")
     else:
         items = usable.filter(is_item_url("url", rules.base_url))

@@ -131,13 +131,13 @@ def _seeds(spark, folder):
 
 
 def first_candidate(spark, folder):
-    found = profile.candidate_links(_pages(spark, folder), BASE, ("/th", "/st"), ("/the?", "/that"))
-    return profile.first_candidate(found, _seeds(spark, folder))
+    return profile.first_candidate(
+        _pages(spark, folder), _seeds(spark, folder), BASE, parts=("/th", "/st"), skips=("/the?", "/that")
+    )
 
 
 def first_search_hit(spark, folder):
-    found = profile.search_hits(_pages(spark, folder), BASE, "th")
-    return profile.first_candidate(found, _seeds(spark, folder))
+    return profile.first_search_hit(_pages(spark, folder), _seeds(spark, folder), BASE, part="th")
 
 
 def stream_ingest(spark, folder):

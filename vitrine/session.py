@@ -72,3 +72,17 @@ def stored(df: DataFrame, name: str, **totals: Column) -> tuple[DataFrame, dict]
     measures = {"rows": F.count(F.lit(1)), **totals}
     df.observe(seen, *[value.alias(key) for key, value in measures.items()]).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
+# A join side is sent whole to every task only up to this measured size.
+BROADCAST_BYTES = 64 << 20
+
+
+def join_side(df: DataFrame) -> DataFrame:
+    """A lookup table for a join against pages: broadcast if small, else shuffled.
+
+    The size is measured by one aggregate over the table, not taken from file
+    sizes, which say little about compressed text.
+    """
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("merge")
