@@ -118,3 +118,10 @@ def test_any_source_gives_a_consistent_tree(html):
             parent = by_pre[node[PARENT]]
             assert parent[PRE] < node[PRE] <= node[LAST] <= parent[LAST]
             assert parent[T0] <= node[T0] and node[T1] <= parent[T1]
+
+
+def test_keep_inside_a_scope():
+    html = "<a>1</a><nav><p><a>2</a></p><nav><a>3</a></nav><a>4</a></nav><a>5</a>"
+    nav = Keep(tags=frozenset(["nav"]))
+    tree = build(html, Keep(inner=Keep(tags=frozenset(["a"])), outer=nav))
+    assert [text(tree, n) for n in tree.nodes] == ["2", "3", "4"]

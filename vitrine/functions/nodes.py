@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from vitrine.functions.sql import Sql, first, first_of, lit
+from vitrine.functions.sql import Sql, first, first_of, let, lit
 from vitrine.sources.htmltree import Keep
 
 
@@ -30,7 +30,7 @@ class Sel:
     child_of: "Sel | None" = None  # the parent matches
 
     def on(self, n: str) -> Sql:
-        """Predicate for the node bound to lambda variable ``n``."""
+        """Predicate for the node bound to lambda variable ``n``, without ancestors."""
         tests = [f"{n}.tag = {lit(self.tag)}" if self.tag else f"{n}.kind = 'element'"]
         cls = f"{n}.cls"
         for token in self.classes:
@@ -42,11 +42,6 @@ class Sel:
         tests += [f"{attr(n, name)} = {lit(value)}" for name, value in self.attr_is]
         tests += [f"contains({attr(n, name)}, {lit(value)})" for name, value in self.attr_part]
         tests += [f"startswith({attr(n, name)}, {lit(value)})" for name, value in self.attr_head]
-        up = n + "_up"
-        if self.inside is not None:
-            tests.append(f"exists(nodes, {up} -> {self.inside.on(up)} AND {within(n, up)})")
-        if self.child_of is not None:
-            tests.append(f"exists(nodes, {up} -> {up}.pre = {n}.parent AND {self.child_of.on(up)})")
         return "(" + " AND ".join(tests) + ")"
 
     def keep(self) -> Keep:
@@ -69,11 +64,12 @@ class Sel:
             spec["tags"] = frozenset((self.tag,))
         else:
             spec["everything"] = True
-        out = Keep(**spec)
-        for outer in (self.inside, self.child_of):
-            if outer is not None:
-                out = out | outer.keep()
-        return out
+        own = Keep(**spec)
+        outer = self.inside or self.child_of
+        if outer is None:
+            return own
+        around = outer.keep()
+        return around | Keep(attr_names=names, inner=own, outer=around)
 
     def under(self, outer: "Sel") -> "Sel":
         return replace(self, inside=outer, label=f"{outer.label} {self.label}")
@@ -129,6 +125,15 @@ def text_of(n: str) -> Sql:
 
 
 def find_all(sel: Sel, var: str = "n", nodes: Sql = "nodes") -> Sql:
+    """All matches in document order; the ancestors are looked up once."""
+    up = var + "_up"
+    if sel.inside is not None:
+        test = f"{sel.on(var)} AND exists({up}, a -> {within(var, 'a')})"
+        return let(up, find_all(sel.inside), f"filter({nodes}, {var} -> {test})")
+    if sel.child_of is not None:
+        test = f"{sel.on(var)} AND array_contains({up}, {var}.parent)"
+        parents = f"transform({find_all(sel.child_of)}, a -> a.pre)"
+        return let(up, parents, f"filter({nodes}, {var} -> {test})")
     return f"filter({nodes}, {var} -> {sel.on(var)})"
 
 

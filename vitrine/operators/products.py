@@ -192,7 +192,8 @@ def _chain(field: str, value=None) -> FieldPlan:
 
 
 def _table_keep(rules: Rules) -> Keep:
-    return nd.keep_for(rules.info_table, rules.info_row, rules.info_cell)
+    table = rules.info_table
+    return nd.keep_for(rules.info_row.under(table), rules.info_cell.under(table))
 
 
 def _label(field: str) -> FieldPlan:
@@ -221,7 +222,7 @@ FIELDS: dict[str, FieldPlan] = {
         | _script_keep(JSON_TYPE, LINKED_JSON_TYPE),
     ),
     "category": FieldPlan(
-        lambda r: link_trail(r.category), lambda r: nd.keep_for(nd.tag("a"), *r.category)
+        lambda r: link_trail(r.category), lambda r: nd.keep_for(*[nd.tag("a").under(s) for s in r.category])
     ),
     "ingredients": FieldPlan(
         lambda r: coalesce(

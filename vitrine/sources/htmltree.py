@@ -46,8 +46,9 @@ CHILDREN, KEPT, OWN = 13, 14, 15
 class Keep:
     """Which nodes the parse step emits: the rules' own filter, pushed down.
 
-    A node is emitted when *any* member condition holds.  ``everything`` turns
-    the filter off.  ``attr_names`` limits the attribute map (None = all).
+    A node is emitted when *any* member condition holds, or when it passes
+    ``inner`` below an element that passes ``outer``.  ``everything`` turns the
+    filter off.  ``attr_names`` limits the attribute map (None = all).
     """
 
     everything: bool = False
@@ -60,6 +61,8 @@ class Keep:
     attrs: frozenset = frozenset()  # (tag or None, name) pairs
     strings: frozenset = frozenset()  # emit strings containing one of these
     attr_names: frozenset | None = frozenset()
+    inner: "Keep | None" = None
+    outer: "Keep | None" = None
 
     def __or__(self, other: "Keep") -> "Keep":
         names = (
@@ -78,9 +81,15 @@ class Keep:
             self.attrs | other.attrs,
             self.strings | other.strings,
             names,
+            _either(self.inner, other.inner),
+            _either(self.outer, other.outer),
         )
 
 
+def _either(a, b):
+    return b if a is None else a if b is None else a | b
+
+
 ALL_NODES = Keep(everything=True, attr_names=None)
 
 
@@ -194,8 +203,11 @@ class TreeBuilder(HTMLParser):
         if self._markup_attrs is not None:
             piece = _start_markup(tag, attrs, cls, self._markup_attrs)
             shows = _wants(self._markup_keep, tag, cls, attrs)
-        wanted = _wants(self._keep, tag, cls, attrs)
-        return tag, cls, kept or None, wanted, piece, shows, single or tag in VOID_TAGS
+        keep = self._keep
+        wanted = _wants(keep, tag, cls, attrs)
+        inner = keep.inner is not None and _wants(keep.inner, tag, cls, attrs)
+        outer = keep.outer is not None and _wants(keep.outer, tag, cls, attrs)
+        return tag, cls, kept or None, wanted, inner, outer, piece, shows, single or tag in VOID_TAGS
 
     def _plain_tag(self, html, at):
         """(what a plain tag means, its end), or None for anything else."""
@@ -228,6 +240,7 @@ class TreeBuilder(HTMLParser):
         text_len = 0
         shown: list = []
         shown_len = 0
+        scope = 0  # open elements since the outermost one passing ``keep.outer``
         showing = 0  # open elements since the outermost one with markup
         skipped = 0  # open elements left out of the markup
         holders: list = []  # open string containers
@@ -239,10 +252,15 @@ class TreeBuilder(HTMLParser):
             shown.append(piece)
             shown_len += len(piece)
 
-        def open_element(tag, cls, attrs, wanted, piece, shows, single):
-            nonlocal count, preserving, skipped, showing
+        def open_element(tag, cls, attrs, wanted, inner, outer, piece, shows, single):
+            nonlocal count, preserving, skipped, showing, scope
             if buffered:
                 flush()
+            if scope:
+                scope += 1
+                wanted = wanted or inner
+            elif outer:
+                scope = 1
             row = [count, count, -1, "element", tag, cls, attrs, None,
                    text_len, 0, shown_len, 0, None, 0, wanted, None]
             count += 1
@@ -271,8 +289,10 @@ class TreeBuilder(HTMLParser):
                 pop()
 
         def pop():
-            nonlocal preserving, skipped, showing
+            nonlocal preserving, skipped, showing, scope
             row = stack.pop()
+            if scope:
+                scope -= 1
             tag = row[TAG]
             open_count[tag] -= 1
             row[LAST] = count - 1
@@ -388,7 +408,7 @@ class TreeBuilder(HTMLParser):
                 close_element(meaning[0])
             else:
                 open_element(*meaning)
-                if meaning[0] in _RAW_END and not meaning[6]:
+                if meaning[0] in _RAW_END and not meaning[-1]:
                     raw = meaning[0]
             if raw:  # script and style: no markup up to their own end tag
                 match = _RAW_END[raw].search(html, at)
