@@ -9,6 +9,7 @@ from vitrine.session import stored
 # Up to this n Spark cuts every map task's rows to n per group before the
 # shuffle (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
 GROUP_LIMIT_MAX = 1000
+SALT_ABOVE, SALTS = 50, 64
 # Page ids are counted in blocks of 1024, blocks in blocks of 1024, and so on;
 # six levels cover 60 of 64 bits, which leaves at most 16 blocks at the top.
 LEVEL_BITS = 10
@@ -20,16 +21,25 @@ def first_per_group(
 ) -> DataFrame:
     """First ``n`` rows of each group in ``(page, pos)`` order; 0 or None = all.
 
-    Small n: a ranked filter, which Spark applies before the shuffle too.  Large
-    n: ranks come from counts over id blocks, so no task ever sees a whole group.
+    Small n: a ranked filter, which Spark applies before the shuffle too, so a
+    group costs n rows per map task.  Medium n: the same within 64 salts first,
+    because n rows from every map task of a big job are too many for one task.
+    Large n: ranks come from counts over id blocks; no task sees a whole group.
     """
     if not n:
         return df
-    if n <= GROUP_LIMIT_MAX:
-        order = W.partitionBy(group).orderBy(page, pos)
-        ranked = df.withColumn("_rank", F.row_number().over(order))
-        return ranked.filter(F.col("_rank") <= n).drop("_rank")
-    return _first_by_blocks(df, n, group, page, pos)
+    if n > GROUP_LIMIT_MAX:
+        return _first_by_blocks(df, n, group, page, pos)
+    if n > SALT_ABOVE:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(page), F.lit(SALTS)))
+        df = _ranked(salted, n, [group, "_salt"], page, pos).drop("_salt")
+    return _ranked(df, n, [group], page, pos)
+
+
+def _ranked(df, n, keys, page, pos):
+    order = W.partitionBy(*keys).orderBy(page, pos)
+    ranked = df.withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
 def _first_by_blocks(df, n, group, page, pos):

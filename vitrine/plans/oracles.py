@@ -6,7 +6,7 @@ extraction must give.  For the given ``pages`` it uses regular expressions.
 
 from __future__ import annotations
 
-from vitrine.plans.queries import CORE, IMAGE_WORDS, KEYWORDS, RATED, TABLED
+from vitrine.plans.queries import CORE, KEYWORDS, RATED, TABLED
 from vitrine.plans.rendered import BASE, CDN, HOST
 
 

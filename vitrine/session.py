@@ -48,7 +48,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for a small input.
+    """Use all cores for a small input; ``df`` is a scan.
 
     A file with one row group is one task however many cores there are.  Inputs
     with at least as many splits as cores (every large table) are left alone, so

@@ -33,16 +33,14 @@ def usable_pages(pages: DataFrame) -> DataFrame:
 def quarantine(pages: DataFrame) -> DataFrame:
     """Failed pages as rows: ``page_id, url, reason``.
 
-    Pages without a usable source are told apart without parsing; only the rest
-    is parsed, with nothing emitted but the parser's verdict.
+    One scan: pages without a usable source are not parsed, the rest is parsed
+    with nothing emitted but the parser's verdict.
     """
     fault = page_fault(pages)
-    unusable = pages.filter(fault.isNotNull()).select("page_id", "url", fault.alias("reason"))
-    parsed = parse_pages(usable_pages(pages), Keep())
-    broken = parsed.filter(F.col("parse_error").isNotNull()).select(
-        "page_id", "url", F.col("parse_error").alias("reason")
-    )
-    return unusable.unionByName(broken)
+    judged = pages.withColumns({"fault": fault, "html": F.when(fault.isNull(), F.col("html"))})
+    return parse_pages(judged, Keep(), carry=("page_id", "url", "fault")).filter(
+        F.col("parse_error").isNotNull()
+    ).select("page_id", "url", F.coalesce("fault", "parse_error").alias("reason"))
 
 
 def script_bodies(kind: str) -> Sql:
