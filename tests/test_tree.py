@@ -10,6 +10,12 @@ def build(html, keep=ALL_NODES, **kw):
     return TreeBuilder(keep, **kw).build(html)
 
 
+def test_short_text_is_carried_and_long_text_is_sliced():
+    tree = build("<p>" + "x" * 300 + "<b>y<i>z</i></b></p>")
+    p, b = (n for n in tree.nodes if n[TAG] in ("p", "b"))
+    assert p[TEXT] is None and text(tree, p) == "x" * 300 + "yz" and b[TEXT] == "yz"
+
+
 def elements(tree):
     return {n[TAG] + str(n[PRE]): n for n in tree.nodes if n[KIND] == "element"}
 
@@ -118,6 +124,8 @@ def test_any_source_gives_a_consistent_tree(html):
             parent = by_pre[node[PARENT]]
             assert parent[PRE] < node[PRE] <= node[LAST] <= parent[LAST]
             assert parent[T0] <= node[T0] and node[T1] <= parent[T1]
+        if node[KIND] == "element" and node[TAG] not in ("script", "style"):
+            assert node[TEXT] == tree.text[node[T0]:node[T1]]
 
 
 def test_keep_inside_a_scope():

@@ -7,7 +7,7 @@ those rows.  Two tricks keep the rows small:
 * a subtree is a range: descendants of ``e`` are the nodes with
   ``e.pre < pre <= e.last``;
 * the text (and the cleaned markup) of a subtree is a *slice* of one page-level
-  string, so nodes carry offsets, not copies;
+  string, so nodes carry offsets, and copies only of short texts;
 * ``cls`` is the class list with a space on both sides, so one substring test
   finds a whole class token.
 
@@ -32,14 +32,13 @@ VOID_TAGS = frozenset(
 STRING_CONTAINERS = frozenset(("script", "style", "template", "rt", "rp"))
 # Elements inside which white space is kept as written.
 PRESERVE_SPACE = frozenset(("pre", "textarea"))
-SPECIAL_TAGS = STRING_CONTAINERS | PRESERVE_SPACE
 ASCII_SPACE = " \n\t\f\r"
 
 # Slots of one node row.  The first NODE_WIDTH slots are emitted, in the order of
 # the Arrow struct in ``parse.py``; the rest is bookkeeping while the node is open.
 PRE, LAST, PARENT, KIND, TAG, CLS, ATTRS, TEXT, T0, T1, H0, H1, SOLE = range(13)
 NODE_WIDTH = 13
-CHILDREN, KEPT, OWN = 13, 14, 15
+CHILDREN, KEPT, OWN = 13, 14, 15  # OWN: own strings, or where the element's texts start
 
 
 @dataclass(frozen=True)
@@ -117,6 +116,9 @@ _RAW_END = {tag: re.compile(rf"</\s*{tag}\s*>", re.I) for tag in ("script", "sty
 # their source text: up to this length and number.
 _TAG_MAX = 200
 _TAGS_MAX = 20000
+# Emitted elements with at most this much text carry it themselves; cutting it out of
+# a long page text would cost more than the copy.
+_SHORT_TEXT = 256
 
 
 class TreeBuilder(HTMLParser):
@@ -262,7 +264,7 @@ class TreeBuilder(HTMLParser):
             elif outer:
                 scope = 1
             row = [count, count, -1, "element", tag, cls, attrs, None,
-                   text_len, 0, shown_len, 0, None, 0, wanted, None]
+                   text_len, 0, shown_len, 0, None, 0, wanted, len(texts)]
             count += 1
             if stack:
                 parent = stack[-1]
@@ -271,12 +273,11 @@ class TreeBuilder(HTMLParser):
                 parent[SOLE] = None
             stack.append(row)
             open_count[tag] = open_count.get(tag, 0) + 1
-            if tag in SPECIAL_TAGS:
-                if tag in STRING_CONTAINERS:
-                    row[OWN] = []
-                    holders.append(row)
-                else:
-                    preserving += 1
+            if tag in STRING_CONTAINERS:
+                row[OWN] = []
+                holders.append(row)
+            elif tag in PRESERVE_SPACE:
+                preserving += 1
             if shows or showing:
                 showing += 1
                 if tag in markup_skip:
@@ -297,11 +298,13 @@ class TreeBuilder(HTMLParser):
             open_count[tag] -= 1
             row[LAST] = count - 1
             row[T1] = text_len
-            if tag in SPECIAL_TAGS:
-                if tag in STRING_CONTAINERS:
-                    holders.pop()
-                    row[TEXT] = "".join(row[OWN])
-                else:
+            if tag in STRING_CONTAINERS:
+                holders.pop()
+                row[TEXT] = "".join(row[OWN])
+            else:
+                if row[KEPT] and text_len - row[T0] <= _SHORT_TEXT:
+                    row[TEXT] = "".join(texts[row[OWN]:])
+                if tag in PRESERVE_SPACE:
                     preserving -= 1
             if showing:
                 showing -= 1
@@ -459,7 +462,8 @@ def _start_markup(tag, attrs, cls, allowed):
     for name, value in attrs:
         if name in allowed:
             values[name] = cls[1:-1] if name == "class" else (value or "")
-    parts = [f" {name}={_quote(_escape(value))}" for name, value in values.items()]
+    # attributes come out in alphabetical order
+    parts = [f" {name}={_quote(_escape(values[name]))}" for name in sorted(values)]
     return "<" + tag + "".join(parts) + ("/>" if tag in VOID_TAGS else ">")
 
 
