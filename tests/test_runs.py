@@ -152,3 +152,9 @@ def test_stream_appends_new_files_once(spark, page):
         page(*[f"<h1>{n}</h1>" for n in names]).write.mode("append").parquet(drop)
         ingest(read_page_stream(spark, drop, schema), project, out, log).awaitTermination()
         assert spark.read.parquet(out).count() == count
+
+
+def test_work_folder_lies_in_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = work_folder(spark, "x"), work_folder(spark, "x")
+    assert first.startswith(root) and first != second

@@ -75,11 +75,23 @@ def link_trail(sels: Iterable[nd.Sel]) -> Sql:
 
 
 # -- attribute table ---------------------------------------------------------
+NEARBY = 64  # nodes looked at for the cells of a row before searching all of them
+
+
 def info_rows(rules: Rules) -> Sql:
-    """``array<array<string>>``: label and value of each row of the first table."""
-    cells = f"slice(filter(_cells, c -> {nd.within('c', 'r')}), 1, 2)"
-    rows = f"filter(nodes, r -> {rules.info_row.on('r')} AND {nd.within('r', '_table')})"
-    pairs = f"transform({rows}, r -> transform({cells}, c -> {nd.text_of('c')}))"
+    """``array<array<string>>``: label and value of each row of the first table.
+
+    The cells of a row nearly always follow it closely, so a long table costs
+    rows times ``NEARBY``, not rows times cells; only a row whose second cell is
+    farther off looks at all cells.
+    """
+    row = f"{rules.info_row.on('n')} AND {nd.within('n', '_table')}"
+    rows = f"filter(transform(nodes, (n, i) -> if({row}, named_struct('r', n, 'at', i), NULL)), x -> x IS NOT NULL)"
+    near = f"filter(w, c -> {rules.info_cell.on('c')} AND {nd.within('c', 'x.r')})"
+    enough = f"size(cs) >= 2 OR size(w) < {NEARBY} OR try_element_at(w, -1).pre > x.r.last"
+    every = f"filter(_cells, c -> {nd.within('c', 'x.r')})"
+    cells = let("w", f"slice(nodes, x.at + 2, {NEARBY})", let("cs", near, f"if({enough}, cs, {every})"))
+    pairs = f"transform({rows}, x -> transform(slice({cells}, 1, 2), c -> {nd.text_of('c')}))"
     return f"filter({pairs}, p -> size(p) = 2)"
 
 

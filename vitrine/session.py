@@ -39,7 +39,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     Only an unset ``spark.checkpoint.dir`` on a local master falls back to a
     machine-local temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
