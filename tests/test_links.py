@@ -75,6 +75,13 @@ def test_first_per_group_equals_brute_force(spark, n, spread_ids):
     assert sorted(got) == sorted(expected)
 
 
+def test_block_levels_follow_the_id_range():
+    from vitrine.operators.limits import _levels
+
+    assert _levels(0, 1023) == 1 and _levels(0, 1024) == 2 and _levels(-1, 1023) == 2
+    assert _levels(-(2**53), 2**53 - 1) == 6
+
+
 def test_category_counts_equal_brute_force(spark):
     random.seed(7)
     words = ["ab/cd", "ab/ce", "b/c", "zzz", "ab", "abab"]

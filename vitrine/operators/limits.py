@@ -10,10 +10,9 @@ from vitrine.session import stored
 # shuffle (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
 GROUP_LIMIT_MAX = 1000
 SALT_ABOVE, SALTS = 50, 64
-# Page ids are counted in blocks of 1024, blocks in blocks of 1024, and so on;
-# six levels cover 60 of 64 bits, which leaves at most 16 blocks at the top.
+# Page ids are counted in blocks of 1024, blocks in blocks of 1024, and so on, until
+# at most 1024 blocks are left at the top (six levels for the whole 64-bit range).
 LEVEL_BITS = 10
-LEVELS = 6
 
 
 def first_per_group(
@@ -50,28 +49,40 @@ def _first_by_blocks(df, n, group, page, pos):
     Blocks starting at or beyond ``n`` are dropped on the way.  The input is
     stored first: it is read for the counts and again for the rows.
     """
-    rows, _ = stored(df.withColumn("b1", F.shiftright(F.col(page), LEVEL_BITS)), "ranked-rows")
+    rows, seen = stored(
+        df.withColumn("b1", F.shiftright(F.col(page), LEVEL_BITS)),
+        "ranked-rows", low=F.min("b1"), high=F.max("b1"),
+    )
     smallest, _ = stored(
         rows.groupBy(group, "b1").agg(F.count(F.lit(1)).alias("size")), "block-sizes"
     )
-    sizes = {1: smallest}
-    for level in range(2, LEVELS + 1):
-        up = F.shiftright(F.col("b1"), LEVEL_BITS * (level - 1))
-        sizes[level] = smallest.groupBy(group, up.alias(f"b{level}")).agg(F.sum("size").alias("size"))
+
+    def block(level):
+        return F.shiftright(F.col("b1"), LEVEL_BITS * (level - 1)).alias(f"b{level}")
 
     starts = None
-    for level in range(LEVELS, 0, -1):
+    for level in range(_levels(seen["low"] or 0, seen["high"] or 0), 0, -1):
         own, parent = f"b{level}", f"b{level + 1}"
+        here = smallest.groupBy(group, block(level)).agg(F.sum("size").alias("size"))
         if starts is None:
-            here = sizes[level].withColumn(parent, F.lit(0)).withColumn("start", F.lit(0))
+            siblings, base = W.partitionBy(group), F.lit(0)
         else:
-            here = sizes[level].withColumn(parent, F.shiftright(own, LEVEL_BITS)).join(starts, [group, parent])
-        earlier = W.partitionBy(group, parent).orderBy(own).rowsBetween(W.unboundedPreceding, -1)
-        start = F.col("start") + F.coalesce(F.sum("size").over(earlier), F.lit(0))
-        starts = here.select(group, own, start.alias("start")).filter(F.col("start") < n)
+            siblings, base = W.partitionBy(group, parent), F.col("start")
+            here = here.withColumn(parent, F.shiftright(own, LEVEL_BITS)).join(starts, [group, parent])
+        earlier = F.sum("size").over(siblings.orderBy(own).rowsBetween(W.unboundedPreceding, -1))
+        start = (base + F.coalesce(earlier, F.lit(0))).alias("start")
+        starts = here.select(group, own, start).filter(F.col("start") < n)
 
     in_block = W.partitionBy(group, "b1").orderBy(page, pos)
     ranked = rows.join(starts.hint("merge"), [group, "b1"]).withColumn(
         "_rank", F.col("start") + F.row_number().over(in_block)
     )
     return ranked.filter(F.col("_rank") <= n).select(*df.columns)
+
+
+def _levels(low: int, high: int) -> int:
+    """Levels needed until at most 1024 blocks are left, for block numbers low..high."""
+    levels = 1
+    while (high >> LEVEL_BITS * (levels - 1)) - (low >> LEVEL_BITS * (levels - 1)) >= 1 << LEVEL_BITS:
+        levels += 1
+    return levels
