@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 8 << 20
 
@@ -43,6 +43,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+# A stored table is sent whole to every task only up to this size on disk.
+BROADCAST_BYTES = 16 << 20
+
+
+def sized(table: DataFrame) -> DataFrame:
+    """A table made by ``stored`` as a join side: broadcast if its files are small, else as it is."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._stored_path)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    small = files.getContentSummary(path).getLength() <= BROADCAST_BYTES
+    return F.broadcast(table) if small else table
+
+
 def drop_stored(*tables: DataFrame) -> None:
     """Delete tables made by ``stored`` that no later step reads."""
     for table in tables:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import bpe, quality
+from vitrine.llm import bpe, quality, simhash
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -21,6 +21,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    hexed = F.expr("lower(lpad(hex(fp), 16, '0'))")
+    return simhash.simhash_classes(docs).select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     path = vocabulary_path()
@@ -39,6 +45,7 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op5_bpe": op5_bpe,
     "op8_quality": op8_quality,
 }
