@@ -71,12 +71,13 @@ def per_text(
     make: Callable[[], Callable[[list], dict]],
     keep: list[str],
     binary: bool = False,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Row-wise step over texts, one Arrow batch at a time, without a shuffle.
 
     ``make()`` is called once per task and returns ``texts -> {new column: values}``.
     Columns in ``keep`` pass through unread.  A batch is worked in slices of about
-    ``SLICE_BYTES`` of text (one text at least), which bounds the memory of a task.
+    ``slice_bytes`` of text (one text at least), which bounds the memory of a task.
     """
     import pyspark.sql.types as T
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -90,7 +91,7 @@ def per_text(
         work = make()
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(n_kept)), 0).to_numpy(zero_copy_only=False)
-            slices = np.cumsum(sizes.astype(np.int64)) // SLICE_BYTES
+            slices = np.cumsum(sizes.astype(np.int64)) // slice_bytes
             cuts = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), batch.num_rows]
             for start, stop in zip(cuts, cuts[1:]):
                 part = batch.slice(start, stop - start)

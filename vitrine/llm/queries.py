@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import bpe, quality, simhash
+from vitrine.llm import bpe, chat, quality, secrets, simhash, topk
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -27,6 +27,18 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_classes(docs).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, folder, "documents").select("doc_id", "text"), keep=["doc_id"])
+    count = {k: F.size(secrets.of_kinds(F.col("spans"), k)).cast("long") for k in ("assign", "access", "hex")}
+    base = secrets.of_kinds(F.col("spans"), *count)
+    return found.select(
+        "doc_id",
+        *[n.alias(f"n_{k}") for k, n in count.items()],
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     path = vocabulary_path()
@@ -39,14 +51,35 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    return chat.conversation_digest(chat.prefix_examples(turns.union(own)))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return quality.measure_quality(docs, keep=["doc_id"])
 
 
+def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(_table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    best = topk.top_k(vectors, vectors.filter("id % 20 = 0"), 20)
+    return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op4_secrets": op4_secrets,
     "op5_bpe": op5_bpe,
+    "op6_chat": op6_chat,
     "op8_quality": op8_quality,
+    "op10_topk": op10_topk,
 }
 ORACLES: dict[str, str] = {}
