@@ -53,7 +53,7 @@ def sized(table: DataFrame) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(table._stored_path)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     small = files.getContentSummary(path).getLength() <= BROADCAST_BYTES
-    return F.broadcast(table) if small else table
+    return F.broadcast(table) if small else table.hint("merge")
 
 
 def drop_stored(*tables: DataFrame) -> None:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import bpe, chat, quality, secrets, simhash, topk
+from vitrine.llm import bpe, chat, linededup, quality, secrets, simhash, topk
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -68,6 +68,14 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.measure_quality(docs, keep=["doc_id"])
 
 
+def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    done = linededup.drop_repeated_lines(docs, mark="n_deleted")
+    return done.select(
+        "doc_id", "n_deleted", F.length("text").cast("long").alias("chars_left"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(_table(spark, folder, "embeddings").select("vec_id", "embedding"))
     best = topk.top_k(vectors, vectors.filter("id % 20 = 0"), 20)
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_chat": op6_chat,
     "op8_quality": op8_quality,
+    "op9_lines": op9_lines,
     "op10_topk": op10_topk,
 }
 ORACLES: dict[str, str] = {}
