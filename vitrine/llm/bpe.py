@@ -1,10 +1,9 @@
 """BPE encoding and decoding with a pair occurrence index.
 
 Texts are cut into words as the vocabulary file says.  The words new to a task are laid
-out in one flat array of symbol numbers; an index maps every adjacent pair that has a
+out in one flat list of symbol numbers; an index maps every adjacent pair that has a
 merge rank to all its positions.  A heap holds the active ranks; the lowest is applied to
-all its positions at once, and the position lists of the pairs that this creates are
-extended.  Positions that an earlier merge has made stale are recognised by comparing the
+all its positions, and the position lists of the pairs that this creates are extended.  Positions that an earlier merge has made stale are recognised by comparing the
 symbols that stand there now.
 
 Defined cases: NULL and empty texts give no ids and an empty decoded text; NULL ids decode
@@ -12,8 +11,7 @@ to an empty text; an id outside the vocabulary is skipped in decoding, as the li
 repeated rows are encoded alike; other columns pass through, and a column that has the name
 of a result is replaced by it.
 
-Word results are remembered per worker up to ``REMEMBERED`` words, then forgotten and computed
-anew; this bounds memory and never changes a result.
+Words are gathered over ``SLICE`` bytes of text at a time, which bounds the memory of a task.
 """
 
 from __future__ import annotations
@@ -22,14 +20,13 @@ import heapq
 import json
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from vitrine.llm.common import per_text
 
-REMEMBERED = 600_000
+SLICE = 6 << 20
 # Below this code point, composing and lower-casing are the same in every Unicode version;
 # texts with others are cut by the tokenizer library's own normaliser and splitter.
 OTHER = re.compile("[^\\x00-\u017f]")
@@ -68,122 +65,124 @@ def load_vocabulary(path: str) -> Vocabulary:
     for token, i in [*ids.items(), *special.items()]:
         tokens[i] = token
     end = model["end_of_word_suffix"]
-    merges, made, latest = {}, {}, []
-    for rank, pair in enumerate(model["merges"]):
-        left, right = pair if isinstance(pair, list) else pair.split(" ")
-        joined = ids[left + right]
-        merges[ids[left] * size + ids[right]] = (rank, joined)
-        latest.append((rank, left, right))
+    merges, made = {}, {}
+    pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
+    for rank, (left, right) in enumerate(pairs):
+        merges[ids[left] * size + ids[right]] = (rank, ids[left + right])
         made[left + right] = rank  # the last merge that makes it
-    ordered = all(made.get(left, -1) < rank and made.get(right, -1) < rank for rank, left, right in latest)
+    ordered = all(made.get(part, -1) < rank for rank, pair in enumerate(pairs) for part in pair)
     letters = [(ids[c], ids[c + end]) for c in byte_letters()]
     return Vocabulary(tokens, merges, letters, special, ordered)
 
 
 class PairIndex:
-    """Merges a set of words together.
+    """Merges the words of a set together.
 
     ``symbols`` holds all words back to back, each closed by -1; ``after`` and ``before``
-    link the live symbols.  ``places`` maps a pair to arrays of positions of its left part.
+    link the live symbols.  ``places`` maps the rank of a pair to arrays of positions of its
+    left part; the heap holds the ranks that have places.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.size = len(vocabulary.tokens)
-        self.letters = np.array(vocabulary.letters, np.int64)
+        self.ordered = vocabulary.ordered
+        self.letters = np.array(vocabulary.letters, np.int32)
         keys = np.fromiter(vocabulary.merges, np.int64, len(vocabulary.merges))
         values = np.array(list(vocabulary.merges.values()), np.int64).reshape(-1, 2)
         order = np.argsort(keys)
-        self.keys, self.ranks, self.joined = keys[order], values[order, 0], values[order, 1]
-        self.by_rank = np.empty(len(keys), np.int64)
-        self.by_rank[self.ranks] = np.arange(len(keys))
-        self.ordered = vocabulary.ordered
+        self.keys, self.ranks = keys[order], values[order, 0].astype(np.int32)
+        self.pairs = {rank: (*divmod(key, self.size), joined) for key, (rank, joined) in vocabulary.merges.items()}
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of each word (little-endian unsigned 32 bit); no word is empty."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         stops = np.cumsum(lengths + 1) - 1  # place of the -1 that closes a word
         total = int(stops[-1]) + 1
-        symbols = np.full(total, -1, np.int64)
+        symbols = np.full(total, -1, np.int32)
         inside = np.ones(total, bool)
         inside[stops] = False
         raw = np.frombuffer(b"".join(words), np.uint8)
         symbols[inside] = self.letters[raw, 0]
         symbols[stops - 1] = self.letters[raw[np.cumsum(lengths) - 1], 1]
-        after = np.arange(1, total + 1)
-        before = np.arange(-1, total - 1)
+        after = np.arange(1, total + 1, dtype=np.int32)
+        before = np.arange(-1, total - 1, dtype=np.int32)
         places: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
-
-        def note(at: np.ndarray) -> None:
-            """Index the pairs whose left parts stand at ``at``."""
-            left, right = symbols[at], symbols[after[at]]
-            fits = (left >= 0) & (right >= 0)
-            at = at[fits]
-            key = left[fits] * self.size + right[fits]
-            slot = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = self.keys[slot] == key
-            at, rank = at[known], self.ranks[slot[known]]
+        keys, ranks, size, last = self.keys, self.ranks, self.size, len(self.keys) - 1
+
+        def note(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> int:
+            """Index pairs by the positions and symbols of their parts; the least rank found."""
+            key = left.astype(np.int64) * size + right
+            slot = np.minimum(keys.searchsorted(key), last)
+            known = (keys[slot] == key) & (left >= 0) & (right >= 0)
+            at, rank = at[known], ranks[slot[known]]
             if not len(at):
-                return
-            order = np.argsort(rank, kind="stable")
+                return 1 << 60
+            order = rank.argsort(kind="stable")
             at, rank = at[order], rank[order]
-            cuts = np.flatnonzero(np.diff(rank)) + 1
-            for r, group in zip(rank[np.r_[0, cuts]].tolist(), np.split(at, cuts)):
+            cuts = [0, *((rank[1:] != rank[:-1]).nonzero()[0] + 1).tolist(), len(at)]
+            least = rank[cuts[:-1]].tolist()
+            for r, i, j in zip(least, cuts, cuts[1:]):
                 if r in places:
-                    places[r].append(group)
+                    places[r].append(at[i:j])
                 else:
-                    places[r] = [group]
+                    places[r] = [at[i:j]]
                     heapq.heappush(heap, r)
+            return least[0]
 
-        note(np.flatnonzero(inside[:-1] & inside[1:]))
+        note(np.arange(total - 1, dtype=np.int32), symbols[:-1], symbols[1:])
         while heap:
             rank = heapq.heappop(heap)
             lists = places.pop(rank)
-            slot = self.by_rank[rank]
-            left, right = divmod(int(self.keys[slot]), self.size)
+            left, right, joined = self.pairs[rank]
             at = lists[0] if len(lists) == 1 else np.concatenate(lists)
             at = at[symbols[at] == left]
-            at = at[symbols[after[at]] == right]
+            gone = after[at]
+            fits = symbols[gone] == right
+            at, gone = at[fits], gone[fits]
             if not len(at):
                 continue
-            if len(lists) > 1:
+            if len(lists) > 1 or left == right:
                 at = np.unique(at)
+                gone = after[at]
             if left == right:
                 # overlapping pairs of one chain: take every second one from the left
                 keep, taken = np.zeros(len(at), bool), -1
-                for i, (p, q) in enumerate(zip(at.tolist(), after[at].tolist())):
+                for i, (p, q) in enumerate(zip(at.tolist(), gone.tolist())):
                     if p != taken:
                         keep[i], taken = True, q
-                at = at[keep]
+                at, gone = at[keep], gone[keep]
             if not self.ordered:
-                # a merge may make a pair of lower rank: only the first place of each word now
+                # a merge may bring up a pair of lower rank: only the first place in each word now
                 word = np.searchsorted(stops, at)
-                first = np.r_[True, np.diff(word) != 0]
-                if not first.all():
-                    places[rank] = [at[~first]]
+                order = np.lexsort((at, word))
+                first = order[np.r_[True, np.diff(word[order]) != 0]]
+                later = np.ones(len(at), bool)
+                later[first] = False
+                if later.any():
+                    places[rank] = [at[later]]
                     heapq.heappush(heap, rank)
-                    at = at[first]
-            gone = after[at]
-            symbols[at] = self.joined[slot]
+                    at, gone = at[first], gone[first]
+            symbols[at] = joined
             symbols[gone] = -2
             follow = after[gone]
             after[at] = follow
             before[follow] = at
             back = before[at]
-            back = back[back >= 0]
-            note(np.unique(np.concatenate([back[symbols[back] >= 0], at])))
+            # the pair to the left of every new symbol, then the pair to its right
+            both = np.concatenate([back, at])
+            note(both, symbols[both], symbols[np.concatenate([at, follow])])
         live = symbols >= 0
         packed = symbols[live].astype("<u4").tobytes()
-        ends = np.cumsum(live)[stops] * 4
-        bounds = [0, *ends.tolist()]
+        bounds = [0, *(np.cumsum(live)[stops] * 4).tolist()]
         return [packed[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 class Encoder:
     """Texts to packed ids.
 
-    No word crosses a blank, so texts are split at ASCII blanks first; chunks and words
-    seen before are looked up, new ones go through the pair index together.
+    No word crosses a blank, so texts are split at ASCII blanks first; the distinct words
+    of the distinct chunks go through the pair index together.
     """
 
     def __init__(self, path: str):
@@ -191,8 +190,6 @@ class Encoder:
 
         vocabulary = load_vocabulary(path)
         self.index = PairIndex(vocabulary)
-        self.chunks: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         self.special = {s: np.uint32(i).astype("<u4").tobytes() for s, i in vocabulary.special.items()}
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
@@ -208,49 +205,28 @@ class Encoder:
             return [bytes(map(self.byte_of.__getitem__, piece)).decode() for piece, _ in pieces]
         return WORD.findall(chunk.lower())
 
-    def learn(self, new: list[bytes]) -> None:
-        """Encode chunks not seen before."""
-        if len(self.chunks) + len(new) > REMEMBERED:
-            self.chunks.clear()
-            self.parts.clear()
-        parts, special, missing, cut = self.parts, self.special, {}, []
-        for chunk in new:
+    def learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of distinct chunks."""
+        cut: list[list[list[str] | bytes]] = []
+        for chunk in chunks:
             text = chunk.decode()
             # odd places hold special strings
             pieces = self.cut.split(text) if self.cut and self.cut.search(text) else [text]
-            words = [self.words(p) if i % 2 == 0 else special[p] for i, p in enumerate(pieces)]
-            cut.append(words)
-            for group in words[::2]:
-                missing.update((w, None) for w in group if w not in parts)
-        if missing:
-            order = list(missing)
-            parts.update(zip(order, self.index.encode([w.encode() for w in order])))
-        for chunk, words in zip(new, cut):
-            self.chunks[chunk] = b"".join(
-                g if isinstance(g, bytes) else b"".join(map(parts.__getitem__, g)) for g in words
-            )
+            cut.append([self.words(p) if i % 2 == 0 else self.special[p] for i, p in enumerate(pieces)])
+        order = list({w for groups in cut for group in groups[::2] for w in group})
+        parts = dict(zip(order, self.index.encode([w.encode() for w in order]))) if order else {}
+        return {
+            chunk: b"".join([g if isinstance(g, bytes) else b"".join(map(parts.__getitem__, g)) for g in groups])
+            for chunk, groups in zip(chunks, cut)
+        }
 
     def encode(self, texts: list[str | bytes | None]) -> list[bytes]:
         raw = [t.encode() if isinstance(t, str) else t or b"" for t in texts]
-        cut = [t.split() for t in raw]
-        every = set().union(*cut)
-        new = [c for c in every if c not in self.chunks]
-        if len(self.chunks) + len(new) > REMEMBERED:
-            new = list(every)
-        if new:
-            self.learn(new)
-        return [b"".join(map(self.chunks.__getitem__, words)) for words in cut]
-
-
-@lru_cache(maxsize=2)
-def shared_encoder(path: str) -> Encoder:
-    """One encoder per worker process, kept between tasks."""
-    return Encoder(path)
-
-
-@lru_cache(maxsize=2)
-def shared_tokens(path: str) -> np.ndarray:
-    return np.array(load_vocabulary(path).tokens, object)
+        every: set[bytes] = set()
+        for text in raw:
+            every.update(text.split())
+        known = self.learn(list(every))
+        return [b"".join(map(known.__getitem__, text.split())) for text in raw]
 
 
 def _replacing(docs: DataFrame, keep: list[str] | None, *made: str) -> list[str]:
@@ -265,17 +241,17 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] |
     """
 
     def make():
-        encoder = shared_encoder(path)
+        encoder = Encoder(path)
         return lambda texts: {"ids": encoder.encode(texts)}
 
-    return per_text(docs, text_col, "ids binary", make, _replacing(docs, keep, "ids"), binary=True)
+    return per_text(docs, text_col, "ids binary", make, _replacing(docs, keep, "ids"), True, SLICE)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``encoded`` with ``decoded``: the tokens of packed ids, joined by blanks as the file asks for."""
 
     def make():
-        tokens = shared_tokens(path)
+        tokens = np.array(load_vocabulary(path).tokens, object)
 
         def text(ids):
             numbers = np.frombuffer(ids or b"", "<u4")
