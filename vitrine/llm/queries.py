@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import bpe, chat, linededup, quality, secrets, simhash, topk
+from vitrine.llm import bpe, chat, linededup, mixing, quality, secrets, simhash, topk
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -27,6 +27,14 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_classes(docs).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
+    rows, plan = mixing.mixing_plan(docs)
+    return mixing.realise(rows, plan).select(
+        F.col("row.id").alias("doc_id"), "row.source", "row.tokens", "weight_ppm", "epoch", "position"
+    )
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, folder, "documents").select("doc_id", "text"), keep=["doc_id"])
     count = {k: F.size(secrets.of_kinds(F.col("spans"), k)).cast("long") for k in ("assign", "access", "hex")}
@@ -84,6 +92,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_mixing": op2_mixing,
     "op4_secrets": op4_secrets,
     "op5_bpe": op5_bpe,
     "op6_chat": op6_chat,
