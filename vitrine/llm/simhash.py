@@ -262,3 +262,114 @@ def simhash_classes(docs: DataFrame, n: int = 3, max_bits: int = 3, id_col: str
     known = stored(linked.join(classes, "root").select("fp", "component"), "classes")
     full = least.join(known, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
     return made.join(full, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+# -- near duplicates by similarity ---------------------------------------------------
+VIEWS, SKETCH = 8, 48  # 64-bit words
+WEIGHT = 16  # weights of words are whole numbers, so sums are exact in any order
+
+
+def _mixed(values: np.ndarray, count: int) -> np.ndarray:
+    """(n, count) independent hashes of 64-bit hashes."""
+    steps = (np.arange(1, count + 1, dtype=U) * U(0x9E3779B97F4A7C15))[None, :]
+    x = values[:, None] + steps
+    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
+    return x ^ (x >> U(31))
+
+
+def views(text: str | bytes | None) -> bytes:
+    """SimHashes of the words, weighted by the root of their count: an edit moves few bits."""
+    words = words_of(text)
+    if not words:
+        return bytes(8 * VIEWS)
+    numbers: dict[bytes, int] = {}
+    for word in words:
+        numbers[word] = numbers.get(word, 0) + 1
+    weights = np.rint(WEIGHT * np.sqrt(np.fromiter(numbers.values(), np.float64, len(numbers)))).astype(np.float32)
+    mixed = _mixed(hashes(list(numbers)), VIEWS).astype(">u8")
+    total = np.zeros(64 * VIEWS, np.float64)
+    for start in range(0, len(weights), 4096):
+        bits = np.unpackbits(mixed[start : start + 4096].view(np.uint8), axis=1)
+        total += weights[start : start + 4096] @ bits.astype(np.float32)
+    return np.packbits(total * 2 > weights.astype(np.float64).sum()).tobytes()
+
+
+def sketch(text: str | bytes | None, n: int = 5) -> bytes:
+    """One wide SimHash of the distinct n-word shingles; it measures similarity."""
+    parts = np.unique(hashes(shingles(words_of(text), n)))
+    total = np.zeros(64 * SKETCH, np.int64)
+    for start in range(0, len(parts), 4096):
+        total += bit_counts(_mixed(parts[start : start + 4096], SKETCH))
+    return np.packbits(total * 2 > len(parts)).tobytes()
+
+
+def sketch_bits(similarity: float) -> int:
+    """Differing sketch bits expected at a Jaccard similarity of shingles (equal sizes)."""
+    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(angle * 64 * SKETCH)
+
+
+def near_duplicate_classes(
+    docs: DataFrame, similarity: float = 0.8, slack: float = 0.01, n: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc, th, root``: id (NULL as the least long), text hash and class of every row.
+
+    Two texts are linked if one view differs in at most three bits and their sketches put
+    the similarity of their n-word shingles at ``similarity - slack`` or more; ``slack``
+    is about the standard error of that measure.  A first grid join over the views alone
+    tells which texts have a partner at all; only those get sketches.
+    """
+    keyed = docs.select(
+        F.coalesce(docs[id_col], F.lit(-(2**63))).cast("long").alias("doc"),
+        F.xxhash64(docs[text_col]).alias("th"),
+        docs[text_col].alias("text"),
+    )
+
+    def seen(text_view):
+        return lambda: lambda texts: {text_view.__name__: [text_view(t) for t in texts]}
+
+    made = per_text(keyed, "text", "views binary", seen(views), ["doc", "th"], True)
+    made = stored(made.withColumn("id", F.xxhash64("views")), "views")
+    points = stored(made.groupBy("id").agg(F.first("views").alias("views"), F.count("*").alias("n")), "points")
+    links = grid_links(points, 3)
+    paired = links.select(F.col("a").alias("id")).union(links.select("b")).union(points.filter("n > 1").select("id"))
+    near = stored(made.join(paired.distinct(), "id", "left_semi").select("doc", "th").distinct(), "paired")
+
+    def measure():
+        return lambda texts: {"views": [views(t) for t in texts], "sketch": [sketch(t, n) for t in texts]}
+
+    some = keyed.join(sized(near), ["doc", "th"], "left_semi")
+    close = per_text(some, "text", "views binary, sketch binary", measure, ["doc", "th"], True)
+    close = stored(close.withColumn("id", F.xxhash64("views", "sketch")), "sketches")
+    points = close.groupBy("id").agg(F.first("views").alias("views"), F.first("sketch").alias("sketch"))
+    nodes = stored(components(grid_links(stored(points, "points"), 3, sketch_bits(similarity - slack))), "nodes")
+    classes = close.join(sized(nodes), close["id"] == nodes["node"], "left").select(
+        "doc", "th", F.coalesce("root", "id").alias("root")
+    )
+    # the others stand alone
+    alone = made.join(sized(near), ["doc", "th"], "left_anti").select("doc", "th", F.xxhash64("doc", "th").alias("root"))
+    return classes.union(alone)
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of every class of near duplicates: the least id, then text hash."""
+    # a text alone has a root of its own
+    classes = stored(near_duplicate_classes(docs, id_col=id_col, text_col=text_col, **options), "classes")
+    kept = classes.groupBy("root").agg(F.min(F.struct("doc", "th")).alias("kept"))
+    place = F.struct("doc", "th")
+    losers = stored(
+        classes.join(kept, "root").filter(place != F.col("kept")).select("doc", "th").distinct(), "near-duplicates"
+    )
+    row = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.coalesce(docs[id_col], F.lit(-(2**63))).cast("long").alias("doc"),
+        F.xxhash64(docs[text_col]).alias("th"),
+    )
+    left = row.join(sized(losers), ["doc", "th"], "left_anti")
+    # rows equal in id and text can't be told apart by a class: one of them stays
+    twice = stored(classes.groupBy("doc", "th").count().filter("count > 1").select("doc", "th"), "repeated-rows")
+    if not twice.isEmpty():
+        once = left.join(sized(twice), ["doc", "th"], "left_semi").groupBy("doc", "th").agg(F.first("row").alias("row"))
+        left = left.join(sized(twice), ["doc", "th"], "left_anti").select("row").union(once.select("row"))
+    return left.select("row.*")
