@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import bpe, chat, linededup, mixing, quality, secrets, simhash, topk
+from vitrine.llm import bpe, chat, linededup, mixing, pii, quality, secrets, simhash, topk
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -35,6 +35,16 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    count = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *count, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans")
+    )
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, folder, "documents").select("doc_id", "text"), keep=["doc_id"])
     count = {k: F.size(secrets.of_kinds(F.col("spans"), k)).cast("long") for k in ("assign", "access", "hex")}
@@ -93,6 +103,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_mixing": op2_mixing,
+    "op3_pii": op3_pii,
     "op4_secrets": op4_secrets,
     "op5_bpe": op5_bpe,
     "op6_chat": op6_chat,
