@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import bpe, chat, linededup, mixing, pii, quality, secrets, simhash, topk
+from vitrine.llm import bpe, chat, linededup, mixing, pii, quality, secrets, simhash, topk, urls
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -81,6 +81,21 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digest(chat.prefix_examples(turns.union(own)))
 
 
+URL_RULES = [
+    urls.parse_rule("block", "net/"), urls.parse_rule("allow", "example.net/en/"),
+    urls.parse_rule("block", "example.com/de/"), urls.parse_rule("allow", "org/fr/"),
+]
+
+
+def op7_urls(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    # words of all titles are the unigram table
+    titles = pages.select(F.regexp_extract("html", "<title>([^<]*)", 1).alias("title"))
+    words = urls.word_table(titles, "title")
+    judged = urls.judge(pages.select("page_id", "url"), URL_RULES, words)
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return quality.measure_quality(docs, keep=["doc_id"])
@@ -107,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_bpe": op5_bpe,
     "op6_chat": op6_chat,
+    "op7_urls": op7_urls,
     "op8_quality": op8_quality,
     "op9_lines": op9_lines,
     "op10_topk": op10_topk,
