@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitrine.llm.common import per_text
 
-SLICE = 6 << 20
+SLICE = 3 << 20
 # Below this code point, composing and lower-casing are the same in every Unicode version;
 # texts with others are cut by the tokenizer library's own normaliser and splitter.
 OTHER = re.compile("[^\\x00-\u017f]")
@@ -260,15 +260,14 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", keep: list[str]
 
         return lambda packed: {"decoded": [text(ids) for ids in packed]}
 
-    return per_text(encoded, ids_col, "decoded string", make, _replacing(encoded, keep, "decoded"))
+    return per_text(encoded, ids_col, "decoded string", make, _replacing(encoded, keep, "decoded"), False, SLICE)
 
 
 def unpack(ids) -> "F.Column":
     """Packed ids as an array of long."""
-    digits = F.hex(ids)
-    return F.transform(
-        F.sequence(F.lit(0), F.length(ids) / 4 - 1),
-        lambda i: F.conv(
-            F.concat(*[F.substring(digits, i.cast("int") * 8 + 1 + 2 * k, 2) for k in (3, 2, 1, 0)]), 16, 10
-        ).cast("long"),
+    digits, size = F.hex(ids), F.floor(F.length(ids) / 4).cast("int")
+    numbers = F.transform(
+        F.sequence(F.lit(0), size - 1),
+        lambda i: F.conv(F.concat(*[F.substring(digits, i * 8 + 1 + 2 * k, 2) for k in (3, 2, 1, 0)]), 16, 10).cast("long"),
     )
+    return F.when(size > 0, numbers).otherwise(F.array().cast("array<bigint>"))
