@@ -165,7 +165,11 @@ def realise(
     spread = joined.withColumn("last", last).filter("last >= 0").withColumn(
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))
     )
-    share = F.conv(F.substring(permutation_key(seed, F.col("epoch"), "__id"), 1, 13), 16, 10).cast("double") / 2.0**52
+    part = lambda key: F.conv(F.substring(key, 1, 13), 16, 10).cast("double") / 2.0**52
+    share = part(permutation_key(seed, F.col("epoch"), "__id"))
+    # the last block holds the keys up to its cut: they are spread over what the block is due
+    due = (F.col("epochs_ppm") % MILLION) / MILLION / (part(F.rpad("cut", 13, "f")) + 2.0**-52)
+    share = F.when(F.col("epoch") == F.col("full"), share * due).otherwise(share)
     position = (F.col("epoch") + share) / (F.col("epochs_ppm") / MILLION)
     return spread.select("row", "weight_ppm", "epoch", position.alias("position"))
 
