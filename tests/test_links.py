@@ -10,7 +10,7 @@ from vitrine.plans.catalogue import extract_category, union_runs
 from vitrine.plans.rules import default_rules
 
 BASE = "https://shop.example"
-RULES = default_rules(BASE, "https://cdn.shop.example")
+RULES = default_rules(BASE, "https://cdn.shop.example", "store.shop.example")
 GRID = '<div class="x grid grid-cols-2 md:grid-cols-4">{}</div>'
 
 
@@ -137,3 +137,17 @@ def test_extract_category_with_a_long_link_list(spark, monkeypatch):
 def test_union_runs_keeps_repeats(spark):
     df = spark.range(3)
     assert union_runs(df, df).count() == 6
+
+
+def test_words_with_a_shared_head_meet_few_texts(spark):
+    """Candidates are told apart by their rarest piece, not by the head they share."""
+    from vitrine.operators import counting
+
+    words = spark.range(200).selectExpr("concat('thuc-pham-chuc-nang/leaf-', lpad(id * 7919 % 100000, 5, '0')) AS category")
+    urls = words.selectExpr(f"concat('{BASE}/', category, '/x.html') AS url").union(
+        spark.range(800).selectExpr(f"concat('{BASE}/thuc-pham-chuc-nang/', id, '.html') AS url")
+    )
+    counts = counting.category_counts(urls, words).collect()
+    assert len(counts) == 200 and all(r["items"] == 1 for r in counts)
+    pairs = counting.contains_join(urls, words, "url", "category", 8, verify=False).count()
+    assert pairs <= 2000

@@ -7,7 +7,9 @@ import pytest
 from vitrine.functions import nodes as nd
 from vitrine.operators import labels, profile
 from vitrine.operators.products import extract_products
+from vitrine.operators.images import gallery_counts
 from vitrine.plans.rules import default_rules
+from vitrine.sources.pages import quarantine
 from vitrine.session import work_folder
 from vitrine.sinks.write import output_path, read_products_csv, write_products
 from vitrine.sources.pages import embedded_json, quarantine
@@ -15,7 +17,7 @@ from vitrine.sources.taxonomy import all_mains, category_paths, subcategories
 from vitrine.streaming.ingest import ingest, read_page_stream
 
 BASE = "https://shop.example"
-RULES = default_rules(BASE, "https://cdn.shop.example")
+RULES = default_rules(BASE, "https://cdn.shop.example", "store.shop.example")
 AS_OF = datetime.datetime(2025, 1, 2, 3, 4, 5)
 
 
@@ -66,13 +68,27 @@ def test_titles(page):
 def test_keyword_links_and_first_items(page):
     html = "".join(f'<a href="/Product/{i}"> name {i} {"x" * 60}</a>' for i in range(7)) + '<a href="/item/product">p</a>'
     pages = page(html, "<a href='/none'>n</a>")
-    rows = {r["keyword"]: r for r in profile.keyword_links(pages, BASE).collect()}
+    rows = {r["keyword"]: r for r in profile.keyword_links(pages, BASE, samples=5, text_chars=50).collect()}
     assert {k: r["links"] for k, r in rows.items()} == {"product": 8, "item": 1}
     assert len(rows["product"]["samples"]) == 5 and len(rows["product"]["samples"][0]["text"]) == 50
-    first = profile.first_item_links(pages, BASE, n=6).orderBy("pos").collect()
+    whole = {r["keyword"]: r for r in profile.keyword_links(pages, BASE).collect()}
+    assert len(whole["product"]["samples"]) == 8 and len(whole["product"]["samples"][0]["text"]) == 67
+    first = profile.first_item_links(pages, BASE, n=6, samples=5).orderBy("pos").collect()
     assert [r["url"] for r in first] == [f"{BASE}/Product/{i}" for i in range(5)] + [f"{BASE}/item/product"]
 
 
+def test_failed_pages_are_no_rows(page):
+    """No source or a parser error: in the quarantine, in no report."""
+    pages = page("<title>t</title><h1>n</h1>", None, "<![abc[y]]>")
+    bad = {r["page_id"] for r in quarantine(pages).collect()}
+    assert 1 in bad
+    good = {0, 1, 2} - bad
+    assert {r["page_id"] for r in profile.page_titles(pages).collect()} == good
+    assert {r["page_id"] for r in profile.first_headings(pages, RULES).collect()} == good
+    assert {r["page_id"] for r in profile.image_report(pages).collect()} == good
+    assert {r["page_id"] for r in gallery_counts(pages, RULES).collect()} == good
+
+
 def test_candidates(page, spark):
     pages = page(
         '<a href="/thuoc/tra-cuu/x">long enough</a><a href="/thuoc/ho">short</a><a href="/thuoc/ho">a good name</a>',

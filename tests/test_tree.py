@@ -133,3 +133,30 @@ def test_keep_inside_a_scope():
     nav = Keep(tags=frozenset(["nav"]))
     tree = build(html, Keep(inner=Keep(tags=frozenset(["a"])), outer=nav))
     assert [text(tree, n) for n in tree.nodes] == ["2", "3", "4"]
+
+
+def test_broken_pages_take_linear_time():
+    """Constructs that nothing closes are not scanned to the end of the page again and again."""
+    import time
+
+    from vitrine.sources.htmltree import Keep, TreeBuilder
+
+    for piece in ("<!-- x ", '<a b="', "<?x ", "<!x ", "</a "):
+        def seconds(n, piece=piece):
+            page = piece * n
+            best = 9e9
+            for _ in range(2):
+                start = time.perf_counter()
+                TreeBuilder(Keep()).build(page)
+                best = min(best, time.perf_counter() - start)
+            return best
+
+        small, large = seconds(4000), seconds(16000)
+        assert large < 12 * small + 0.2, (piece, small, large)
+
+
+def test_unclosed_script_keeps_the_rest():
+    from vitrine.sources.htmltree import TAG, TEXT, Keep, TreeBuilder
+
+    tree = TreeBuilder(Keep(everything=True)).build("<p>a</p><script>tail <b>x</b>")
+    assert [n[TEXT] for n in tree.nodes if n[TAG] == "script"] == ["tail <b>x</b>"]

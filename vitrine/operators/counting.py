@@ -7,21 +7,34 @@ from pyspark.sql import DataFrame, functions as F
 from vitrine.session import join_side
 
 
-def contains_join(urls: DataFrame, words: DataFrame, text: str, word: str, gram: int) -> DataFrame:
+def contains_join(
+    urls: DataFrame, words: DataFrame, text: str, word: str, gram: int, verify: bool = True
+) -> DataFrame:
     """All pairs where ``text`` contains ``word``: each pair exactly once.
 
-    A word is looked up by its first ``gram`` characters, a text by every
-    distinct ``gram``-character piece of it, so the join is an equi-join (no
-    nested loop) and its work grows with the text length, not with the number of
-    words.  ``gram`` must not exceed the shortest word (see :func:`shortest`).
+    ``verify=False`` gives the candidates that the equi-join finds.
+
+    A word is looked up by that of its ``gram``-character pieces which the fewest
+    words hold, a text by every distinct piece of it, so the join is an equi-join (no
+    nested loop), and words that share a long head meet a text only where it has what
+    tells them apart.  ``gram`` must not exceed the shortest word (see :func:`shortest`).
     """
-    pieces = (
-        f"array_distinct(transform(sequence(1, greatest(length({text}) - {gram} + 1, 1)),"
-        f" i -> substring({text}, i, {gram})))"
-    )
-    left = urls.withColumn("_gram", F.explode(F.expr(pieces)))
-    right = join_side(words.withColumn("_gram", F.substring(word, 1, gram)))
-    return left.join(right, "_gram").filter(F.contains(F.col(text), F.col(word))).drop("_gram")
+    def pieces(column: str) -> str:
+        return (
+            f"explode(array_distinct(transform(sequence(1, greatest(length({column}) - {gram} + 1, 1)),"
+            f" i -> substring({column}, i, {gram}))))"
+        )
+
+    held = words.select(word).distinct().select(word, F.expr(pieces(word)).alias("_gram"))
+    common = held.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = held.join(common, "_gram").groupBy(word).agg(F.min(F.struct("_n", "_gram")).alias("_key"))
+    keyed = words.join(rarest, word).withColumn("_gram", F.col("_key._gram")).drop("_key")
+    left = urls.withColumn("_gram", F.expr(pieces(text)))
+    right = join_side(keyed)
+    found = left.join(right, "_gram")
+    if verify:
+        found = found.filter(F.contains(F.col(text), F.col(word)))
+    return found.drop("_gram")
 
 
 def shortest(words: DataFrame, word: str, at_most: int = 8) -> int:

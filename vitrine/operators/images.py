@@ -15,7 +15,8 @@ from vitrine.functions.text import non_empty, strip
 from vitrine.functions.urls import contains_any, full_size_image
 from vitrine.plans.rules import Rules
 from vitrine.sources.htmltree import Keep
-from vitrine.sources.parse import JSON_TYPE, parse_pages
+from vitrine.sources.pages import parse_usable
+from vitrine.sources.parse import JSON_TYPE
 
 # Candidate steps, in the order in which they are looked at.
 CAROUSEL, OLD_GALLERY, MODAL, JSON, CLASS_1, LAST = 1, 2, 3, 4, 5, 9
@@ -170,7 +171,7 @@ def product_images(pages: DataFrame, rules: Rules) -> DataFrame:
 
 def gallery_counts(pages: DataFrame, rules: Rules) -> DataFrame:
     """Slides, gallery images and thumbs found per page."""
-    return parse_pages(pages, keep(rules)).selectExpr(
+    return parse_usable(pages, keep(rules)).selectExpr(
         "page_id",
         "url",
         f"size({_in_first(rules.carousel, rules.slide)}) AS slides",

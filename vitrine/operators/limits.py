@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from vitrine.session import stored
 
-# Up to this n Spark cuts every map task's rows to n per group before the
-# shuffle (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
-GROUP_LIMIT_MAX = 1000
-SALT_ABOVE, SALTS = 50, 64
+# Up to the n in this setting Spark cuts every map task's rows to n per group before
+# the shuffle.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+SALTS = 64
 # Page ids are counted in blocks of 1024, blocks in blocks of 1024, and so on, until
 # at most 1024 blocks are left at the top (six levels for the whole 64-bit range).
 LEVEL_BITS = 10
@@ -20,19 +20,17 @@ def first_per_group(
 ) -> DataFrame:
     """First ``n`` rows of each group in ``(page, pos)`` order; 0 or None = all.
 
-    Small n: a ranked filter, which Spark applies before the shuffle too, so a
-    group costs n rows per map task.  Medium n: the same within 64 salts first,
-    because n rows from every map task of a big job are too many for one task.
-    Large n: ranks come from counts over id blocks; no task sees a whole group.
+    As long as Spark applies a ranked filter before the shuffle too, a group costs n
+    rows per map task; they are ranked within 64 salts first, because n rows from every
+    map task of a big job are too many for one task.  Beyond that, ranks come from counts
+    over id blocks, and no task sees a whole group.
     """
     if not n:
         return df
-    if n > GROUP_LIMIT_MAX:
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
         return _first_by_blocks(df, n, group, page, pos)
-    if n > SALT_ABOVE:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(page), F.lit(SALTS)))
-        df = _ranked(salted, n, [group, "_salt"], page, pos).drop("_salt")
-    return _ranked(df, n, [group], page, pos)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(page), F.lit(SALTS)))
+    return _ranked(_ranked(salted, n, [group, "_salt"], page, pos).drop("_salt"), n, [group], page, pos)
 
 
 def _ranked(df, n, keys, page, pos):

@@ -13,7 +13,7 @@ from vitrine.operators.links import ANCHORS, LINK_KEEP, page_links
 from vitrine.operators.products import RECORD, first_with_digit
 from vitrine.plans.rules import Rules
 from vitrine.session import join_side
-from vitrine.sources.parse import parse_pages
+from vitrine.sources.pages import parse_usable
 
 # Default words and selectors of the reports.
 LINK_KEYWORDS = ("san-pham", "product", "thuoc", "item")
@@ -57,7 +57,7 @@ def page_titles(pages: DataFrame) -> DataFrame:
     """``page_id, title``: the string of the first title element, or 'No title'."""
     title = f"if(e.sole IS NULL, '', {nd.text_of('e')})"
     found = first_of(nd.find_all(nd.tag("title")), "e", title)
-    return parse_pages(pages, nd.keep_for(nd.tag("title")), carry=("page_id",)).selectExpr(
+    return parse_usable(pages, nd.keep_for(nd.tag("title")), carry=("page_id",)).selectExpr(
         "page_id", f"coalesce({found}, 'No title') AS title"
     )
 
@@ -66,15 +66,28 @@ def first_headings(pages: DataFrame, rules: Rules) -> DataFrame:
     """``page_id, url, name`` by the name rules."""
     from vitrine.operators.products import extract_fields
 
-    return extract_fields(pages, rules, ("name",)).select("page_id", "url", "name")
+    found = extract_fields(pages, rules, ("name",))
+    return found.filter(F.col("parse_error").isNull()).select("page_id", "url", "name")
 
 
 # -- links ---------------------------------------------------------------------
-def _keyword_reports(pages: DataFrame, base_url: str, keywords: Sequence[str], samples: int) -> DataFrame:
+def _cut(text: str, chars: int | None) -> str:
+    """First characters of a text; None = whole."""
+    return text if chars is None else f"substring({text}, 1, {chars})"
+
+
+def _first(items: str, n: int | None) -> str:
+    """First items of an array; None = all."""
+    return items if n is None else f"slice({items}, 1, {n})"
+
+
+def _keyword_reports(
+    pages: DataFrame, base_url: str, keywords: Sequence[str], samples: int | None, text_chars: int | None
+) -> DataFrame:
     """One row per page with an array of per-keyword reports; no shuffle."""
     href = nd.attr("n", "href")
     shown = (
-        f"named_struct('text', substring({tx.strip(nd.text_of('n'))}, 1, 50),"
+        f"named_struct('text', {_cut(tx.strip(nd.text_of('n')), text_chars)},"
         f" 'url', {urls.absolutise(href, base_url)})"
     )
     reports = []
@@ -82,33 +95,35 @@ def _keyword_reports(pages: DataFrame, base_url: str, keywords: Sequence[str], s
         hits = f"filter({ANCHORS}, n -> contains(lower({href}), {lit(word)}))"
         reports.append(
             f"named_struct('keyword_ord', {order}, 'keyword', {lit(word)}, 'links', size({hits}),"
-            f" 'samples', transform(slice({hits}, 1, {samples}), n -> {shown}))"
+            f" 'samples', transform({_first(hits, samples)}, n -> {shown}))"
         )
-    return parse_pages(pages, LINK_KEEP).selectExpr(
+    return parse_usable(pages, LINK_KEEP).selectExpr(
         "page_id", "url", f"filter(array({', '.join(reports)}), r -> r.links > 0) AS reports"
     )
 
 
 def keyword_links(
-    pages: DataFrame, base_url: str, keywords: Sequence[str] = LINK_KEYWORDS, samples: int = 5
+    pages: DataFrame, base_url: str, keywords: Sequence[str] = LINK_KEYWORDS, samples: int | None = None,
+    text_chars: int | None = None,
 ) -> DataFrame:
-    """Per page and keyword: number of links and the first few as samples.
+    """Per page and keyword: number of links, and ``samples`` of them with ``text_chars`` of text.
 
     Rows: ``page_id, url, keyword_ord, keyword, links, samples
-    array<struct<text,url>>``; keywords without a link give no row.
+    array<struct<text,url>>``; keywords without a link give no row.  None = all, whole.
     """
-    return _keyword_reports(pages, base_url, keywords, samples).selectExpr(
+    return _keyword_reports(pages, base_url, keywords, samples, text_chars).selectExpr(
         "page_id", "url", "inline(reports)"
     )
 
 
 def first_item_links(
-    pages: DataFrame, base_url: str, keywords: Sequence[str] = LINK_KEYWORDS, n: int = 5, samples: int = 5
+    pages: DataFrame, base_url: str, keywords: Sequence[str] = LINK_KEYWORDS, n: int | None = None,
+    samples: int | None = None, text_chars: int | None = None,
 ) -> DataFrame:
-    """First ``n`` of a page's keyword samples, keyword by keyword, repeats kept."""
-    found = f"slice(flatten(transform(reports, r -> r.samples)), 1, {n})"
+    """First ``n`` of a page's keyword samples, keyword by keyword, repeats kept; None = all, whole."""
+    found = _first("flatten(transform(reports, r -> r.samples))", n)
     return (
-        _keyword_reports(pages, base_url, keywords, samples)
+        _keyword_reports(pages, base_url, keywords, samples, text_chars)
         .selectExpr("page_id", f"posexplode({found}) AS (pos, link)")
         .select("page_id", "pos", "link.url", "link.text")
     )
@@ -176,7 +191,7 @@ def selector_profile(pages: DataFrame, sels: Sequence[nd.Sel] = CONTAINERS) -> D
         example = first_of("hs", "e", "named_struct('page_id', page_id, 'pre', e.pre, 'cls', trim(e.cls))")
         row = f"named_struct('selector', {lit(sel.label)}, 'n', size(hs), 'example', {example})"
         per_sel.append(let("hs", hits, row))
-    rows = parse_pages(pages, nd.keep_for(*sels), carry=("page_id",)).selectExpr(
+    rows = parse_usable(pages, nd.keep_for(*sels), carry=("page_id",)).selectExpr(
         f"inline(array({', '.join(per_sel)}))"
     )
     return rows.groupBy("selector").agg(
@@ -187,30 +202,34 @@ def selector_profile(pages: DataFrame, sels: Sequence[nd.Sel] = CONTAINERS) -> D
 
 
 def image_report(
-    pages: DataFrame, keywords: Sequence[str] = IMAGE_KEYWORDS, samples: int = 3
+    pages: DataFrame, keywords: Sequence[str] = IMAGE_KEYWORDS, samples: int | None = None,
+    alt_chars: int | None = None,
 ) -> DataFrame:
-    """Per page: images whose source holds a keyword, the first few with a short alt text."""
+    """Per page: images whose source holds a keyword, ``samples`` of them with ``alt_chars`` of alt text.
+
+    None = all, whole.
+    """
     src = nd.attr("n", "src")
     hits = f"filter({nd.find_all(nd.tag('img'))}, n -> {urls.contains_any(f'lower({src})', keywords)})"
     shown = (
-        f"named_struct('alt', substring(coalesce({nd.attr('n', 'alt')}, 'No alt'), 1, 30), 'src', {src})"
+        f"named_struct('alt', {_cut(f"coalesce({nd.attr('n', 'alt')}, 'No alt')", alt_chars)}, 'src', {src})"
     )
     keep = nd.keep_for(nd.tag("img"), attr_names=("src", "alt"))
-    return parse_pages(pages, keep).selectExpr(
+    return parse_usable(pages, keep).selectExpr(
         "page_id", "url", f"size({hits}) AS images",
-        f"transform(slice({hits}, 1, {samples}), n -> {shown}) AS samples",
+        f"transform({_first(hits, samples)}, n -> {shown}) AS samples",
     )
 
 
 def selector_first_hit(
-    pages: DataFrame, probe: Mapping[str, Sequence[nd.Sel]], non_empty: bool
+    pages: DataFrame, probe: Mapping[str, Sequence[nd.Sel]], non_empty: bool, text_chars: int | None = None
 ) -> DataFrame:
     """Per page and field, the first selector that matches and what it holds.
 
     ``non_empty=False``: an element without text still wins.  ``non_empty=True``:
     it does not, and images fall back to ``data-src``.  Rows: ``page_id, url,
     field, selector_ord, selector, content``; fields without a hit give no row.
-    Texts of the first kind are cut to 100 characters, the others are whole.
+    Texts of the first kind are cut to ``text_chars`` (None = whole), the others are whole.
     """
     fields = []
     for field, sels in probe.items():
@@ -223,7 +242,7 @@ def selector_first_hit(
             else:
                 content = tx.strip(nd.text_of("e"))
                 if not non_empty:
-                    content = f"substring({content}, 1, 100)"
+                    content = _cut(content, text_chars)
             value = first_of(nd.find_all(sel), "e", content)
             if non_empty:
                 value = tx.non_empty(value)
@@ -234,7 +253,7 @@ def selector_first_hit(
             tries.append(let("v", value, f"if(v IS NULL, NULL, {hit})"))
         fields.append(coalesce(tries))
     keep = nd.keep_for(*[s for sels in probe.values() for s in sels], attr_names=("src", "data-src"))
-    return parse_pages(pages, keep).selectExpr(
+    return parse_usable(pages, keep).selectExpr(
         "page_id", "url", f"inline(filter(array({', '.join(fields)}), h -> h IS NOT NULL))"
     )
 
@@ -283,7 +302,7 @@ def rule_wins(pages: DataFrame, rules: Rules) -> DataFrame:
             )
         wins.append(coalesce(tries))
     sels = [s for field in (*SIMPLE_CHAINS, "price") for s in getattr(rules, field)]
-    rows = parse_pages(pages, nd.keep_for(*sels), carry=("page_id",)).selectExpr(
+    rows = parse_usable(pages, nd.keep_for(*sels), carry=("page_id",)).selectExpr(
         f"inline(filter(array({', '.join(wins)}), w -> w IS NOT NULL))"
     )
     return rows.groupBy("field", "rule_idx", "selector").agg(F.count(F.lit(1)).alias("pages"))

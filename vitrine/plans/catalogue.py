@@ -16,17 +16,17 @@ from vitrine.plans.rules import Rules
 from vitrine.session import stored
 from vitrine.sources.pages import usable_pages
 
+
 def extract_category(
-    pages: DataFrame, categories: DataFrame, rules: Rules, limit: int | None = 10, as_of=None
+    pages: DataFrame, categories: DataFrame, rules: Rules, limit: int | None = None, as_of=None
 ) -> DataFrame:
     """Records of the items listed on the category pages.
 
     Columns: ``listed_in`` (category), ``listed_pos`` and the record.  Links are
     cut to ``limit`` per category (0 or None = all) before any item page is
-    parsed.  The link table is stored, because it is small, read twice, and its
-    measured size decides how item pages are picked: a short list filters the
-    pages inside the scan stage; a long one would shuffle page sources, so then
-    every item page is extracted and only the finished records are shuffled.
+    parsed.  The link table is stored, because it is read twice.  Only listed pages
+    are parsed, whatever its size; the measured size picks the kind of the two joins:
+    a short list is sent to the pages and to the records, a long one is shuffled.
     An item in two categories appears twice.
     """
     usable = usable_pages(pages)
@@ -37,12 +37,14 @@ def extract_category(
         first_per_group(found, limit, "listed_in", pos="listed_pos"),
         "links", bytes=F.coalesce(F.sum(F.octet_length("url")), F.lit(0)),
     )
-    if size["bytes"] <= session.BROADCAST_BYTES:
-        items = usable.join(F.broadcast(links.select("url").distinct()), "url", "left_semi")
-    else:
-        items = usable.filter(is_item_url("url", rules.base_url))
+    short = size["bytes"] <= session.BROADCAST_BYTES
+    listed = links.select("url").distinct()
+    items = usable.filter(is_item_url("url", rules.base_url)).join(
+        F.broadcast(listed) if short else listed.hint("merge"), "url", "left_semi"
+    )
     records = extract_products(items, rules, as_of=as_of)
-    return follow_links(links, records).select("listed_in", "listed_pos", *COLUMNS)
+    joined = records.join(F.broadcast(links), "url") if short else follow_links(links, records)
+    return joined.select("listed_in", "listed_pos", *COLUMNS)
 
 
 def union_runs(*runs: DataFrame) -> DataFrame:

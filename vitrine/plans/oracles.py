@@ -135,7 +135,7 @@ _TAXONOMY_SQL = {
 _SHELF = "'shelf-' || (p_partkey // 1024)"
 _URL = f"'{BASE}/' || {_SHELF} || '/' || lower(p_type) || '/' || p_partkey || '.html'"
 _CATEGORY = f"{_SHELF} || '/' || lower(replace(p_brand, '#', '-'))"
-_CODE = "'00' || lpad(CAST(p_partkey AS VARCHAR), 6, '0')"
+_CODE = "'00' || lpad(CAST(p_partkey AS VARCHAR), greatest(6, length(CAST(p_partkey AS VARCHAR)))::INT, '0')"
 _FULL = f"'{CDN}/unsafe/768x0/https://{HOST}/' || {_CODE}"
 _EVEN, _TABLE = "p_partkey % 2 = 0", "p_partkey % 7 > 1"
 
@@ -149,7 +149,7 @@ _RECORD = {
     "name": "p_name || ' #' || p_partkey",
     "price": _given("CAST(floor(p_retailprice) AS DOUBLE) * 1000", "p_partkey % 4 < 3", "0.0::DOUBLE"),
     "unit": _given("'Hộp'"),
-    "sku": "lpad(CAST(p_partkey AS VARCHAR), 8, '0')",
+    "sku": "lpad(CAST(p_partkey AS VARCHAR), greatest(8, length(CAST(p_partkey AS VARCHAR)))::INT, '0')",
     "rating": """CAST(CASE p_partkey % 5 WHEN 2 THEN (p_size % 6) * 10 + 5 WHEN 4 THEN 0 ELSE p_size % 6 END AS DOUBLE)""",
     "reviews_count": "CAST(CASE WHEN p_partkey % 5 < 3 THEN p_size ELSE 0 END AS BIGINT)",
     "comments_count": "CAST(CASE WHEN p_partkey % 5 < 2 THEN p_size * 2 ELSE 0 END AS BIGINT)",
@@ -306,6 +306,10 @@ _CATEGORY_SQL = {
   SELECT category AS listed_in, CAST(nth - 1 AS INTEGER) AS listed_pos, url, {_RECORD['name']} AS name, {_RECORD['price']} AS price,
          {_RECORD['brand']} AS brand, {_RECORD['official_name']} AS official_name
   FROM ({_LISTED}) WHERE nth <= 3""",
+    "category_catalogue_all": f"""
+  SELECT category AS listed_in, CAST(nth - 1 AS INTEGER) AS listed_pos, url, {_RECORD['name']} AS name, {_RECORD['price']} AS price,
+         {_RECORD['brand']} AS brand, {_RECORD['official_name']} AS official_name
+  FROM ({_LISTED})""",
 }
 
 ORACLES: dict[str, str] = {**_PAGE_SQL, **_TAXONOMY_SQL, **_RECORD_SQL, **_PROBE_SQL, **_CATEGORY_SQL}

@@ -111,7 +111,7 @@ def parse_quarantine(spark, folder):
 
 
 def keyword_links(spark, folder):
-    report = profile.keyword_links(_pages(spark, folder), BASE, KEYWORDS)
+    report = profile.keyword_links(_pages(spark, folder), BASE, KEYWORDS, samples=5, text_chars=50)
     return report.selectExpr(
         "page_id", "keyword_ord", "keyword", "links",
         "array_join(transform(samples, s -> concat(s.text, '->', s.url)), '|') AS samples",
@@ -119,7 +119,7 @@ def keyword_links(spark, folder):
 
 
 def first_item_links(spark, folder):
-    return profile.first_item_links(_pages(spark, folder), BASE, KEYWORDS)
+    return profile.first_item_links(_pages(spark, folder), BASE, KEYWORDS, n=5, samples=5, text_chars=50)
 
 
 def selector_profile(spark, folder):
@@ -234,7 +234,7 @@ def gallery_counts(spark, folder):
 
 
 def image_report(spark, folder):
-    return profile.image_report(_items(spark, folder), IMAGE_WORDS).selectExpr(
+    return profile.image_report(_items(spark, folder), IMAGE_WORDS, samples=3, alt_chars=30).selectExpr(
         "page_id", "images", "array_join(transform(samples, s -> concat(s.alt, '->', s.src)), '|') AS samples"
     )
 
@@ -244,7 +244,7 @@ def embedded_scripts(spark, folder):
 
 
 def selector_first_hit(spark, folder):
-    return profile.selector_first_hit(_items(spark, folder), profile.PROBE_A, non_empty=False).drop("url")
+    return profile.selector_first_hit(_items(spark, folder), profile.PROBE_A, non_empty=False, text_chars=100).drop("url")
 
 
 def selector_first_text(spark, folder):
@@ -296,13 +296,17 @@ def links_followed_salted(spark, folder):
     return follow.follow_links_salted(stored(to, "links")[0], records).select("page_id", "url", "name")
 
 
-def category_catalogue(spark, folder):
+def category_catalogue(spark, folder, limit=3):
     part = _table(spark, folder, "part")
     pages = union_runs(rendered.product_pages(part), rendered.category_pages(part))
-    found = extract_category(pages, rendered.categories(part), RULES, limit=3, as_of=AS_OF)
+    found = extract_category(pages, rendered.categories(part), RULES, limit=limit, as_of=AS_OF)
     return found.select("listed_in", "listed_pos", "url", "name", "price", "brand", "official_name")
 
 
+def category_catalogue_all(spark, folder):
+    return category_catalogue(spark, folder, limit=None)
+
+
 def runs_appended(spark, folder):
     run = _fields(spark, folder, "name", "sku")
     return union_runs(run, run)
@@ -338,6 +342,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         product_images_long, product_content, products_full, gallery_counts, image_report,
         embedded_scripts, selector_first_hit, selector_first_text, selector_coverage,
         fill_rate, rule_wins, category_links, links_followed, links_followed_salted,
-        category_catalogue, runs_appended, sink_roundtrip,
+        category_catalogue, category_catalogue_all, runs_appended, sink_roundtrip,
     )
 }

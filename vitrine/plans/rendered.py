@@ -15,13 +15,13 @@ from vitrine.session import spread
 
 BASE = "https://shop.example"
 CDN = "https://cdn.shop.example"
-RULES: Rules = default_rules(BASE, CDN)
-HOST = RULES.image_host
+HOST = "store.shop.example"
+RULES: Rules = default_rules(BASE, CDN, HOST)
 
 SHELF = "concat('shelf-', p_partkey div 1024)"
 ITEM_URL = f"concat('{BASE}/', {SHELF}, '/', lower(p_type), '/', p_partkey, '.html')"
 CATEGORY = f"concat({SHELF}, '/', lower(replace(p_brand, '#', '-')))"
-_CODE = "concat('00', lpad(p_partkey, 6, '0'))"
+_CODE = "concat('00', lpad(p_partkey, greatest(6, length(p_partkey)), '0'))"
 
 
 def _image(number: str, size: str = "/unsafe/150x0/") -> str:
@@ -65,7 +65,7 @@ _PARTS = {
         " '<span data-test=\"unit\">Hộp</span>',"
         " '<p class=\"thanh-phan\">alt ', p_partkey, '</p>')",
     ),
-    "sku": "concat('<span data-test-id=\"sku\">', lpad(p_partkey, 8, '0'), '</span>')",
+    "sku": "concat('<span data-test-id=\"sku\">', lpad(p_partkey, greatest(8, length(p_partkey)), '0'), '</span>')",
     "trail": (
         "if(p_partkey % 5 = 0, '', concat('<ol class=\"breadcrumb\"><li><a href=\"/t\">', p_type,"
         " '</a></li><li><a href=\"/b\"> ', p_brand, ' </a></li></ol>'))"

@@ -1,6 +1,6 @@
 """Extraction rules: what to look for on a page, as data.
 
-``default_rules(base_url, image_cdn)`` holds the values of one known shop layout;
+``default_rules(base_url, image_cdn, image_host)`` holds the values of one known shop layout;
 every entry is a constructor argument of :class:`Rules`, so another site needs
 other values, not other code.
 """
@@ -18,6 +18,7 @@ class Rules:
 
     base_url: str
     image_cdn: str
+    image_host: str  # storage host of product images
 
     # Selector chains of the record's simple text fields.
     name: tuple[Sel, ...] = (
@@ -88,8 +89,7 @@ class Rules:
         "tin_khuyen_mai", "chuyen_trang", "deep_link", "goc_suc_khoe", "short_video",
         "cup_", "benh_", "thuong_hieu", "danh_muc", "kiem_tra_suc_khoe", "header_", "footer_",
     )
-    # The storage host, and what marks a product image on it.
-    image_host: str = "cms-prod.s3-sgn09.fptcloud.com"
+    # What marks a product image on the storage host.
     image_marks: tuple[str, ...] = (
         "dsc_",
         "lineabon", "omexxel", "calci", "vitamin", "nutrimed", "nutrigrow", "osteocare",
@@ -118,9 +118,10 @@ class Rules:
     item_suffix: str = ".html"
 
 
-def default_rules(base_url: str, image_cdn: str) -> Rules:
+def default_rules(base_url: str, image_cdn: str, image_host: str) -> Rules:
     """Default rules for a site at ``base_url`` whose JSON names images on ``image_cdn``.
 
-    Both are full prefixes such as ``https://shop.example`` (no trailing slash).
+    Both are full prefixes such as ``https://shop.example`` (no trailing slash);
+    ``image_host`` is the host name of the storage that holds product images.
     """
-    return Rules(base_url=base_url.rstrip("/"), image_cdn=image_cdn.rstrip("/"))
+    return Rules(base_url=base_url.rstrip("/"), image_cdn=image_cdn.rstrip("/"), image_host=image_host)

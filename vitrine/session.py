@@ -47,15 +47,19 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+SPREAD_BELOW = 4
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores for a small input; ``df`` is a scan.
 
-    A file with one row group is one task however many cores there are.  Inputs
-    with at least as many splits as cores (every large table) are left alone, so
-    no shuffle is added at scale.  Hash partitioning keeps retries deterministic.
+    A file with one row group is one task however many cores there are.  Only inputs
+    of fewer than ``SPREAD_BELOW`` splits are shuffled (some 100 MB at most), so no
+    shuffle of page sources is added at scale.  Hash partitioning keeps retries
+    deterministic.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= min(cores, SPREAD_BELOW):
         return df
     return df.repartition(cores, *keys)
 
@@ -81,8 +85,9 @@ BROADCAST_BYTES = 64 << 20
 def join_side(df: DataFrame) -> DataFrame:
     """A lookup table for a join against pages: broadcast if small, else shuffled.
 
-    The size is measured by one aggregate over the table, not taken from file
-    sizes, which say little about compressed text.
+    The table is stored, and its size measured by the same pass; file sizes say
+    little about compressed text.
     """
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("merge")
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    table, seen = stored(df, "side", bytes=size)
+    return F.broadcast(table) if seen["bytes"] <= BROADCAST_BYTES else table.hint("merge")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from vitrine.functions.text import stamp
+from vitrine.functions.sql import lit
 from vitrine.operators.labels import run_label
 
 FORMATS = ("json", "csv")
@@ -14,7 +15,7 @@ def output_path(spark: SparkSession, root: str, categories: DataFrame, as_of, pr
     """``root/prefix_label_stamp`` for a run over ``categories`` at time ``as_of``."""
     moment = F.lit(as_of).cast("timestamp")
     name = run_label(categories).withColumn("m", moment).selectExpr(
-        f"concat_ws('_', '{prefix}', label, {stamp('m')}) AS name"
+        f"concat_ws('_', {lit(prefix)}, label, {stamp('m')}) AS name"
     )
     return f"{root.rstrip('/')}/{name.first()['name']}"
 
@@ -28,10 +29,11 @@ def write_products(products: DataFrame, path: str, formats=FORMATS) -> dict[str,
     unknown = set(formats) - {"json", "csv", "parquet"}
     if unknown:
         raise ValueError(f"unknown format: {sorted(unknown)}")
-    if products.isEmpty():
-        return {}
     spark = products.sparkSession
     written = {"parquet": _write(products, lambda df: df.write.parquet(f"{path}/parquet"))}
+    if not written["parquet"]:
+        _remove(spark, f"{path}/parquet", path)
+        return {}
     table = spark.read.parquet(f"{path}/parquet")
     if "json" in formats:
         written["json"] = _write(table, lambda df: df.write.json(f"{path}/json"))
@@ -43,6 +45,15 @@ def write_products(products: DataFrame, path: str, formats=FORMATS) -> dict[str,
     return written
 
 
+def _remove(spark: SparkSession, made: str, folder: str) -> None:
+    """Take back the output of an empty run, and its folder if nothing else is in it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(hadoop.Path(made), True)
+    if not files.listStatus(hadoop.Path(folder)):
+        files.delete(hadoop.Path(folder), False)
+
+
 def _csv(path):
     def write(df):
         df.write.option("header", True).option("escape", '"').option("encoding", "UTF-8").option(

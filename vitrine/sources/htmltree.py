@@ -169,9 +169,15 @@ class TreeBuilder(HTMLParser):
         return j
 
     def _odd(self, html, at):
-        """Read one construct the fast patterns do not cover; returns its end."""
+        """Read one construct the fast patterns do not cover; returns its end.
+
+        Where nothing further on can close it, it is not scanned for its end.
+        """
         follows = html[at + 1 : at + 2]
-        if follows.isalpha() and follows.isascii():
+        opens = follows in ("/", "?", "!") or (follows.isalpha() and follows.isascii())
+        if opens and (at > self._last_close or html.startswith("<!--", at) and at > self._last_comment):
+            end = -1
+        elif follows.isalpha() and follows.isascii():
             end = self.parse_starttag(at)
         elif follows == "/":
             end = self.parse_endtag(at)
@@ -184,7 +190,7 @@ class TreeBuilder(HTMLParser):
             end = at + 1
             self.handle_data("<")
         if end < 0:  # never closed: plain text up to the next bracket
-            end = html.find(">", at + 1) + 1
+            end = html.find(">", at + 1) + 1 if at < self._last_close else 0
             if not end:
                 end = html.find("<", at + 1)
                 if end < 0:
@@ -383,6 +389,8 @@ class TreeBuilder(HTMLParser):
 
         self.reset()
         self.rawdata = html
+        self._last_close = html.rfind(">")
+        self._last_comment = max(html.rfind("-->"), html.rfind("--!>"))
         find, plain_tag = html.find, self._plain_tag
         at, size = 0, len(html)
         while at < size:
@@ -415,7 +423,9 @@ class TreeBuilder(HTMLParser):
                     raw = meaning[0]
             if raw:  # script and style: no markup up to their own end tag
                 match = _RAW_END[raw].search(html, at)
-                if match is None:  # never closed: no content
+                if match is None:  # never closed: the rest of the page is its string
+                    if at < size:
+                        buffered.append(html[at:])
                     break
                 if match.start() > at:
                     buffered.append(html[at : match.start()])

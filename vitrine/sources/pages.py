@@ -30,6 +30,14 @@ def usable_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(page_fault(pages).isNull())
 
 
+def parse_usable(pages: DataFrame, *args, **options) -> DataFrame:
+    """``parse_pages`` without failed pages: no source, bad status or a parser error.
+
+    Those are the rows of :func:`quarantine`; reports must not count them.
+    """
+    return parse_pages(usable_pages(pages), *args, **options).filter(F.col("parse_error").isNull())
+
+
 def quarantine(pages: DataFrame) -> DataFrame:
     """Failed pages as rows: ``page_id, url, reason``.
 
@@ -52,6 +60,6 @@ def script_bodies(kind: str) -> Sql:
 def embedded_json(pages: DataFrame, kind: str) -> DataFrame:
     """One row per embedded JSON script: ``page_id, url, pos, body``."""
     keep = Keep(attr_values=frozenset((("type", kind),)), attr_names=frozenset(("type",)))
-    return parse_pages(pages, keep).selectExpr(
+    return parse_usable(pages, keep).selectExpr(
         "page_id", "url", f"posexplode({script_bodies(kind)}) AS (pos, body)"
     )

@@ -126,7 +126,7 @@ def _parse_one(builder, html, keys):
     try:
         tree = builder.build(html)
     except Exception as error:  # noqa: BLE001 - a bad page is data, not a failure
-        return "", "", [], [], f"{type(error).__name__}: {error}"[:200], len(html)
+        return "", "", [], [], f"{type(error).__name__}: {error}", len(html)
     hits = []
     if keys:
         for node in tree.nodes:
