@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm import bpe, chat, linededup, mixing, pii, quality, secrets, simhash, topk, urls
+from vitrine.llm.oracles import ORACLES  # noqa: F401 - registered beside the queries
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -127,4 +128,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lines": op9_lines,
     "op10_topk": op10_topk,
 }
-ORACLES: dict[str, str] = {}
