@@ -14,6 +14,7 @@ from vitrine.operators.links import category_links
 from vitrine.operators.products import COLUMNS, extract_products
 from vitrine.plans.rules import Rules
 from vitrine.session import stored
+from vitrine.sinks.write import FORMATS, output_path, write_products
 from vitrine.sources.pages import usable_pages
 
 
@@ -47,6 +48,28 @@ def extract_category(
     return joined.select("listed_in", "listed_pos", *COLUMNS)
 
 
+def run_catalogue(
+    pages: DataFrame, categories: DataFrame, rules: Rules, root: str, as_of, limit: int | None = None,
+    formats=FORMATS, prefix: str = "products",
+) -> tuple[str, dict[str, int], DataFrame]:
+    """A whole run: links, limit, records, files named after the run.
+
+    Returns the output path, the rows written per format (empty for an empty run, which
+    leaves no files), and ``category, items``: the written records of every category,
+    0 included.
+    """
+    spark = pages.sparkSession
+    path = output_path(spark, root, categories, as_of, prefix)
+    written = write_products(extract_category(pages, categories, rules, limit, as_of), path, formats)
+    every = categories.select("category").distinct()
+    if not written:
+        return path, written, every.withColumn("items", F.lit(0).cast("long"))
+    table = spark.read.parquet(f"{path}/parquet")
+    counts = table.groupBy(F.col("listed_in").alias("category")).agg(F.count(F.lit(1)).alias("items"))
+    found = every.join(counts, "category", "left")
+    return path, written, found.select("category", F.coalesce("items", F.lit(0)).alias("items"))
+
+
 def union_runs(*runs: DataFrame) -> DataFrame:
     """Append runs; a bag, nothing is removed."""
     return reduce(DataFrame.unionByName, runs)

@@ -306,6 +306,16 @@ _CATEGORY_SQL = {
   SELECT category AS listed_in, CAST(nth - 1 AS INTEGER) AS listed_pos, url, {_RECORD['name']} AS name, {_RECORD['price']} AS price,
          {_RECORD['brand']} AS brand, {_RECORD['official_name']} AS official_name
   FROM ({_LISTED}) WHERE nth <= 3""",
+    "catalogue_run": f"""
+  WITH seeds AS (SELECT DISTINCT {_CATEGORY} AS category FROM part),
+       listed AS (SELECT category, count(*) AS items FROM ({_LISTED}) WHERE nth <= 5 GROUP BY category),
+       total AS (SELECT CAST(sum(items) AS BIGINT) AS n FROM listed),
+       label AS (SELECT CASE WHEN count(DISTINCT split_part(category, '/', 1)) = 1
+                   THEN replace(min(split_part(category, '/', 1)) || '_multiple', '-', '_')
+                   ELSE 'multiple_' || count(*) || '_categories' END AS label FROM seeds)
+  SELECT 'products_' || label || '_20250101_000000' AS run, n AS n_parquet, n AS n_json, n AS n_csv,
+         category, coalesce(items, 0) AS items
+  FROM seeds LEFT JOIN listed USING (category), total, label""",
     "category_catalogue_all": f"""
   SELECT category AS listed_in, CAST(nth - 1 AS INTEGER) AS listed_pos, url, {_RECORD['name']} AS name, {_RECORD['price']} AS price,
          {_RECORD['brand']} AS brand, {_RECORD['official_name']} AS official_name

@@ -15,7 +15,7 @@ from vitrine.functions import text as tx
 from vitrine.functions import urls
 from vitrine.operators import counting, follow, images, labels, limits, links, products, profile
 from vitrine.plans import rendered
-from vitrine.plans.catalogue import extract_category, union_runs
+from vitrine.plans.catalogue import extract_category, run_catalogue, union_runs
 from vitrine.session import spread, stored, work_folder
 from vitrine.sinks.write import read_products_csv, write_products
 from vitrine.sources.pages import embedded_json, load_pages, quarantine
@@ -307,6 +307,15 @@ def category_catalogue_all(spark, folder):
     return category_catalogue(spark, folder, limit=None)
 
 
+def catalogue_run(spark, folder):
+    part = _table(spark, folder, "part")
+    pages = union_runs(rendered.product_pages(part), rendered.category_pages(part))
+    root = work_folder(spark, "runs")
+    path, written, items = run_catalogue(pages, rendered.categories(part), RULES, root, AS_OF, limit=5)
+    counts = [F.lit(written[kind]).cast("long").alias(f"n_{kind}") for kind in ("parquet", "json", "csv")]
+    return items.select(F.lit(path.rpartition("/")[2]).alias("run"), *counts, "category", "items")
+
+
 def runs_appended(spark, folder):
     run = _fields(spark, folder, "name", "sku")
     return union_runs(run, run)
@@ -342,6 +351,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         product_images_long, product_content, products_full, gallery_counts, image_report,
         embedded_scripts, selector_first_hit, selector_first_text, selector_coverage,
         fill_rate, rule_wins, category_links, links_followed, links_followed_salted,
-        category_catalogue, category_catalogue_all, runs_appended, sink_roundtrip,
+        category_catalogue, category_catalogue_all, catalogue_run, runs_appended, sink_roundtrip,
     )
 }
