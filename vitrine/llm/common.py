@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,7 +44,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 # A stored table is sent whole to every task only up to this size on disk.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 4 << 20
 
 
 def sized(table: DataFrame) -> DataFrame:
@@ -64,6 +64,13 @@ def drop_stored(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few MB: texts are long rows.  A size the user has set is left alone."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # the default
+        spark.conf.set(key, "4m")
+
+
 def per_text(
     df: DataFrame,
     text_col: str,
@@ -82,6 +89,7 @@ def per_text(
     import pyspark.sql.types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(df.sparkSession)
     fields = [df.schema[c] for c in keep]
     out = T.StructType(fields + T._parse_datatype_string(schema).fields)
     arrow = to_arrow_schema(out)

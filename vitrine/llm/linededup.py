@@ -42,21 +42,24 @@ def _by_groups(
     batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], work: Callable[[dict], dict]
 ) -> Iterator[pa.RecordBatch]:
     """Work on sorted rows in runs of whole groups."""
-    rest: dict[str, np.ndarray] | None = None
+    waiting: list[dict[str, np.ndarray]] = []
+    size, enough = 0, AHEAD
     for batch in batches:
-        rows = {n: c.to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns)}
-        if rest is not None:
-            rows = {k: np.concatenate([rest[k], v]) for k, v in rows.items()}
-        size = len(rows[keys[0]])
-        cut = 0
-        if size >= AHEAD:
-            last = np.logical_and.reduce([rows[k] == rows[k][-1] for k in keys])
-            cut = int(np.argmax(last))
+        if not batch.num_rows:
+            continue
+        waiting.append({n: c.to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns)})
+        size += batch.num_rows
+        if size < enough:
+            continue
+        rows = {k: np.concatenate([w[k] for w in waiting]) for k in waiting[0]}
+        last = np.logical_and.reduce([rows[k] == rows[k][-1] for k in keys])
+        cut = int(np.argmax(last))
         if cut:
             yield pa.RecordBatch.from_pydict(work({k: v[:cut] for k, v in rows.items()}))
-        rest = {k: v[cut:] for k, v in rows.items()}
-    if rest is not None and len(rest[keys[0]]):
-        yield pa.RecordBatch.from_pydict(work(rest))
+        waiting, size = [{k: v[cut:] for k, v in rows.items()}], size - cut
+        enough = max(AHEAD, 2 * size)  # one group larger than this is copied few times
+    if size:
+        yield pa.RecordBatch.from_pydict(work({k: np.concatenate([w[k] for w in waiting]) for k in waiting[0]}))
 
 
 def _runs(rows: dict) -> np.ndarray:

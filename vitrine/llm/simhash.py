@@ -31,7 +31,7 @@ from vitrine.llm.components import components
 
 PARTS, SEGMENTS = 4, 8  # parts of a fingerprint, two-bit segments in a part
 BLOCK = 4096
-PAIRS = 1 << 21  # pairs compared at a time
+PAIRS = 1 << 19  # pairs compared at a time
 U = np.uint64
 
 
