@@ -72,7 +72,7 @@ def test_query(spark, data):
     docs = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "source", "text").collect()]
     rows = op2_mixing(spark, data).collect()
     assert sorted([(r.doc_id, r.source, r.epoch) for r in rows], key=repr) == brute(docs, 2.0)
-    assert all(0 <= r.position < 1 for r in rows)
+    assert all(0 <= r.position <= 1 for r in rows)
 
 
 def test_entropy_budget_and_edges(spark):

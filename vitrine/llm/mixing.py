@@ -8,7 +8,7 @@ Without a budget the total is the least that uses every document at least once;
 
 A source that is due e passes gets floor(e) blocks, each a permutation of all its
 documents, and one block with the first documents of another permutation, as many as fit
-the rest of its budget.  ``position`` spreads the blocks of all sources evenly over [0, 1).
+the rest of its budget.  ``position`` spreads the blocks of all sources evenly over [0, 1].
 
 DataFrame functions only.  A permutation is the order of md5(seed, pass, id).  Where the
 last block ends is found by radix descent: token sums by the next two hex digits, per
