@@ -184,8 +184,10 @@ def repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     )
     place = F.struct("doc", "th", "first")
     groups = found.groupBy("size", "left", "right").agg(F.count("*").alias("n"), F.min(place).alias("original"))
+    # stored, so that a block with very many members is split in the join
+    groups = stored(groups.filter("n > 1"), "intervals")
     later = (
-        found.join(groups.filter("n > 1"), ["size", "left", "right"])
+        found.join(sized(groups), ["size", "left", "right"])
         .filter(place != F.col("original"))
         .select("doc", "th", "first", "last")
     )
