@@ -105,6 +105,13 @@ def test_secrets_found(text, value):
     assert value in [text[a:b] for a, b in secrets.literals(text)]
 
 
+@pytest.mark.parametrize("name", ["db_pass", "DB_PASS", "smtp.pass", "api.key", "access.key", "private.key", "secret.key"])
+def test_secrets_gate_lets_every_scored_name_through(name):
+    text = f"{name} = Zq8#kLm2pQ9w-Xy7\n"
+    assert secrets.name_score(name) > 0 and [text[a:b] for a, b in secrets.literals(text)] == ["Zq8#kLm2pQ9w-Xy7"]
+    assert all(secrets.literals(f"{n.replace(' ', '.')}: Zq8#kLm2pQ9w-Xy7") for n, w in secrets.NAMES.items() if w >= 0.5)
+
+
 @pytest.mark.parametrize("text", [
     "password = 'changeme'", "token_count = 123456789", "secret = get_secret('Zq8#kLm2pQ9w')", "title = 'Zq8#kLm2pQ9w'",
     "a = b; b = a; password = a", "password: the word of the day is long", "password = ''", "password =", "= token",

@@ -32,8 +32,6 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so shorter ones are dropped by the count
-STEMS = ("passw", "pwd", "passphrase", "secret", "token", "apikey", "api_key", "api-key", "accesskey", "access_key",
-         "access-key", "privatekey", "private_key", "private-key", "credential", "bearer", "auth")
 
 LEX = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`]*+`)"""
@@ -52,6 +50,8 @@ NAMES = {
     "apikey": 1.0, "api key": 1.0, "access key": 0.9, "private key": 1.0, "secret key": 1.0, "auth key": 0.9,
     "credential": 0.8, "credentials": 0.8, "bearer": 0.9, "auth": 0.5, "authorization": 0.7, "key": 0.3,
 }
+# a name with a score holds one of these
+STEMS = tuple(sorted({words.split()[-1] for words in NAMES}))
 SOFTER = {"test": 0.6, "example": 0.5, "sample": 0.5, "dummy": 0.4, "public": 0.5, "name": 0.4, "file": 0.4,
           "path": 0.4, "url": 0.4, "type": 0.4, "length": 0.3, "count": 0.3}
 EMPTY = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|todo|none|null|true|false|undefined|your[_-].*|<.*>|\$\{.*\}|%.*%|example.*)$")
