@@ -121,3 +121,35 @@ def test_near_duplicates(spark):
     assert len(left) == len(set(left)) == len(groups) + 1  # the two empty texts are one
     assert all(sum(d in left for d in ids) == 1 for ids in groups.values())
     assert simhash.drop_near_duplicates(df.limit(0)).columns == df.columns
+
+
+def test_block_edits_against_brute_force(spark):
+    """A passage appended, cut or replaced: the classes are those of all pairs at 0.8."""
+    random.seed(8)
+    texts = []
+    for size in (40, 100, 300, 1000):
+        for similarity in (0.79, 0.805, 0.82, 0.85, 0.9):
+            base = [f"w{int(random.paretovariate(0.7)) % 5000}" for _ in range(size)]
+            other = [f"x{random.randrange(5000)}" for _ in range(size)]
+            more = round(size * (1 / similarity - 1))
+            swap, at = max(1, round(size * (1 - similarity) / (1 + similarity)) - 4), size // 3
+            texts += [base, base + other[:more], [*base[:at], *other[:swap], *base[at + swap :]]]
+            cut = [f"y{w}" for w in base]
+            texts += [cut, cut[: round(size * similarity)]]
+    texts = [" ".join(t) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [set(zip(*[t.split()[i:] for i in range(5)])) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                root = [root[j] if r == root[i] else r for r in root]
+    got = {}
+    for row in simhash.near_duplicate_classes(df).collect():
+        got.setdefault(row.root, set()).add(row.doc)
+    want = {}
+    for doc, r in enumerate(root):
+        want.setdefault(r, set()).add(doc)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert len(want) < 0.7 * len(texts)

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from vitrine.llm.common import per_text, sized, stored
+from vitrine.llm.common import drop_stored, per_text, sized, stored
 from vitrine.llm.components import components
 
 PARTS, SEGMENTS = 4, 8  # parts of a fingerprint, two-bit segments in a part
@@ -265,8 +265,12 @@ def simhash_classes(docs: DataFrame, n: int = 3, max_bits: int = 3, id_col: str
 
 
 # -- near duplicates by similarity ---------------------------------------------------
-VIEWS, SKETCH = 8, 48  # 64-bit words
-WEIGHT = 16  # weights of words are whole numbers, so sums are exact in any order
+BANDS, ROWS = 32, 5  # a pair of Jaccard similarity 0.8 shares no band once in 300,000
+SKETCH = 48  # 64-bit words
+SMALL = 64  # with fewer shingles the sketch says too little
+DEVIATIONS = 5  # standard errors the sketch is trusted beyond
+GROUP_ROWS, GROUP_BYTES = 1024, 16 << 20  # block of a group whose shingles are compared
+FACTORS = np.random.default_rng(42).integers(0, 1 << 64, BANDS * ROWS, U) | U(1)
 
 
 def _mixed(values: np.ndarray, count: int) -> np.ndarray:
@@ -278,47 +282,181 @@ def _mixed(values: np.ndarray, count: int) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def views(text: str | bytes | None) -> bytes:
-    """SimHashes of the words, weighted by the root of their count: an edit moves few bits."""
-    words = words_of(text)
-    if not words:
-        return bytes(8 * VIEWS)
-    numbers: dict[bytes, int] = {}
-    for word in words:
-        numbers[word] = numbers.get(word, 0) + 1
-    weights = np.rint(WEIGHT * np.sqrt(np.fromiter(numbers.values(), np.float64, len(numbers)))).astype(np.float32)
-    mixed = _mixed(hashes(list(numbers)), VIEWS).astype(">u8")
-    total = np.zeros(64 * VIEWS, np.float64)
-    for start in range(0, len(weights), 4096):
-        bits = np.unpackbits(mixed[start : start + 4096].view(np.uint8), axis=1)
-        total += weights[start : start + 4096] @ bits.astype(np.float32)
-    return np.packbits(total * 2 > weights.astype(np.float64).sum()).tobytes()
-
-
-def sketch(text: str | bytes | None, n: int = 5) -> bytes:
-    """One wide SimHash of the distinct n-word shingles; it measures similarity."""
-    parts = np.unique(hashes(shingles(words_of(text), n)))
+def shingle_set(text: str | bytes | None, n: int = 5) -> np.ndarray:
+    """Hashes of the distinct n-word shingles, ascending."""
+    return np.unique(hashes(shingles(words_of(text), n)))
+
+
+def bands(parts: np.ndarray) -> bytes:
+    """One number a band: the least of the set under each of ROWS permutations."""
+    least = np.full(BANDS * ROWS, ~U(0))
+    for start in range(0, len(parts), 512):
+        np.minimum(least, (parts[start : start + 512, None] * FACTORS).min(0), out=least)
+    rows = least.reshape(BANDS, ROWS)
+    out = np.arange(BANDS, dtype=U)
+    for row in range(ROWS):
+        out = (out ^ (out >> U(29))) * U(0xBF58476D1CE4E5B9) + rows[:, row]
+    return out.tobytes()
+
+
+def sketch(parts: np.ndarray) -> bytes:
+    """One wide SimHash of the shingles; it measures similarity."""
     total = np.zeros(64 * SKETCH, np.int64)
     for start in range(0, len(parts), 4096):
         total += bit_counts(_mixed(parts[start : start + 4096], SKETCH))
     return np.packbits(total * 2 > len(parts)).tobytes()
 
 
-def sketch_bits(similarity: float) -> int:
-    """Differing sketch bits expected at a Jaccard similarity of shingles (equal sizes)."""
-    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(angle * 64 * SKETCH)
+def sketch_limits(similarity: float) -> tuple[int, int]:
+    """Differing sketch bits up to which a pair surely has the similarity, and above which it surely has not."""
+    bits = 64 * SKETCH
+    # the cosine is least for equal sizes and greatest for a set within the other
+    far, near = (np.arccos(c) / np.pi for c in (2 * similarity / (1 + similarity), np.sqrt(similarity)))
+    error = lambda p: DEVIATIONS * np.sqrt(bits * p * (1 - p))
+    return int(bits * near - error(near)), int(np.ceil(bits * far + error(far)))
+
+
+def _banded(batches: Iterator[pa.RecordBatch], carried: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows with their cells, one row per band."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cells = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64).reshape(batch.num_rows, -1)
+        for band in range(cells.shape[1]):
+            columns = [pa.array(np.ascontiguousarray(cells[:, band])), *(batch.column(c) for c in carried)]
+            yield pa.RecordBatch.from_arrays(columns, names=["cell", *carried])
+
+
+def _similar(batches: Iterator[pa.RecordBatch], similarity: float, exact: bool) -> Iterator[pa.RecordBatch]:
+    """Links inside the groups of sorted rows ``(cell, lo, hi, side, id, size, sketch[, class, parts])``.
+
+    By sketches: spanning forests of the possible links and of the sure ones.  ``exact``:
+    links between rows of different classes, by counting common shingles.
+    """
+    sure_bits, far_bits = sketch_limits(similarity)
+    found: list[tuple[np.ndarray, np.ndarray, bool]] = []
+    names = ("cell", "lo", "hi", "side", "id", "size") + ("class",) * exact
+
+    def compare(table: pa.Table) -> None:
+        cell, lo, hi, side, ids, size, *more = (table.column(c).to_numpy() for c in names)
+        n = len(cell)
+        bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), U).reshape(n, -1)
+        parts = [np.frombuffer(x, U) for x in table.column("parts").to_pylist()] if exact else []
+        new = np.r_[True, (np.diff(cell) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)]
+        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+
+        def measured(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            less, most = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+            differ = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
+            fits = less + 1e-9 >= similarity * most
+            return fits & ((less < SMALL) | (differ <= far_bits)), fits & (less >= SMALL) & (differ <= sure_bits)
+
+        def keep(i: np.ndarray, j: np.ndarray, sure: bool) -> None:
+            if len(i):
+                found.append((*forest(ids[i], ids[j]), sure))
+
+        alike = np.zeros(n, bool)  # surely like the first row of their group: linked through it
+        if not exact:
+            for at in range(0, n, 1 << 15):
+                i = np.arange(at, min(n, at + (1 << 15)))
+                maybe, sure = measured(i, start[i])
+                alike[i] = sure
+                maybe, sure = maybe & ~new[i], sure & ~new[i]
+                keep(i[maybe], start[i][maybe], False)
+                keep(i[sure], start[i][sure], True)
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (y := root.get(x, x)) != x:
+                root[x] = root.get(y, y)
+                x = y
+            return x
+
+        before = np.arange(n) - start
+        total = np.cumsum(before)
+        at = 0
+        while at < n:
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
+            many = before[at:stop]
+            left = np.repeat(np.arange(at, stop), many)
+            right = np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(start[at:stop], many)
+            ok = (lo[left] == hi[left]) | (side[left] != side[right])
+            ok &= more[0][left] != more[0][right] if exact else ~(alike[left] & alike[right]) & (right != start[left])
+            left, right = left[ok], right[ok]
+            for cut in range(0, len(left), 1 << 15):
+                i, j = left[cut : cut + (1 << 15)], right[cut : cut + (1 << 15)]
+                maybe, sure = measured(i, j)
+                if not exact:
+                    keep(i[maybe], j[maybe], False)
+                    keep(i[sure], j[sure], True)
+                    continue
+                linked = []
+                for x, y in zip(i[maybe].tolist(), j[maybe].tolist()):
+                    a, b = top(int(more[0][x])), top(int(more[0][y]))
+                    if a == b:
+                        continue
+                    common = len(np.intersect1d(parts[x], parts[y], assume_unique=True))
+                    if common + 1e-9 >= similarity * (len(parts[x]) + len(parts[y]) - common):
+                        root[max(a, b)] = min(a, b)
+                        linked.append((x, y))
+                if linked:
+                    x, y = np.array(linked).T
+                    keep(x, y, True)
+            at = stop
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for sure in (False, True):
+            if some := [x[:2] for x in found if x[2] == sure]:
+                b, a = forest(*(np.concatenate(x) for x in zip(*some)))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array([sure] * len(a))], names=["a", "b", "sure"])
+        found.clear()
+
+    rest: list[pa.RecordBatch] = []  # the last group may go on in the next batch
+    key: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell, lo, hi = (batch.column(c).to_numpy(zero_copy_only=False) for c in names[:3])
+        last = (cell == cell[-1]) & (lo == lo[-1]) & (hi == hi[-1])
+        cut = int(np.argmax(last))
+        if rest and (cut or key != (cell[-1], lo[-1], hi[-1])):
+            compare(pa.Table.from_batches([*rest, batch.slice(0, cut)]))
+            rest = []
+        elif cut:
+            compare(pa.Table.from_batches([batch.slice(0, cut)]))
+        rest.append(batch.slice(cut))
+        key = (cell[-1], lo[-1], hi[-1])
+        if sum(len(x[0]) for x in found) > 1_000_000:
+            yield from out()
+    if rest:
+        compare(pa.Table.from_batches(rest))
+    yield from out()
+
+
+def _similar_links(rows: DataFrame, big: DataFrame, similarity: float, exact: bool = False) -> DataFrame:
+    """``a, b, sure`` of ``rows(cell, id, ...)``; ``big`` (stored) has the ``cell, blocks`` above one block."""
+    columns = [c for c in rows.columns if c != "cell"]
+    placed = (
+        rows.join(sized(big), "cell", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("cell", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", *columns)
+    )
+    grouped = placed.repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi")
+    return grouped.mapInArrow(lambda batches: _similar(batches, similarity, exact), "a long, b long, sure boolean")
 
 
 def near_duplicate_classes(
-    docs: DataFrame, similarity: float = 0.8, slack: float = 0.01, n: int = 5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, similarity: float = 0.8, n: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc, th, root``: id (NULL as the least long), text hash and class of every row.
 
-    Two texts are linked if one view differs in at most three bits and their sketches put
-    the similarity of their n-word shingles at ``similarity - slack`` or more; ``slack``
-    is about the standard error of that measure.  A first grid join over the views alone
-    tells which texts have a partner at all; only those get sketches.
+    Two texts are linked if their n-word shingles have a Jaccard similarity of at least
+    ``similarity``.  Candidates share a band of least hashes, which depends on the
+    similarity alone and not on where the texts differ.  Their sketches tell clear pairs
+    from clear strangers, ``DEVIATIONS`` standard errors off; where what lies between could
+    still join two classes, the shingles themselves are counted.
     """
     keyed = docs.select(
         F.coalesce(docs[id_col], F.lit(-(2**63))).cast("long").alias("doc"),
@@ -326,35 +464,66 @@ def near_duplicate_classes(
         docs[text_col].alias("text"),
     )
 
-    def seen(text_view):
-        return lambda: lambda texts: {text_view.__name__: [text_view(t) for t in texts]}
-
-    made = per_text(keyed, "text", "views binary", seen(views), ["doc", "th"], True)
-    made = stored(made.withColumn("id", F.xxhash64("views")), "views")
-    points = stored(made.groupBy("id").agg(F.first("views").alias("views"), F.count("*").alias("n")), "points")
-    links = grid_links(points, 3)
-    paired = links.select(F.col("a").alias("id")).union(links.select("b")).union(points.filter("n > 1").select("id"))
-    near = stored(made.join(paired.distinct(), "id", "left_semi").select("doc", "th").distinct(), "paired")
-
-    def measure():
-        return lambda texts: {"views": [views(t) for t in texts], "sketch": [sketch(t, n) for t in texts]}
-
-    some = keyed.join(sized(near), ["doc", "th"], "left_semi")
-    close = per_text(some, "text", "views binary, sketch binary", measure, ["doc", "th"], True)
-    close = stored(close.withColumn("id", F.xxhash64("views", "sketch")), "sketches")
-    points = close.groupBy("id").agg(F.first("views").alias("views"), F.first("sketch").alias("sketch"))
-    nodes = stored(components(grid_links(stored(points, "points"), 3, sketch_bits(similarity - slack))), "nodes")
-    classes = close.join(sized(nodes), close["id"] == nodes["node"], "left").select(
-        "doc", "th", F.coalesce("root", "id").alias("root")
+    def shown():
+        def work(texts: list) -> dict[str, list]:
+            sets = [shingle_set(t, n) for t in texts]
+            ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], U).view(np.int64)
+            return {"id": ids, "bands": [bands(s) for s in sets]}
+        return work
+
+    made = stored(per_text(keyed, "text", "id long, bands binary", shown, ["doc", "th"], True), "bands")
+    # texts of equal shingles are one point
+    rows = stored(made.select("doc", "th", "id"), "points-of-rows")
+    points = stored(made.groupBy("id").agg(F.first("bands").alias("bands")), "points")
+    drop_stored(made)
+    cells = points.mapInArrow(lambda batches: _banded(batches, ["id"]), "cell long, id long")
+    shared = stored(cells.groupBy("cell").count().filter("count > 1").select("cell"), "shared-cells")
+    near = stored(cells.join(sized(shared), "cell", "left_semi").select("id").distinct(), "paired")
+    # one row for each point that has a partner
+    first = F.min(F.struct("doc", "th")).alias("first")
+    shown_by = rows.join(sized(near), "id", "left_semi").groupBy("id").agg(first)
+    shown_by = stored(shown_by.select("first.doc", "first.th", "id"), "shown-by")
+
+    def measure(with_parts: bool):
+        def work(texts: list) -> dict[str, list]:
+            sets = [shingle_set(t, n) for t in texts]
+            out = {"size": [len(s) for s in sets], "sketch": [sketch(s) for s in sets]}
+            return out | ({"parts": [s.tobytes() for s in sets]} if with_parts else {"bands": [bands(s) for s in sets]})
+        return lambda: work
+
+    some = keyed.join(sized(shown_by), ["doc", "th"])
+    close = per_text(some, "text", "size int, sketch binary, bands binary", measure(False), ["id"], True)
+    close = stored(close, "sketches").dropDuplicates(["id"])
+    carried = ["id", "size", "sketch"]
+    banded = close.mapInArrow(lambda batches: _banded(batches, carried), "cell long, id long, size int, sketch binary")
+    light = close.select("bands").mapInArrow(lambda batches: _banded(batches, []), "cell long")
+    blocks = F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")
+    big = stored(light.groupBy("cell").count().filter(F.col("count") > BLOCK).select("cell", blocks), "big-cells")
+    links = stored(_similar_links(banded, big, similarity), "links")
+    # only a group of possible links that holds several sure classes is open
+    sure = components(links.filter("sure")).select(F.col("node").alias("member"), F.col("root").alias("class"))
+    loose = components(links)
+    groups = stored(
+        loose.join(sure, loose["node"] == sure["member"], "left")
+        .select(F.col("root").alias("cell"), F.col("node").alias("id"), F.coalesce("class", "node").alias("class")),
+        "groups",
     )
-    # the others stand alone
-    alone = made.join(sized(near), ["doc", "th"], "left_anti").select("doc", "th", F.xxhash64("doc", "th").alias("root"))
-    return classes.union(alone)
+    several = groups.groupBy("cell").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y")
+    several = stored(several.select("cell"), "open-groups")
+    asked = groups.join(sized(several), "cell", "left_semi").join(shown_by, "id")
+    asked = keyed.join(sized(stored(asked, "open-texts")), ["doc", "th"])
+    kept = ["cell", "id", "class"]
+    asked = stored(per_text(asked, "text", "size int, sketch binary, parts binary", measure(True), kept, True), "shingles")
+    asked = asked.dropDuplicates(["id"])
+    parts = F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum(F.length("parts")) / GROUP_BYTES)).cast("int")
+    big = stored(asked.groupBy("cell").agg(parts.alias("blocks")).filter("blocks > 1"), "big-groups")
+    counted = _similar_links(asked, big, similarity, True)
+    nodes = stored(components(links.filter("sure").select("a", "b").union(counted.select("a", "b"))), "nodes")
+    return rows.join(sized(nodes), rows["id"] == nodes["node"], "left").select("doc", "th", F.coalesce("root", "id").alias("root"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of every class of near duplicates: the least id, then text hash."""
-    # a text alone has a root of its own
     classes = stored(near_duplicate_classes(docs, id_col=id_col, text_col=text_col, **options), "classes")
     kept = classes.groupBy("root").agg(F.min(F.struct("doc", "th")).alias("kept"))
     place = F.struct("doc", "th")
