@@ -69,6 +69,16 @@ def test_contexts_are_learned(spark):
     assert {r.doc_id: r.s for r in found.filter("s LIKE '%learned%'").collect()} == wanted
 
 
+def test_instance_in_many_contexts(spark):
+    """Enough good patterns round a score to exactly 1; the instance stays a learned one."""
+    docs = [(i, f"w{chr(97 + i % 60 // 26)}{chr(97 + i % 60 % 26)} mail user{i}@mail.example.com now") for i in range(300)]
+    docs += [(1000 + i, f"w{chr(97 + i // 26)}{chr(97 + i % 26)} mail ID-77777 now") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = pii.find_personal_data(df).select("doc_id", pii.spans_text(F.col("spans")).alias("s"))
+    got = {r.doc_id: r.s for r in found.filter("doc_id >= 1000").collect()}
+    assert got == {1000 + i: "learned_email:9:17" for i in range(60)}
+
+
 def test_pii_query(spark, data):
     texts = dict(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect())
     rows = op3_pii(spark, data).collect()

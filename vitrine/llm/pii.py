@@ -197,7 +197,8 @@ def learn(found: DataFrame, limits: Bootstrap = Bootstrap()) -> DataFrame:
         "edges",
     )
     seeds = edges.filter("known IS NOT NULL").select("instance", F.col("known").alias("kind")).distinct()
-    known = stored(seeds.withColumn("score", F.lit(1.0)), "known")
+    seeds = stored(seeds.withColumn("score", F.lit(1.0)).withColumn("seed", F.lit(True)), "seeds")
+    known = seeds
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
     for _ in range(limits.rounds):
         hits = edges.join(known, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("hit"))
@@ -214,11 +215,12 @@ def learn(found: DataFrame, limits: Bootstrap = Bootstrap()) -> DataFrame:
         )
         # the kind with the highest score, of equal ones the first listed
         best = said.groupBy("instance").agg(F.max_by(F.struct("kind", "score"), F.struct("score", -F.col("kind"))).alias("x"))
-        new = best.select("instance", "x.kind", "x.score")
-        after = stored(known.filter("score = 1.0").union(new), "known")
-        drop_stored(known, good)
+        # a score may round to that of a seed, so seeds are told apart by their flag
+        new = best.select("instance", "x.kind", "x.score", F.lit(False).alias("seed"))
+        after = stored(seeds.union(new), "known")
+        drop_stored(good, *([] if known is seeds else [known]))
         known = after
-    return stored(known.filter("score < 1.0").select("instance", "kind"), "learned")
+    return stored(known.filter("NOT seed").select("instance", "kind"), "learned")
 
 
 def find_personal_data(
