@@ -85,4 +85,25 @@ _TOP_K = """
     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
-ORACLES: dict[str, str] = {"op6_chat": _chat(), "op8_quality": _quality(), "op10_topk": _TOP_K}
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+_LEXICAL = f"""
+    WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+    q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+    s AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+    f AS (SELECT doc_id, any_value(n) AS n, term, count(*) AS tf
+          FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+          WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+          FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+    p AS (SELECT item_id, doc_id,
+            CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+          FROM q JOIN f USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id),
+    r AS (SELECT item_id, doc_id, score,
+            CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+          FROM p WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+ORACLES: dict[str, str] = {"op6_chat": _chat(), "op8_quality": _quality(), "op10_topk": _TOP_K, "op13_lexical": _LEXICAL}

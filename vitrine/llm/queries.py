@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import bpe, chat, linededup, mixing, pii, quality, secrets, simhash, topk, urls
+from vitrine.llm import (
+    bpe, bytebpe, chat, lexical, linededup, mixing, pii, quality, secrets, simhash, spelling, topk, urls,
+)
 from vitrine.llm.oracles import ORACLES  # noqa: F401 - registered beside the queries
 
 VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +20,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def byte_ranks() -> tuple[str, str]:
+    """Rank file and splitting pattern of the byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -116,6 +125,26 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op11_bytebpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    coded = bytebpe.round_trip(docs, *byte_ranks(), keep=["doc_id"])
+    return coded.select(
+        "doc_id",
+        F.expr("CAST(length(ids) / 4 AS BIGINT)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_forms(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return lexical.search(docs.select("doc_id", "text"), items.select("item_id", "text"), 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_mixing": op2_mixing,
@@ -127,4 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_lines": op9_lines,
     "op10_topk": op10_topk,
+    "op11_bytebpe": op11_bytebpe,
+    "op12_spelling": op12_spelling,
+    "op13_lexical": op13_lexical,
 }
