@@ -7,7 +7,8 @@ through any number of steps and through concatenation.  A literal is scored by t
 of the name it ends up in and by its own look; high scores become spans.  Plain patterns
 for well-known shapes run beside it, and their spans are always kept.
 
-One text at a time inside Arrow batches, no shuffle; every pattern is linear in the text.
+One text at a time inside Arrow batches, no shuffle.  A text is read once: the lexer never reads
+a line again, every assignment is put together once from its parts, and spans are looked up by bisection.
 
 Defined cases: NULL and empty texts have no spans; spans are in code points, end exclusive;
 repeated rows are scanned alike; cyclic assignments end; columns in ``keep`` pass through,
@@ -18,7 +19,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,7 +38,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so shorter ones are dropped by the count
 
 LEX = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`]*+`)"""
+    r"""(?P<escape>\\.)|(?P<string>"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`]*+`)"""
     r"""|(?P<op>=>|:=|==+|!=|<=|>=|=|:(?!//))"""
     r"""|(?P<plus>\+|\.\.(?!\.))"""
     r"""|(?P<name>[A-Za-z_$][\w$]*+(?:[.-][A-Za-z_$][\w$]*+)*+)"""
@@ -69,19 +73,61 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """How much a literal looks like a secret: length, mix of characters, no placeholder."""
-    if len(value) < 8 or any(c.isspace() for c in value) or EMPTY.match(value):
-        return 0.0
-    n = len(value)
-    bits = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    kinds = any(c.islower() for c in value) + any(c.isupper() for c in value) + any(c.isdigit() for c in value)
-    kinds += any(not c.isalnum() for c in value)
-    return min(1.0, 0.25 * min(kinds, 3) + 0.1 * bits)
+    return Value.of(value).score()
+
+
+HEAD = 32  # longer than every fixed part of a placeholder
+
+
+@dataclass
+class Value:
+    """What the score of a string needs to know; values of joined strings come from those of their parts."""
+
+    head: str
+    last: str
+    counts: Counter  # of characters
+
+    @classmethod
+    def of(cls, text: str) -> "Value":
+        return cls(text[:HEAD], text[-1:], Counter(text))
+
+    @classmethod
+    def joined(cls, parts: list["Value"]) -> "Value":
+        parts = [p for p in parts if p.last]
+        if len(parts) == 1:
+            return parts[0]
+        out = cls("", "", Counter())
+        for part in parts:
+            if len(out.head) < HEAD and out.counts.total() == len(out.head):
+                out.head = (out.head + part.head)[:HEAD]
+            out.last = part.last
+            out.counts.update(part.counts)
+        return out
+
+    def score(self) -> float:
+        n = self.counts.total()
+        if n < 8 or any(c.isspace() for c in self.counts) or self.placeholder(n):
+            return 0.0
+        bits = -sum(k / n * math.log2(k / n) for k in self.counts.values())
+        kinds = any(c.islower() for c in self.counts) + any(c.isupper() for c in self.counts)
+        kinds += any(c.isdigit() for c in self.counts) + any(not c.isalnum() for c in self.counts)
+        return min(1.0, 0.25 * min(kinds, 3) + 0.1 * bits)
+
+    def placeholder(self, n: int) -> bool:
+        if n <= len(self.head):
+            return bool(EMPTY.match(self.head))
+        # runs of one character are told by the counts, the rest by both ends
+        if len(self.counts) <= 2 and {c.lower() for c in self.counts} in ({"x"}, {"*"}, {"."}):
+            return True
+        return len({c.lower() for c in self.head}) > 1 and bool(EMPTY.match(self.head + self.last))
 
 
 def assignments(text: str) -> list[tuple[str, int, list[tuple]]]:
-    """``(name, position, parts)``; a part is ``("lit", start, end)`` or ``("ref", name)``."""
-    tokens = [(m.lastgroup, m.start(), m.end()) for m in LEX.finditer(text)]
+    """``(name, position, parts)``; a part is ``("lit", start, end)`` or ``("ref", name, start, end)``."""
+    tokens = [(m.lastgroup, m.start(), m.end()) for m in LEX.finditer(text) if m.lastgroup != "escape"]
+    starts = [start for _, start, _ in tokens]
     out = []
+    run_end = 0  # end of the bare run looked at last; a run is read once however many values start in it
     for i, (kind, start, end) in enumerate(tokens):
         if kind != "op" or text[start:end] in ("==", "===", "!=", "<=", ">="):
             continue
@@ -92,22 +138,22 @@ def assignments(text: str) -> list[tuple[str, int, list[tuple]]]:
             continue
         name = text[tokens[at][1] : tokens[at][2]].strip("\"'`")
         parts: list[tuple] = []
-        k, expected, stop = i + 1, True, end
+        k, expected = i + 1, True
         while k < len(tokens):
             what, a, b = tokens[k]
             if expected and what == "string":
                 parts.append(("lit", a + 1, b - 1))
             elif expected and what in ("name", "bare"):
-                run = BARE.match(text, a)
+                if a >= run_end:
+                    run_end = BARE.match(text, a).end()
                 follows = tokens[k + 1] if k + 1 < len(tokens) else ("line", b, b)
                 if what == "name" and follows[0] == "open" and follows[1] == b:
                     break  # a call
-                if what == "name" and run.end() == b:
+                if what == "name" and run_end == b:
                     parts.append(("ref", text[a:b], a, b))
                 else:
-                    parts.append(("lit", a, run.end()))
-                    while k + 1 < len(tokens) and tokens[k + 1][1] < run.end():
-                        k += 1
+                    parts.append(("lit", a, run_end))
+                    k = bisect_left(starts, run_end, k + 1) - 1
             elif not expected and what == "plus":
                 pass
             else:
@@ -120,48 +166,79 @@ def assignments(text: str) -> list[tuple[str, int, list[tuple]]]:
 
 
 def literals(text: str, threshold: float = 0.5) -> list[tuple[int, int]]:
-    """Spans of literals that reach a sensitive name with a score of at least ``threshold``."""
+    """Spans of literals that reach a sensitive name with a score of at least ``threshold``.
+
+    A name on the right stands for its latest assignment before, else for its first one.  The value
+    of an assignment is put together once, from the values of its parts; a name that is part of
+    its own value adds nothing.  A single bare word that no assignment explains is a literal.
+    """
     low = text.lower()
     if not any(stem in low for stem in STEMS):
         return []
     pairs = assignments(text)
-    by_name: dict[str, list[int]] = {}
+    first: dict[str, int] = {}
     for at, (name, _, _) in enumerate(pairs):
-        by_name.setdefault(name, []).append(at)
+        first.setdefault(name, at)
+    latest: dict[str, int] = {}
+    sources = []  # per assignment: literal spans and the numbers of other assignments
+    for at, (name, _, parts) in enumerate(pairs):
+        source = []
+        for part in parts:
+            if part[0] == "lit":
+                source.append(part[1:3])
+            elif part[1] in first:
+                source.append(latest.get(part[1], first[part[1]]))
+            elif len(parts) == 1:
+                source.append(part[2:4])
+        sources.append(source)
+        latest[name] = at
+
+    # bare literals of one run share its end: each is what stands before the next, and that
+    runs: dict[int, list[int]] = {}
+    for a, b in {part for source in sources for part in source if isinstance(part, tuple)}:
+        runs.setdefault(b, []).append(a)
+    nested: dict[tuple, Value] = {}
+    for b, begins in runs.items():
+        if len(begins) > 1:
+            rest, after = Value.of(""), b
+            for a in sorted(begins, reverse=True):
+                rest, after = Value.joined([Value.of(text[a:after]), rest]), a
+                nested[a, b] = rest
 
-    def reach(at: int, seen: set[int]) -> list[tuple[int, int]]:
-        """Literal spans that flow into an assignment, in order; iterative, cycles end."""
-        spans, todo = [], [(at, 0)]
-        seen.add(at)
+    values: dict[int, Value | None] = {}  # None while its parts are looked at
+
+    def value(at: int) -> Value:
+        todo = [at]
         while todo:
-            here, part = todo.pop()
-            parts = pairs[here][2]
-            if part >= len(parts):
+            here = todo[-1]
+            if here not in values:
+                values[here] = None
+                todo += [s for s in sources[here] if isinstance(s, int) and s not in values]
                 continue
-            todo.append((here, part + 1))
-            item = parts[part]
-            if item[0] == "lit":
-                spans.append(item[1:3])
-            elif item[1] in by_name:
-                known = by_name[item[1]]
-                source = max((k for k in known if k < here), default=known[0])
-                if source not in seen:
-                    seen.add(source)
-                    todo.append((source, 0))
-            elif len(parts) == 1:
-                spans.append(item[2:4])  # a bare word that no assignment explains
-        return spans
+            todo.pop()
+            if values[here] is None:
+                parts = [
+                    values[s] if isinstance(s, int) else nested[s] if s in nested else Value.of(text[s[0] : s[1]])
+                    for s in sources[here]
+                ]
+                values[here] = Value.joined([p for p in parts if p is not None])
+        return values[at]
 
-    found = set()
+    found, marked = set(), set()
     for at, (name, _, _) in enumerate(pairs):
         weight = name_score(name)
-        if weight <= 0:
+        if weight <= 0 or at in marked or weight * value(at).score() < threshold:
             continue
-        spans = reach(at, set())
-        value = "".join(text[a:b] for a, b in spans)
-        if weight * literal_score(value) >= threshold:
-            found.update((a, b) for a, b in spans if b > a)
-    return sorted(found)
+        todo = [at]
+        marked.add(at)
+        while todo:
+            for source in sources[todo.pop()]:
+                if isinstance(source, tuple):
+                    found.add(source)
+                elif source not in marked:
+                    marked.add(source)
+                    todo.append(source)
+    return sorted((a, b) for a, b in found if b > a)
 
 
 def scan(text: str | None, threshold: float = 0.5) -> list[dict]:
@@ -174,9 +251,11 @@ def scan(text: str | None, threshold: float = 0.5) -> list[dict]:
     if any(word in low for word in ("passw", "secret", "token", "api")):
         spans += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
     base = sorted(spans)
+    starts = [start for start, _, _ in base]
+    reach = list(accumulate((end for _, _, end in base), max, initial=0))  # of the spans up to each
     added = []
     for a, b in literals(text, threshold):
-        if not any(s <= a and b <= e for s, _, e in base):
+        if reach[bisect_right(starts, a)] < b:  # in no plain span
             added.append((a, 3, b))
     return [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(base + added)]
 
