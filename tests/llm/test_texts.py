@@ -202,3 +202,17 @@ def test_topk_ties_and_edges(spark, monkeypatch, block):
     assert len(ints) == 152 and got == slow_topk(ints, 7)
     assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
     assert topk.top_k(v.filter("id < 3"), v.filter("id = 0"), 20).count() == 2
+
+
+def test_quality_of_single_words_and_pairs():
+    from vitrine.llm.quality import measure
+
+    def plain(text, n):
+        words = text.split()
+        grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+        inside = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(n)}
+        return sum(len(words[i]) for i in inside)
+
+    for text in ("a b x y a b z w", "a a", "a", "", "a b c", "one two one", "x y z x y z", "p q r s p t"):
+        assert measure(text, (1, 2, 3))[6:] == [plain(text, n) for n in (1, 2, 3)]
+    assert measure("a b x y a b z w", (2,))[6] == 4

@@ -83,7 +83,7 @@ def per_text(
     """Row-wise step over texts, one Arrow batch at a time, without a shuffle.
 
     ``make()`` is called once per task and returns ``texts -> {new column: values}``.
-    Columns in ``keep`` pass through unread.  A batch is worked in slices of about
+    Columns in ``keep`` pass through unread; the text is sent once, also if it is among them.  A batch is worked in slices of about
     ``slice_bytes`` of text (one text at least), which bounds the memory of a task.
     """
     import pyspark.sql.types as T
@@ -94,20 +94,22 @@ def per_text(
     out = T.StructType(fields + T._parse_datatype_string(schema).fields)
     arrow = to_arrow_schema(out)
     names, n_kept = out.names, len(keep)
+    at = keep.index(text_col) if text_col in keep else n_kept
+    sent = [df[c] for c in keep] + ([] if text_col in keep else [df[text_col].alias("__text")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(n_kept)), 0).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
             slices = np.cumsum(sizes.astype(np.int64)) // slice_bytes
             cuts = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), batch.num_rows]
             for start, stop in zip(cuts, cuts[1:]):
                 part = batch.slice(start, stop - start)
-                column = part.column(n_kept)
+                column = part.column(at)
                 texts = (column.cast(pa.binary()) if binary else column).to_pylist()
                 made = work(texts)
                 columns = [part.column(i).cast(arrow.field(i).type) for i in range(n_kept)]
                 columns += [pa.array(made[n], arrow.field(n).type) for n in names[n_kept:]]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return df.select(*[df[c] for c in keep], df[text_col].alias("__text")).mapInArrow(run, out)
+    return df.select(*sent).mapInArrow(run, out)

@@ -96,16 +96,18 @@ def measure(text: str | None, ngrams: tuple[int, ...]) -> list[int]:
             k * (len(line) - sum(map(line.count, SPACES))) for line, k in seen.items() if k > 1
         )
     out = [n, word_chars, symbols, dup_lines, 0, line_chars, *[0] * len(ngrams)]
-    if n < 4:
+    short = min(ngrams, default=3) < 3  # single words or pairs are measured too
+    if n < (2 if short else 4):
         return out
     numbers: dict[bytes, int] = {}
     ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, n)
     if len(numbers) == n:
         return out
-    hit = _repeated(_triples(ids, len(numbers)))
-    if not hit.any():
+    if n >= 4:
+        hit = _repeated(_triples(ids, len(numbers)))
+        out[4] = int(_covered(hit, 3, n).sum())
+    if not out[4] and not short:
         return out
-    out[4] = int(_covered(hit, 3, n).sum())
     flat = np.frombuffer(raw, np.uint8)
     if len(flat) == len(text):
         sizes = np.fromiter(map(len, words), np.int64, n)
@@ -162,6 +164,8 @@ def measure_quality(
 
 def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``, whatever their names."""
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), docs[text_col].alias("__judged"))
-    judged = measure_quality(packed, rules, "__judged", keep=["__row"])
-    return judged.filter("kept").select("__row.*")
+    # own names for all columns, so that none clashes and the text goes to Python once
+    names = {c: f"column{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.select(*[docs[c].alias(name) for c, name in names.items()])
+    judged = measure_quality(plain, rules, names[text_col], keep=list(names.values()))
+    return judged.filter("kept").select(*[F.col(name).alias(c) for c, name in names.items()])
