@@ -247,22 +247,44 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] |
     return per_text(docs, text_col, "ids binary", make, _replacing(docs, keep, "ids"), True, SLICE)
 
 
-def decode(encoded: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """``encoded`` with ``decoded``: the tokens of packed ids, joined by blanks as the file asks for."""
+def _reader(path: str):
+    """Packed ids to text: their tokens, joined by blanks as the file asks for."""
+    tokens = np.array(load_vocabulary(path).tokens, object)
 
-    def make():
-        tokens = np.array(load_vocabulary(path).tokens, object)
+    def text(ids):
+        numbers = np.frombuffer(ids or b"", "<u4")
+        found = tokens[numbers[numbers < len(tokens)]].tolist()
+        return " ".join(found if None not in found else [t for t in found if t is not None])
 
-        def text(ids):
-            numbers = np.frombuffer(ids or b"", "<u4")
-            found = tokens[numbers[numbers < len(tokens)]].tolist()
-            return " ".join(found if None not in found else [t for t in found if t is not None])
+    return text
 
+
+def decode(encoded: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """``encoded`` with ``decoded``: the text that packed ids stand for."""
+
+    def make():
+        text = _reader(path)
         return lambda packed: {"decoded": [text(ids) for ids in packed]}
 
     return per_text(encoded, ids_col, "decoded string", make, _replacing(encoded, keep, "decoded"), False, SLICE)
 
 
+def round_trip(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``ids`` and, decoded from them, ``decoded``: one step, so one process a core."""
+
+    def make():
+        encoder, text = Encoder(path), _reader(path)
+
+        def work(texts):
+            packed = encoder.encode(texts)
+            return {"ids": packed, "decoded": [text(ids) for ids in packed]}
+
+        return work
+
+    keep = _replacing(docs, keep, "ids", "decoded")
+    return per_text(docs, text_col, "ids binary, decoded string", make, keep, True, SLICE)
+
+
 def unpack(ids) -> "F.Column":
     """Packed ids as an array of long."""
     digits, size = F.hex(ids), F.floor(F.length(ids) / 4).cast("int")

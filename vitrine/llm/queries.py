@@ -69,8 +69,7 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    path = vocabulary_path()
-    coded = bpe.decode(bpe.encode(docs, path, keep=["doc_id"]), path)
+    coded = bpe.round_trip(docs, vocabulary_path(), keep=["doc_id"])
     return coded.select(
         "doc_id",
         F.expr("CAST(length(ids) / 4 AS BIGINT)").alias("n_tokens"),
