@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from vitrine.functions import nodes as nd
 from vitrine.functions import text as tx
@@ -12,7 +13,7 @@ from vitrine.functions.sql import coalesce, first_of, let, lit
 from vitrine.operators.links import ANCHORS, LINK_KEEP, page_links
 from vitrine.operators.products import RECORD, first_with_digit
 from vitrine.plans.rules import Rules
-from vitrine.session import join_side
+from vitrine.session import join_side, stored
 from vitrine.sources.pages import parse_usable
 
 # Default words and selectors of the reports.
@@ -167,14 +168,56 @@ def first_link(links: DataFrame) -> DataFrame:
     return links.agg(best).filter(F.col("best").isNotNull()).select("best.*")
 
 
+FIRST_BLOCK, GROWTH = 16, 8  # seeds in the first block of a walk, and how fast blocks grow
+
+
+def seed_bounds(seeds: DataFrame, first: int = FIRST_BLOCK) -> list[int]:
+    """Last ``ord`` of every block of a walk: about ``first`` seeds, then 8 times as many, and so on.
+
+    One aggregate; the bounds are approximate, which moves seeds between blocks and never changes a result.
+    """
+    total = seeds.agg(F.count("ord").alias("n")).first()["n"]
+    shares, size = [], first
+    while size < total:
+        shares.append(size / total)
+        size *= GROWTH
+    bounds = seeds.agg(F.percentile_approx("ord", [*shares, 1.0], 100_000).alias("at")).first()["at"] or []
+    return sorted(set(bounds))
+
+
+def walk_seeds(
+    pages: DataFrame, seeds: DataFrame, find: Callable[[DataFrame], DataFrame], first: int = FIRST_BLOCK
+) -> tuple[DataFrame, int]:
+    """First link over the seed pages in their order, and the number of pages parsed for it.
+
+    ``find`` takes seed pages (with ``ord``) to links.  Seeds are taken in blocks of growing size;
+    the walk stops at the first block that has a link, so pages behind it are never parsed.  A
+    walk without a hit parses every seed page once, in a handful of jobs.  Seeds without an ``ord`` come first.
+    """
+    seeds, _ = stored(seeds.select("url", F.col("ord").cast("long").alias("ord")), "seeds")
+    parsed, low = 0, None
+    for high in seed_bounds(seeds, first) or [None]:
+        block = F.lit(True) if high is None else F.coalesce(F.col("ord") <= high, F.lit(low is None))
+        if low is not None:
+            block &= F.col("ord") > low
+        seen = Observation()
+        asked = seed_pages(pages, seeds.filter(block)).observe(seen, F.count(F.lit(1)).alias("pages"))
+        hit, size = stored(first_link(find(asked)), "first-link")
+        parsed += seen.get["pages"]
+        if size["rows"]:
+            break
+        low = high
+    return hit, parsed
+
+
 def first_candidate(pages: DataFrame, seeds: DataFrame, base_url: str, **marks) -> DataFrame:
-    """First item-like link over the seed pages in their order."""
-    return first_link(candidate_links(seed_pages(pages, seeds), base_url, carry=("ord",), **marks))
+    """First item-like link over the seed pages in their order; pages behind its block are not parsed."""
+    return walk_seeds(pages, seeds, lambda some: candidate_links(some, base_url, carry=("ord",), **marks))[0]
 
 
 def first_search_hit(pages: DataFrame, seeds: DataFrame, base_url: str, **marks) -> DataFrame:
-    """First item link over the stored result pages of the search terms, in their order."""
-    return first_link(search_hits(seed_pages(pages, seeds), base_url, carry=("ord",), **marks))
+    """First item link over the stored result pages of the search terms, in their order; stops as above."""
+    return walk_seeds(pages, seeds, lambda some: search_hits(some, base_url, carry=("ord",), **marks))[0]
 
 
 # -- elements -----------------------------------------------------------------
