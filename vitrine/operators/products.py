@@ -19,6 +19,7 @@ from vitrine.functions.sql import Sql, any_of, coalesce, first_non_empty, first_
 from vitrine.operators import content, images
 from vitrine.plans.rules import Rules
 from vitrine.sources.htmltree import Keep
+from vitrine.sources.pages import page_fault
 from vitrine.sources.parse import JSON_TYPE, LINKED_JSON_TYPE, parse_pages
 
 # The record: column order, type and the value that stands for "missing".
@@ -341,6 +342,28 @@ def with_sentinels(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
+def records_and_failures(
+    pages: DataFrame,
+    rules: Rules,
+    as_of=None,
+    extra: dict[str, "F.Column"] | None = None,
+) -> DataFrame:
+    """One row per page, from one parse: ``page_id``, the record's columns, and ``reason``.
+
+    ``reason`` is NULL for a good page.  Of a failed page (no source, an error status or a
+    parser error) only ``page_id``, ``url``, ``crawled_at`` and ``reason`` say something, the other columns
+    hold what stands for "missing".  See ``sinks.write.write_outcomes`` for two tables of it.
+    """
+    fault = page_fault(pages)
+    judged = pages.withColumns({"_fault": fault, "html": F.when(fault.isNull(), F.col("html"))})
+    found = extract_fields(judged, rules, carry=("page_id", "url", "_fault"))
+    when = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    reason = F.when(F.col("parse_error").isNotNull(), F.coalesce("_fault", "parse_error")).alias("reason")
+    record = with_sentinels(found.withColumn("crawled_at", when))
+    out = record.select("page_id", *COLUMNS, reason)
+    return out.withColumns(extra) if extra else out
+
+
 def extract_products(
     pages: DataFrame,
     rules: Rules,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine import session
 from vitrine.functions.urls import is_item_url
@@ -14,7 +15,7 @@ from vitrine.operators.links import category_links
 from vitrine.operators.products import COLUMNS, extract_products
 from vitrine.plans.rules import Rules
 from vitrine.session import stored
-from vitrine.sinks.write import FORMATS, output_path, write_products
+from vitrine.sinks.write import FORMATS, Folder, output_path, write_products
 from vitrine.sources.pages import usable_pages
 
 
@@ -70,6 +71,69 @@ def run_catalogue(
     return path, written, found.select("category", F.coalesce("items", F.lit(0)).alias("items"))
 
 
+# Folders of a run that can be resumed; names with an underscore are skipped by readers.
+STAGED, LOG, RECORDS = "_staged", "_log", "parquet"
+
+
+def finished_categories(spark: SparkSession, root: str) -> DataFrame:
+    """The commit log of a run: ``category, part`` of every finished category."""
+    schema = "category string, part string"
+    if not Folder(spark, f"{root}/{LOG}").exists():
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/{LOG}")
+
+
+def resume_catalogue(
+    pages: DataFrame, categories: DataFrame, rules: Rules, root: str, as_of, limit: int | None = None,
+    parts: int = 8, at_most: int | None = None,
+) -> dict[str, int]:
+    """A category run in parts; called again after a stop, it goes on with what is not finished.
+
+    The categories that the log below ``root`` doesn't name are split by hash into ``parts``; each
+    part is extracted and staged, and only then are its categories logged.  A part that was cut off is
+    in no log: it is done again, and what it left is never read.  When all are logged, the staged
+    parts become visible as ``root/parquet``, the same rows as a whole run gives.  ``at_most``
+    ends the call after that many parts.  Returns the numbers of ``finished`` and ``left`` categories.
+
+    ``as_of`` and ``limit`` should stay the same between calls.  Each part scans the pages
+    once for its categories and once for their items, so more parts lose less work and read more.
+    """
+    spark = pages.sparkSession
+    root = root.rstrip("/")
+    todo = categories.join(finished_categories(spark, root).select("category"), "category", "left_anti")
+    todo, size = stored(todo.select("ord", "category"), "open-categories")
+    count = min(parts, size["rows"])
+    for number in range(count if at_most is None else min(count, at_most)):
+        some = todo.filter(F.pmod(F.xxhash64("category"), F.lit(count)) == number)
+        name = f"part-{uuid.uuid4().hex}"
+        extract_category(pages, some, rules, limit, as_of).write.parquet(f"{root}/{STAGED}/{name}")
+        some.select("category").distinct().withColumn("part", F.lit(name)).write.mode("append").parquet(f"{root}/{LOG}")
+    done = finished_categories(spark, root)
+    left = categories.select("category").distinct().join(done, "category", "left_anti").count()
+    if not left:
+        _publish(spark, root, done)
+    return {"finished": done.select("category").distinct().count(), "left": left}
+
+
+def _publish(spark: SparkSession, root: str, done: DataFrame) -> None:
+    """Make the logged parts visible, one rename each; done again after a stop, it finishes the rest."""
+    visible = Folder(spark, f"{root}/{RECORDS}")
+    visible.make()
+    # one row per part, and parts are few: the caller named their number
+    for row in done.select("part").distinct().collect():
+        staged = Folder(spark, f"{root}/{STAGED}/{row['part']}")
+        if staged.exists():
+            staged.move_to(f"{root}/{RECORDS}/part={row['part']}")
+    visible.mark_done()
+
+
+def read_catalogue(spark: SparkSession, root: str) -> DataFrame:
+    """The records of a finished run."""
+    if not Folder(spark, f"{root.rstrip('/')}/{RECORDS}/_SUCCESS").exists():
+        raise ValueError(f"the run below {root} is not finished: call resume_catalogue again")
+    return spark.read.parquet(f"{root.rstrip('/')}/{RECORDS}").drop("part")
+
+
 def union_runs(*runs: DataFrame) -> DataFrame:
     """Append runs; a bag, nothing is removed."""
     return reduce(DataFrame.unionByName, runs)

@@ -287,6 +287,18 @@ _PROBE_SQL = {
   FROM ({_PROBE_B_ROWS}) GROUP BY ALL""",
 }
 
+# -- records together with failures --------------------------------------------
+_NO_PAGE, _BAD_STATUS = "p_partkey % 13 = 5", "p_partkey % 17 = 3"
+_OUTCOMES = f"""
+  SELECT 'record' AS kind, {', '.join(f'{_RECORD[f]} AS {f}' for f in ('url', 'name', 'price', 'brand', 'images', 'content'))},
+         '2025-01-01 00:00:00' AS crawled_at, NULL::VARCHAR AS reason
+  FROM {_PART} WHERE NOT ({_NO_PAGE} OR {_BAD_STATUS})
+  UNION ALL
+  SELECT 'failure', {_URL}, NULL, NULL, NULL, NULL, NULL, NULL,
+         CASE WHEN {_NO_PAGE} THEN 'no html' ELSE 'status 404' END
+  FROM part WHERE {_NO_PAGE} OR {_BAD_STATUS}"""
+_OUTCOME_SQL = {"records_and_failures": _OUTCOMES, "stream_records": _OUTCOMES}
+
 # -- category pages -----------------------------------------------------------
 _LISTED = f"""
   SELECT *, {_CATEGORY} AS category, {_URL} AS url,
@@ -322,4 +334,6 @@ _CATEGORY_SQL = {
   FROM ({_LISTED})""",
 }
 
-ORACLES: dict[str, str] = {**_PAGE_SQL, **_TAXONOMY_SQL, **_RECORD_SQL, **_PROBE_SQL, **_CATEGORY_SQL}
+_CATEGORY_SQL["catalogue_resumed"] = _CATEGORY_SQL["category_catalogue"]
+
+ORACLES: dict[str, str] = {**_PAGE_SQL, **_TAXONOMY_SQL, **_RECORD_SQL, **_PROBE_SQL, **_CATEGORY_SQL, **_OUTCOME_SQL}

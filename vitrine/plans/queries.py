@@ -15,12 +15,16 @@ from vitrine.functions import text as tx
 from vitrine.functions import urls
 from vitrine.operators import counting, follow, images, labels, limits, links, products, profile
 from vitrine.plans import rendered
-from vitrine.plans.catalogue import extract_category, run_catalogue, union_runs
+from vitrine.plans.catalogue import (
+    extract_category, read_catalogue, resume_catalogue, run_catalogue, union_runs,
+)
 from vitrine.session import spread, stored, work_folder
-from vitrine.sinks.write import read_products_csv, write_products
+from vitrine.sinks.write import (
+    Folder, read_failures, read_products_csv, read_records, write_outcomes, write_products,
+)
 from vitrine.sources.pages import embedded_json, load_pages, quarantine
 from vitrine.sources.taxonomy import all_mains, category_paths, subcategories
-from vitrine.streaming.ingest import ingest, read_page_stream
+from vitrine.streaming.ingest import ingest, ingest_records, read_page_stream
 
 BASE = rendered.BASE
 RULES = rendered.RULES
@@ -307,6 +311,18 @@ def category_catalogue_all(spark, folder):
     return category_catalogue(spark, folder, limit=None)
 
 
+def catalogue_resumed(spark, folder):
+    """A run stopped after two of four parts, then resumed."""
+    part = _table(spark, folder, "part")
+    pages = union_runs(rendered.product_pages(part), rendered.category_pages(part))
+    root, seeds = work_folder(spark, "resumed"), rendered.categories(part)
+    for at_most in (2, None):
+        resume_catalogue(pages, seeds, RULES, root, AS_OF, limit=3, parts=4, at_most=at_most)
+    return read_catalogue(spark, root).select(
+        "listed_in", "listed_pos", "url", "name", "price", "brand", "official_name"
+    )
+
+
 def catalogue_run(spark, folder):
     part = _table(spark, folder, "part")
     pages = union_runs(rendered.product_pages(part), rendered.category_pages(part))
@@ -339,6 +355,60 @@ def sink_roundtrip(spark, folder):
     return union_runs(*runs)
 
 
+# -- records together with failures ---------------------------------------------
+def _with_faults(pages):
+    """Some pages without a source, some with an error status."""
+    return pages.selectExpr(
+        "page_id", "url", "if(page_id % 13 = 5, NULL, html) AS html", "if(page_id % 17 = 3, 404, 200) AS status"
+    )
+
+
+def _both(spark, path, schema):
+    """Records and failures of a written table as rows of one kind."""
+    good = read_records(spark, path, schema).selectExpr(
+        "'record' AS kind", "url", "name", "price", "brand", "array_join(images, '|') AS images", "content",
+        "date_format(crawled_at, 'yyyy-MM-dd HH:mm:ss') AS crawled_at", "CAST(NULL AS STRING) AS reason",
+    )
+    failed = read_failures(spark, path, schema).selectExpr(
+        "'failure' AS kind", "url", "CAST(NULL AS STRING) AS name", "CAST(NULL AS DOUBLE) AS price",
+        "CAST(NULL AS STRING) AS brand", "CAST(NULL AS STRING) AS images", "CAST(NULL AS STRING) AS content",
+        "CAST(NULL AS STRING) AS crawled_at", "reason",
+    )
+    return union_runs(good, failed)
+
+
+def records_and_failures(spark, folder):
+    path = work_folder(spark, "outcomes")
+    found = products.records_and_failures(_with_faults(_items(spark, folder)), RULES, as_of=AS_OF)
+    write_outcomes(found, path)
+    return _both(spark, path, found.schema)
+
+
+def stream_records(spark, folder):
+    """Three drops of page files, taken in by two runs; the last batch of the first run is repeated."""
+    drops, table, log = (work_folder(spark, name) for name in ("drops", "records", "records-log"))
+    pages = _with_faults(_items(spark, folder))
+
+    def drop(number):
+        pages.filter(F.col("page_id") % 3 == number).write.mode("append").parquet(drops)
+
+    def catch_up():
+        stream = read_page_stream(spark, drops, pages.schema, files_per_batch=2)
+        run = ingest_records(stream, RULES, table, log, AS_OF)
+        run.awaitTermination()
+
+    drop(0)
+    drop(1)
+    catch_up()
+    # as after a crash between writing a batch and noting it as done
+    newest = max(int(name) for name in Folder(spark, f"{log}/commits").names() if name.isdigit())
+    Folder(spark, f"{log}/commits/{newest}").remove()
+    drop(2)
+    catch_up()
+    schema = products.records_and_failures(pages, RULES, as_of=AS_OF).schema
+    return _both(spark, table, schema)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -351,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         product_images_long, product_content, products_full, gallery_counts, image_report,
         embedded_scripts, selector_first_hit, selector_first_text, selector_coverage,
         fill_rate, rule_wins, category_links, links_followed, links_followed_salted,
-        category_catalogue, category_catalogue_all, catalogue_run, runs_appended, sink_roundtrip,
+        category_catalogue, category_catalogue_all, catalogue_run, catalogue_resumed, runs_appended, sink_roundtrip,
+        records_and_failures, stream_records,
     )
 }

@@ -45,13 +45,71 @@ def write_products(products: DataFrame, path: str, formats=FORMATS) -> dict[str,
     return written
 
 
+# Folders of the two outcomes below a table written by ``write_outcomes``.
+OUTCOME, GOOD, FAILED = "outcome", "record", "failure"
+
+
+def write_outcomes(pages_out: DataFrame, path: str, batch: int | None = None) -> None:
+    """Write ``records_and_failures`` once, split by outcome, under ``path`` (one folder per batch).
+
+    Writing the same batch again replaces its folder and nothing else.
+    """
+    outcome = F.when(F.col("reason").isNull(), GOOD).otherwise(FAILED)
+    folder = path if batch is None else f"{path}/batch={batch}"
+    pages_out.withColumn(OUTCOME, outcome).write.mode("overwrite").partitionBy(OUTCOME).parquet(folder)
+
+
+def read_records(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The records under ``path``; ``schema`` is that of ``records_and_failures``."""
+    table = _outcomes(spark, path, schema).filter(F.col(OUTCOME) == GOOD)
+    return table.select(*[f.name for f in schema if f.name not in ("page_id", "reason")])
+
+
+def read_failures(spark: SparkSession, path: str, schema) -> DataFrame:
+    """``page_id, url, reason`` of the failed pages under ``path``."""
+    return _outcomes(spark, path, schema).filter(F.col(OUTCOME) == FAILED).select("page_id", "url", "reason")
+
+
+def _outcomes(spark, path, schema):
+    from pyspark.sql import types as T
+
+    folders = [T.StructField("batch", T.LongType()), T.StructField(OUTCOME, T.StringType())]
+    return spark.read.schema(T.StructType([*schema, *folders])).parquet(path)
+
+
+class Folder:
+    """A folder or file of whatever file system its path names."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._paths = spark._jvm.org.apache.hadoop.fs.Path
+        self.path = self._paths(path)
+        self._files = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self._files.exists(self.path)
+
+    def names(self) -> list[str]:
+        return [entry.getPath().getName() for entry in self._files.listStatus(self.path)]
+
+    def make(self) -> None:
+        self._files.mkdirs(self.path)
+
+    def mark_done(self) -> None:
+        self._files.create(self._paths(self.path, "_SUCCESS"), True).close()
+
+    def move_to(self, target: str) -> None:
+        if not self._files.rename(self.path, self._paths(target)):
+            raise OSError(f"could not rename {self.path} to {target}")
+
+    def remove(self) -> None:
+        self._files.delete(self.path, True)
+
+
 def _remove(spark: SparkSession, made: str, folder: str) -> None:
     """Take back the output of an empty run, and its folder if nothing else is in it."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(made).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(hadoop.Path(made), True)
-    if not files.listStatus(hadoop.Path(folder)):
-        files.delete(hadoop.Path(folder), False)
+    Folder(spark, made).remove()
+    if not Folder(spark, folder).names():
+        Folder(spark, folder).remove()
 
 
 def _csv(path):

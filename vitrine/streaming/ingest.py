@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from vitrine.operators.products import records_and_failures
+from vitrine.plans.rules import Rules
+from vitrine.sinks.write import write_outcomes
+
 
 def read_page_stream(
     spark: SparkSession, folder: str, schema, glob: str = "*.parquet", files_per_batch: int = 1000
@@ -38,3 +42,22 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_records(pages: DataFrame, rules: Rules, table: str, checkpoint: str, as_of=None) -> StreamingQuery:
+    """Start one catch-up run that turns page files into whole records and a list of failed pages.
+
+    Every batch is parsed once and written once, as ``table/batch=<id>`` split by outcome; a batch that
+    is repeated after a crash replaces its own folder, so its rows appear once.  Read the table with
+    ``sinks.write.read_records`` and ``read_failures``.  ``as_of`` stamps the records (default:
+    the time of the batch).
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        write_outcomes(records_and_failures(batch, rules, as_of), table, number)
+
+    return (
+        pages.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
