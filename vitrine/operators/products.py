@@ -102,8 +102,8 @@ def info_value(label: str) -> Sql:
 
 
 # -- brand -------------------------------------------------------------------
-def json_brand(rules: Rules) -> Sql:
-    """Brand from embedded JSON: plain scripts first, then linked-data scripts.
+def json_brands(rules: Rules) -> tuple[Sql, Sql]:
+    """Brands in embedded JSON: ``array<struct<value, failed>>`` of the plain scripts, and that of linked data.
 
     A plain script that could not be used falls back to a text match; a
     linked-data script that could not be used is passed over.
@@ -113,9 +113,16 @@ def json_brand(rules: Rules) -> Sql:
         tx.non_empty(f"regexp_extract({body}, {lit(f'(?iu)"{key}[^"]*":{tx.WS}*"([^"]+)"')}, 1)")
         for key in rules.brand_keys
     )
-    plain = f"transform(filter(json_hits, h -> NOT h.linked), h -> if(h.failed, {matches}, h.value))"
+    value = f"named_struct('value', if(h.failed, {matches}, h.value), 'failed', h.failed)"
+    plain = f"transform(filter(json_hits, h -> NOT h.linked), h -> {value})"
     linked = "transform(filter(json_hits, h -> h.linked AND NOT h.failed), h -> h.value)"
-    return tx.clean_text(f"coalesce({first_value(plain)}, {first_value(linked)})")
+    return plain, first_value(linked)
+
+
+def json_brand(rules: Rules) -> Sql:
+    """Brand from embedded JSON: plain scripts first, then linked-data scripts."""
+    plain, linked = json_brands(rules)
+    return tx.clean_text(f"coalesce({first_value(f'transform({plain}, h -> h.value)')}, {linked})")
 
 
 def inline_brand(rules: Rules) -> Sql:
@@ -138,10 +145,25 @@ def brand(rules: Rules) -> Sql:
 
 
 # -- ratings and counts ------------------------------------------------------
-def _in_range(value: Sql) -> Sql:
+def in_range(value: Sql) -> Sql:
     return let("x", value, "if(x BETWEEN 0 AND 5, x, NULL)")
 
 
+def rating_marks(rules: Rules) -> list[tuple[str, str]]:
+    """What follows a rating near the review word: the mark and its regular expression."""
+    return [("(", "\\("), (rules.star_word, rules.star_word), ("/", "/")]
+
+
+def class_rating(sel: nd.Sel, fixed_decimals: bool = False) -> Sql:
+    """Number before a slash in the first match."""
+    head = f"substring_index({nd.text_of('e')}, '/', 1)"
+    if fixed_decimals:
+        number = tx.non_empty(f"regexp_extract({head}, {lit('[0-9]+(?:[.][0-9]+)?')}, 0)")
+    else:
+        number = tx.digits(head)
+    return first_of(nd.find_all(sel), "e", f"try_cast({number} AS DOUBLE)")
+
+
 def rating(rules: Rules, fixed_decimals: bool = False) -> Sql:
     """Rating near the review word, else in a summary box, else from a class.
 
@@ -149,21 +171,14 @@ def rating(rules: Rules, fixed_decimals: bool = False) -> Sql:
     recorded behaviour; ``fixed_decimals`` reads the number instead.
     """
     # bodies: text of the parent of every string with the review word
-    marks = ("\\(", rules.star_word, "/")
-    near = coalesce(_in_range(tx.number_before("t", mark)) for mark in marks)
+    near = coalesce(in_range(tx.number_before("t", mark)) for _, mark in rating_marks(rules))
     worded = any_of(f"contains(t, {lit(w)})" for w in (rules.review_word, rules.star_word))
     boxes = f"filter(transform(_boxes, e -> {nd.text_of('e')}), t -> {worded})"
-    boxed = _in_range(tx.number_before("t", "\\("))
-    head = f"substring_index({nd.text_of('e')}, '/', 1)"
-    if fixed_decimals:
-        number = tx.non_empty(f"regexp_extract({head}, {lit('[0-9]+(?:[.][0-9]+)?')}, 0)")
-    else:
-        number = tx.digits(head)
-    classed = f"try_cast({number} AS DOUBLE)"
+    boxed = in_range(tx.number_before("t", "\\("))
     return coalesce([
         first_value(f"transform(_review_texts, t -> {near})"),
         first_value(f"transform({boxes}, t -> {boxed})"),
-        *[first_of(nd.find_all(sel), "e", classed) for sel in rules.rating],
+        *[class_rating(sel, fixed_decimals) for sel in rules.rating],
     ])
 
 

@@ -7,7 +7,7 @@ extraction must give.  For the given ``pages`` it uses regular expressions.
 from __future__ import annotations
 
 from vitrine.plans.queries import CORE, KEYWORDS, RATED, TABLED
-from vitrine.plans.rendered import BASE, CDN, HOST
+from vitrine.plans.rendered import BASE, CDN, HOST, RULES
 
 
 def _decoded(text: str) -> str:
@@ -287,6 +287,54 @@ _PROBE_SQL = {
   FROM ({_PROBE_B_ROWS}) GROUP BY ALL""",
 }
 
+# Which rule wins where: field, rule number, label, test over ``part``.
+_WINS = [
+    ("name", 0, 'h1[data-test="product_name"]', "p_partkey % 3 = 0"),
+    ("name", 1, "h1", "p_partkey % 3 = 1"),
+    ("name", 2, ".product-title", "p_partkey % 3 = 2"),
+    ("price", 0, 'span[data-test="price"]', "p_partkey % 4 = 0"),
+    ("price", 1, ".price", "p_partkey % 4 = 1"),
+    ("price", 3, ".cost", "p_partkey % 4 = 2"),
+    ("original_price", 0, ".price-original", _EVEN),
+    ("unit", 0, 'span[data-test="unit"]', _EVEN),
+    ("sku", 0, 'span[data-test-id="sku"]', "true"),
+    ("discount", 1, ".sale-badge", _EVEN),
+    ("description", 0, ".product-description", "p_partkey % 10 = 0"),
+    ("description", 2, ".product-detail", f"{_EVEN} AND p_partkey % 10 <> 0"),
+    ("usage", 1, ".cach-dung", _EVEN),
+    ("availability", 1, ".stock-status", _EVEN),
+    ("category", 0, ".breadcrumb", "p_partkey % 5 <> 0"),
+    ("ingredients", 0, "table: Thành phần", _TABLE),
+    ("ingredients", 3, ".thanh-phan", f"{_EVEN} AND NOT {_TABLE}"),
+    ("brand", 0, "json", "p_partkey % 6 < 2"),
+    ("brand", 1, "json text", "p_partkey % 6 = 2"),
+    ("brand", 2, "linked json", "p_partkey % 6 = 3"),
+    ("brand", 3, "table: Thương hiệu", f"p_partkey % 6 = 4 AND {_TABLE}"),
+    ("brand", 4, "inline: Thương hiệu:", "p_partkey % 12 = 5"),
+    ("brand", 7, ".thuong-hieu", "p_partkey % 12 = 11"),
+    ("rating", 0, "near: (", "p_partkey % 5 = 0"),
+    ("rating", 1, "near: sao", "p_partkey % 5 = 3"),
+    ("rating", 3, 'div[class="flex items-center"]', "p_partkey % 5 = 1"),
+    ("rating", 4, ".rating", "p_partkey % 5 = 2"),
+    ("reviews_count", 0, 'div[class="flex items-center"]', "p_partkey % 5 = 0"),
+    ("reviews_count", 2, ".review-count", "p_partkey % 5 = 1"),
+    ("reviews_count", 3, ".so-danh-gia", "p_partkey % 5 = 2"),
+    ("comments_count", 0, 'div[class="flex items-center"]', "p_partkey % 5 < 2"),
+    ("images", 0, "carousel", "p_partkey % 6 = 0"),
+    ("images", 1, "gallery", "p_partkey % 6 = 1"),
+    ("images", 2, "modal", "p_partkey % 6 = 2"),
+    ("images", 3, "json", "p_partkey % 6 = 3"),
+    ("images", 8, "any_img", "p_partkey % 6 = 4"),
+    ("content", 0, "content", "p_partkey % 3 = 0"),
+    ("content", 2, "div.inner", "p_partkey % 3 = 1"),
+    *[(field, 0, f"table: {label}", "p_partkey % 7 <> 0") for field, label in RULES.table_labels],
+]
+_RECORD_SQL["rule_wins_all"] = " UNION ALL ".join(
+    f"SELECT '{field}' AS field, CAST({number} AS INTEGER) AS rule_idx, '{rule}' AS rule, count(*) AS pages"
+    f" FROM part WHERE {test} HAVING count(*) > 0"
+    for field, number, rule, test in _WINS
+)
+
 # -- records together with failures --------------------------------------------
 _NO_PAGE, _BAD_STATUS = "p_partkey % 13 = 5", "p_partkey % 17 = 3"
 _OUTCOMES = f"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vitrine.functions import nodes as nd
 from vitrine.functions import text as tx
 from vitrine.functions import urls
-from vitrine.operators import counting, follow, images, labels, limits, links, products, profile
+from vitrine.operators import counting, follow, images, labels, limits, links, products, profile, winners
 from vitrine.plans import rendered
 from vitrine.plans.catalogue import (
     extract_category, read_catalogue, resume_catalogue, run_catalogue, union_runs,
@@ -268,6 +268,10 @@ def rule_wins(spark, folder):
     return profile.rule_wins(_items(spark, folder), RULES)
 
 
+def rule_wins_all(spark, folder):
+    return winners.rule_wins_all(_items(spark, folder), RULES)
+
+
 def _category_links(spark, folder):
     part = _table(spark, folder, "part")
     return links.category_links(rendered.category_pages(part), rendered.categories(part), RULES)
@@ -420,7 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         products_core, products_rating, products_table, products_brand, product_images,
         product_images_long, product_content, products_full, gallery_counts, image_report,
         embedded_scripts, selector_first_hit, selector_first_text, selector_coverage,
-        fill_rate, rule_wins, category_links, links_followed, links_followed_salted,
+        fill_rate, rule_wins, rule_wins_all, category_links, links_followed, links_followed_salted,
         category_catalogue, category_catalogue_all, catalogue_run, catalogue_resumed, runs_appended, sink_roundtrip,
         records_and_failures, stream_records,
     )
