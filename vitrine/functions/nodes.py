@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from vitrine.functions.sql import Sql, first, first_of, let, lit
+from vitrine.functions.sql import Sql, first, first_of, let, lit, lower_bound
 from vitrine.sources.htmltree import Keep
 
 
@@ -128,10 +128,12 @@ def find_all(sel: Sel, var: str = "n", nodes: Sql = "nodes") -> Sql:
     """All matches in document order; the ancestors are looked up once."""
     up = var + "_up"
     if sel.inside is not None:
-        test = f"{sel.on(var)} AND exists({up}, a -> {within(var, 'a')})"
-        return let(up, find_all(sel.inside), f"filter({nodes}, {var} -> {test})")
+        # inside one of them: more start than end before the node
+        inside = f"{lower_bound(up, f'{var}.pre', '.pre')} > {lower_bound(f'{up}_ends', f'{var}.pre')}"
+        found = f"filter({nodes}, {var} -> {sel.on(var)} AND size({up}) > 0 AND {inside})"
+        return let(up, find_all(sel.inside), let(f"{up}_ends", f"sort_array(transform({up}, a -> a.last))", found))
     if sel.child_of is not None:
-        test = f"{sel.on(var)} AND array_contains({up}, {var}.parent)"
+        test = f"{sel.on(var)} AND get({up}, {lower_bound(up, f'{var}.parent')}) = {var}.parent"
         parents = f"transform({find_all(sel.child_of)}, a -> a.pre)"
         return let(up, parents, f"filter({nodes}, {var} -> {test})")
     return f"filter({nodes}, {var} -> {sel.on(var)})"

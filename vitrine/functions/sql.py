@@ -52,3 +52,22 @@ def first_non_empty(arrays: Iterable[Sql]) -> Sql:
     """First of the arrays that has elements, else an empty array."""
     arrays = list(arrays)
     return f"coalesce({first(f'filter(array({', '.join(arrays)}), xs -> size(xs) > 0)')}, slice({arrays[-1]}, 1, 0))"
+
+
+def lower_bound(array: Sql, value: Sql, of: str = "") -> Sql:
+    """How many elements of an ascending array (their field ``of``, as ``.pre``) lie below ``value``.
+
+    A binary search; ``array`` is a column or a variable, as it is looked at in every round.
+    """
+    half = "shiftright(lb.lo + lb.hi, 1)"
+    up = f"named_struct('lo', {half} + 1, 'hi', lb.hi)"
+    down = f"named_struct('lo', lb.lo, 'hi', {half})"
+    step = f"if(lb.lo >= lb.hi, lb, if(get({array}, {half}){of} < {value}, {up}, {down}))"
+    rounds = f"sequence(1, CAST(greatest(1, ceil(log2(size({array}) + 1))) AS INT))"
+    return f"aggregate({rounds}, named_struct('lo', 0, 'hi', size({array})), (lb, round) -> {step}, lb -> lb.lo)"
+
+
+def between(array: Sql, low: Sql, high: Sql, of: str = "") -> Sql:
+    """The elements of an ascending array from ``low`` on and below ``high``."""
+    start, stop = lower_bound(array, low, of), lower_bound(array, high, of)
+    return let("low_at", start, f"slice({array}, low_at + 1, {stop} - low_at)")

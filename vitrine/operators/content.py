@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vitrine.functions import nodes as nd
-from vitrine.functions.sql import Sql, any_of, first_non_empty
+from vitrine.functions.sql import Sql, any_of, between, first_non_empty, let, lower_bound
 from vitrine.functions.text import collapse_markup
 from vitrine.plans.rules import Rules
 from vitrine.sources.htmltree import Keep
@@ -20,20 +20,39 @@ def containers(rules: Rules) -> Sql:
     return first_non_empty(boxes)
 
 
-def content(rules: Rules) -> Sql:
-    """Markup of the containers without unwanted parts; NULL without a container."""
-    pieces = f"transform(_boxes_of_content, b -> {_without('b', rules.content_drop)})"
-    return f"if(size(_boxes_of_content) = 0, NULL, {collapse_markup(f'array_join({pieces}, {chr(39) * 2})')})"
+def cuts(rules: Rules) -> Sql:
+    """All unwanted nodes of the page, in document order."""
+    return f"filter(nodes, n -> {any_of(sel.on('n') for sel in rules.content_drop)})"
+
 
+# Characters of fixed width: a slice is cut out at once, wherever in the page it lies.
+WIDE = "encode(markup, 'UTF-32')"
 
-def _without(box: str, drop) -> Sql:
-    """Markup slice of ``box`` minus the slices of the unwanted nodes in it.
 
-    Unwanted nodes come in document order; the cursor skips nested ones.
+def content(rules: Rules) -> Sql:
+    """Markup of the containers without unwanted parts; NULL without a container.
+
+    The cuts of a container are found by binary search in ``_cuts``, so the time grows with the
+    page and not with containers times cuts.
     """
-    unwanted = any_of(sel.on("n") for sel in drop)
-    cuts = f"filter(nodes, n -> n.pre >= {box}.pre AND n.pre <= {box}.last AND {unwanted})"
-    piece = "concat(s.kept, substring(markup, s.cursor + 1, n.h0 - s.cursor))"
-    step = f"if(n.h0 >= s.cursor, named_struct('cursor', n.h1, 'kept', {piece}), s)"
-    rest = f"concat(s.kept, substring(markup, s.cursor + 1, {box}.h1 - s.cursor))"
-    return f"aggregate({cuts}, named_struct('cursor', {box}.h0, 'kept', ''), (s, n) -> {step}, s -> {rest})"
+    pieces = f"flatten(transform(_boxes_of_content, b -> transform({_kept('b')}, p -> {_slice('p')})))"
+    # bound to a variable: a column used once would be computed anew for every piece
+    whole = let("wide", WIDE, f"array_join({pieces}, '')")
+    return f"if(size(_boxes_of_content) = 0, NULL, {collapse_markup(whole)})"
+
+
+def _slice(piece: str) -> Sql:
+    part = f"substring(wide, 4 * {piece}.start + 1, 4 * ({piece}.stop - {piece}.start))"
+    # decoding takes a byte-order mark off the front, and only that one
+    return f"decode(concat(X'0000FEFF', {part}), 'UTF-32')"
+
+
+def _kept(box: str) -> Sql:
+    """Ranges of ``box`` that no unwanted node in it covers."""
+    inside = between("_cuts", f"{box}.pre", f"{box}.last + 1", ".pre")
+    # a cut is not within another one if as many end before it as start before it
+    outermost = f"filter(cs, (n, i) -> i = {lower_bound('ends', 'n.pre')})"
+    outer = let("cs", inside, let("ends", "sort_array(transform(cs, n -> n.last))", outermost))
+    piece = f"named_struct('start', coalesce(get(outer, {{0}} - 1).h1, {box}.h0), 'stop', {{1}})"
+    before = f"transform(outer, (n, i) -> {piece.format('i', 'n.h0')})"
+    return let("outer", outer, f"concat({before}, array({piece.format('size(outer)', f'{box}.h1')}))")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from vitrine.functions import nodes as nd
-from vitrine.functions.sql import Sql, first, first_non_empty, let, lit
+from vitrine.functions.sql import Sql, between, first, first_non_empty, let, lit
 from vitrine.functions.text import non_empty, strip
 from vitrine.functions.urls import contains_any, full_size_image
 from vitrine.plans.rules import Rules
@@ -92,8 +92,9 @@ def _in_first(sel: nd.Sel, inner: nd.Sel) -> Sql:
 
 def candidates(rules: Rules) -> Sql:
     """Accepted candidates of all steps, in step then document order (over ``_imgs``)."""
-    inner = f"filter(_imgs, i -> {nd.within('i', 's')})"
-    best = f"coalesce({first(f'filter({inner}, g -> {rules.gallery_image.on("g")})')}, {first(inner)})"
+    inner = between("_imgs", "s.pre + 1", "s.last + 1", ".pre")
+    marked = first(f"filter(ins, g -> {rules.gallery_image.on('g')})")
+    best = let("ins", inner, f"coalesce({marked}, {first('ins')})")
     picked = f"filter(transform({_in_first(rules.carousel, rules.slide)}, s -> {best}), m -> m IS NOT NULL)"
     pattern = (
         "(?iu)" + rules.image_cdn.replace(".", r"\.")

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitrine.functions import nodes as nd
 from vitrine.functions import text as tx
-from vitrine.functions.sql import Sql, any_of, coalesce, first_non_empty, first_of, first_value, let, lit
+from vitrine.functions.sql import (
+    Sql, any_of, coalesce, first_non_empty, first_of, first_value, let, lit, lower_bound,
+)
 from vitrine.operators import content, images
 from vitrine.plans.rules import Rules
 from vitrine.sources.htmltree import Keep
@@ -129,8 +131,9 @@ def inline_brand(rules: Rules) -> Sql:
     """Text behind the inline label in the first ``div`` made of that one string."""
     label = lit(rules.brand_inline)
     marked = f"filter(nodes, n -> n.tag IS NULL AND contains({nd.text_of('n')}, {label}))"
-    spots = f"transform({marked}, n -> n.pre)"
-    divs = f"filter(nodes, n -> n.tag = 'div' AND array_contains({spots}, n.sole))"
+    spot = f"get(spots, {lower_bound('spots', 'n.sole')}) = n.sole"
+    alone = f"filter(nodes, n -> n.tag = 'div' AND n.sole IS NOT NULL AND {spot})"
+    divs = let("spots", f"transform({marked}, n -> n.pre)", alone)
     behind = f"get(split({nd.text_of('e')}, {label}), 1)"
     return first_of(divs, "e", tx.clean_text(behind))
 
@@ -189,7 +192,8 @@ def review_texts(rules: Rules) -> Sql:
     """
     strings = f"filter(nodes, n -> n.tag IS NULL AND contains({nd.text_of('n')}, {lit(rules.review_word)}))"
     parents = f"array_distinct(transform({strings}, n -> n.parent))"
-    holder = first_of("filter(nodes, n -> n.pre = up)", "e", nd.text_of("e"))
+    # a parent is looked up by its number among the kept nodes
+    holder = let("e", f"get(nodes, {lower_bound('nodes', 'up', '.pre')})", f"if(e.pre = up, {nd.text_of('e')}, NULL)")
     return f"transform({parents}, up -> if(up < 0, text, {holder}))"
 
 
@@ -323,6 +327,7 @@ def parse_for(pages: DataFrame, rules: Rules, fields: Iterable[str], carry: Iter
         stages[0]["_anchors"] = nd.find_all(nd.tag("a"))
     if "content" in fields:
         stages[0]["_boxes_of_content"] = content.containers(rules)
+        stages[0]["_cuts"] = content.cuts(rules)
     if "images" in fields:
         stages[0]["_imgs"] = nd.find_all(nd.tag("img"))
         stages[1]["_candidates"] = images.candidates(rules)

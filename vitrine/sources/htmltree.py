@@ -361,6 +361,8 @@ class TreeBuilder(HTMLParser):
                 parent[CHILDREN] += 1
                 parent[SOLE] = count if parent[CHILDREN] == 1 else None
             if keep_all or (marked is not None and marked(data)):
+                if kind == "text" and len(data) <= _SHORT_TEXT:
+                    own = data
                 out.append([count, count, stack[-1][PRE] if stack else -1, kind, None, None, None,
                             own, start, text_len, shown_start, shown_len, None])
                 # rules look at a string's parent and at its only-child ancestors
