@@ -138,9 +138,10 @@ def choose(rules: Rules) -> Sql:
 
 def _with_embedded(rules: Rules) -> Sql:
     """Append JSON images to a short gallery; each script stops once the list is long."""
-    embedded = f"filter(_candidates, c -> c.step = {JSON} AND size(_gallery) < {rules.json_image_min})"
+    short = "true" if rules.json_image_min is None else f"size(_gallery) < {rules.json_image_min}"
+    embedded = f"filter(_candidates, c -> c.step = {JSON} AND {short})"
     known = "exists(s.found, x -> x.url = c.raw)"
-    full = f"size(s.found) + 1 >= {rules.json_image_stop}"
+    full = "false" if rules.json_image_stop is None else f"size(s.found) + 1 >= {rules.json_image_stop}"
     add = (
         f"if(c.script = s.done OR {known}, s, named_struct('found', concat(s.found, array({_shown('c')})),"
         f" 'done', if({full}, c.script, s.done)))"
@@ -172,7 +173,7 @@ def product_images(pages: DataFrame, rules: Rules) -> DataFrame:
 
 def gallery_counts(pages: DataFrame, rules: Rules) -> DataFrame:
     """Slides, gallery images and thumbs found per page."""
-    return parse_usable(pages, keep(rules)).selectExpr(
+    return parse_usable(pages, keep(rules), with_text=False).selectExpr(
         "page_id",
         "url",
         f"size({_in_first(rules.carousel, rules.slide)}) AS slides",

@@ -34,7 +34,7 @@ def page_links(
         parts += f", 'link_text', {strip(nd.text_of('n'))}"
     links = f"transform({ANCHORS}, n -> named_struct({parts}))"
     return (
-        parse_pages(pages, LINK_KEEP, carry=("page_id", "url", *carry))
+        parse_pages(pages, LINK_KEEP, carry=("page_id", "url", *carry), with_text=with_text)
         .selectExpr("page_id", "url AS page_url", *carry, f"posexplode({links}) AS (pos, link)")
         .select("page_id", "page_url", *carry, "pos", "link.*")
     )
@@ -86,6 +86,7 @@ def category_links(pages: DataFrame, categories: DataFrame, rules: Rules) -> Dat
         category_pages(pages, categories, rules),
         LINK_KEEP | rules.grid.keep(),
         carry=("ord", "category", "page_id"),
+        with_text=False,
     )
     return parsed.selectExpr("*", f"{nd.first_node(rules.grid)} AS _grid").selectExpr(
         "ord", "category", "page_id", f"posexplode({item_links('category', rules)}) AS (pos, url)"

@@ -286,6 +286,7 @@ FIELDS: dict[str, FieldPlan] = {
 
 _NEEDS_TABLE = {"brand", "ingredients", "official_name", "registration_number", "form",
                 "package_size", "origin_brand", "manufacturer", "country_of_manufacture"}
+_WITHOUT_TEXT = {"images", "content"}
 _NEEDS_BOX = {"rating", "reviews_count", "comments_count"}
 
 
@@ -312,6 +313,7 @@ def parse_for(pages: DataFrame, rules: Rules, fields: Iterable[str], carry: Iter
         markup_skip=rules.content_drop_tags,
         markup_keep=nd.keep_for(rules.content_box, *rules.content_fallbacks),
         json_keys=rules.brand_keys if "brand" in fields else (),
+        with_text=bool(fields - _WITHOUT_TEXT),
     )
     # each stage may use the columns of the stages before it
     stages: list[dict[str, Sql]] = [{}, {}, {}, {}]

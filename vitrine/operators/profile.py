@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from vitrine.functions import nodes as nd
 from vitrine.functions import text as tx
 from vitrine.functions import urls
 from vitrine.functions.sql import coalesce, first_of, let, lit
+from vitrine.operators.counting import contains_join, shortest
 from vitrine.operators.links import ANCHORS, LINK_KEEP, page_links
 from vitrine.operators.products import RECORD, first_with_digit
 from vitrine.plans.rules import Rules
 from vitrine.session import join_side, stored
-from vitrine.sources.pages import parse_usable
+from vitrine.sources.pages import parse_usable, usable_pages
 
 # Default words and selectors of the reports.
 LINK_KEYWORDS = ("san-pham", "product", "thuoc", "item")
@@ -117,6 +118,34 @@ def keyword_links(
     )
 
 
+def keyword_links_by_table(
+    pages: DataFrame, words: DataFrame, base_url: str, samples: int | None = None, text_chars: int | None = None,
+) -> DataFrame:
+    """As :func:`keyword_links`, for the words of a table ``words(keyword_ord, keyword)`` of any length.
+
+    Links meet words by an equi-join on the rarest short piece of each word, so neither the plan nor the
+    work grows with words times links; a word is matched in lower-cased links as it is written.
+    """
+    links = page_links(usable_pages(pages), base_url, with_text=True).withColumn("_low", F.lower("href"))
+    links = links.filter(F.col("href").isNotNull())
+    words = words.select("keyword_ord", "keyword").filter(F.length("keyword") > 0).distinct()
+    if words.isEmpty():
+        gram = 1
+    else:
+        gram = shortest(words, "keyword", 6)
+    hits = contains_join(links, words, "_low", "keyword", gram)
+    nth = F.row_number().over(Window.partitionBy("page_id", "keyword_ord", "keyword").orderBy("pos"))
+    shown = F.struct("pos", F.expr(_cut("link_text", text_chars)).alias("text"), "url")
+    some = shown if samples is None else F.when(F.col("_nth") <= samples, shown)
+    report = hits.withColumn("_nth", nth).groupBy("page_id", "page_url", "keyword_ord", "keyword").agg(
+        F.count(F.lit(1)).cast("int").alias("links"), F.array_sort(F.collect_list(some)).alias("samples")
+    )
+    return report.select(
+        "page_id", F.col("page_url").alias("url"), "keyword_ord", "keyword", "links",
+        F.transform("samples", lambda s: F.struct(s["text"].alias("text"), s["url"].alias("url"))).alias("samples"),
+    )
+
+
 def first_item_links(
     pages: DataFrame, base_url: str, keywords: Sequence[str] = LINK_KEYWORDS, n: int | None = None,
     samples: int | None = None, text_chars: int | None = None,
@@ -133,24 +162,30 @@ def first_item_links(
 def candidate_links(
     pages: DataFrame, base_url: str,
     parts: Sequence[str] = CANDIDATE_PARTS, skips: Sequence[str] = CANDIDATE_SKIPS,
-    min_text: int = 5, max_text: int = 100, carry: tuple[str, ...] = (),
+    min_text: int | None = 5, max_text: int | None = 100, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Links that look like items: a wanted part, no skipped part, a plausible text."""
+    """Links that look like items: a wanted part, no skipped part, a plausible text.
+
+    The text is longer than ``min_text`` and shorter than ``max_text`` (None = any length).
+    """
     links = page_links(pages, base_url, with_text=True, carry=carry)
-    size = F.length("link_text")
     return links.filter(
-        F.expr(urls.contains_any("href", parts))
-        & ~F.expr(urls.contains_any("url", skips))
-        & (size > min_text) & (size < max_text)
+        F.expr(urls.contains_any("href", parts)) & ~F.expr(urls.contains_any("url", skips)) & _text_size(min_text, max_text)
     )
 
 
+def _text_size(above: int | None, below: int | None = None) -> "F.Column":
+    size = F.length("link_text")
+    test = F.lit(True) if above is None else size > above
+    return test if below is None else test & (size < below)
+
+
 def search_hits(
-    pages: DataFrame, base_url: str, part: str = SEARCH_PART, min_text: int = 10, carry: tuple[str, ...] = ()
+    pages: DataFrame, base_url: str, part: str = SEARCH_PART, min_text: int | None = 10, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Links of search-result pages that lead to an item."""
+    """Links of search-result pages that lead to an item, with a text longer than ``min_text`` (None = any)."""
     links = page_links(pages, base_url, with_text=True, carry=carry)
-    return links.filter(F.contains("href", F.lit(part)) & (F.length("link_text") > min_text))
+    return links.filter(F.contains("href", F.lit(part)) & _text_size(min_text))
 
 
 def seed_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -258,7 +293,7 @@ def image_report(
         f"named_struct('alt', {_cut(f"coalesce({nd.attr('n', 'alt')}, 'No alt')", alt_chars)}, 'src', {src})"
     )
     keep = nd.keep_for(nd.tag("img"), attr_names=("src", "alt"))
-    return parse_usable(pages, keep).selectExpr(
+    return parse_usable(pages, keep, with_text=False).selectExpr(
         "page_id", "url", f"size({hits}) AS images",
         f"transform({_first(hits, samples)}, n -> {shown}) AS samples",
     )

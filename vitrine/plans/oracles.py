@@ -382,6 +382,31 @@ _CATEGORY_SQL = {
   FROM ({_LISTED})""",
 }
 
+_OTHER_SQL = {
+    "keyword_links_table": f"""
+  WITH words AS (SELECT keyword, min(page_id) AS keyword_ord FROM (
+         SELECT page_id, unnest(regexp_extract_all(lower(regexp_extract(html, '<title>([^<]*)', 1)), '[a-z]{{3,}}')) AS keyword FROM pages)
+         GROUP BY keyword),
+       hits AS (SELECT page_id, keyword_ord, keyword, pos, url, substr(link_text, 1, 50) AS text,
+                  row_number() OVER (PARTITION BY page_id, keyword ORDER BY pos) AS nth
+                FROM ({_LINKS}), words WHERE contains(lower(href), keyword))
+  SELECT page_id, keyword_ord, keyword, CAST(count(*) AS INTEGER) AS links,
+         string_agg(text || '->' || url, '|' ORDER BY pos) FILTER (WHERE nth <= 5) AS samples
+  FROM hits GROUP BY page_id, keyword_ord, keyword""",
+    "products_custom": f"""
+  SELECT {_URL} AS url, p_name AS name,
+         CASE WHEN {_EVEN} THEN '-' || p_size || '%' ELSE {_RECORD['sku']} END AS sku,
+         {_RECORD['package_size']} AS country_of_manufacture,
+         {_RECORD['price']} >= 1500000 AS dear, CAST(len(string_split(p_name, ' ')) AS INTEGER) AS words, '2025-01-01' AS day
+  FROM part""",
+    "product_images_by_class": f"""
+  SELECT {_URL} AS url, CAST(pos AS INTEGER) AS pos, {_CODE} || '_' || file || '.jpg' AS file, source_step
+  FROM part JOIN (VALUES (0, 0, '2', 'class_1'), (0, 1, '3', 'class_1'), (1, 0, '4', 'class_2'), (2, 0, '5', 'class_3'))
+    AS w(way, pos, file, source_step) ON p_partkey % 4 = way""",
+    "empty_run": f"""
+  SELECT DISTINCT {_CATEGORY} AS category, CAST(0 AS BIGINT) AS items, CAST(0 AS INTEGER) AS formats, false AS folder_left
+  FROM part""",
+}
 _CATEGORY_SQL["catalogue_resumed"] = _CATEGORY_SQL["category_catalogue"]
 
-ORACLES: dict[str, str] = {**_PAGE_SQL, **_TAXONOMY_SQL, **_RECORD_SQL, **_PROBE_SQL, **_CATEGORY_SQL, **_OUTCOME_SQL}
+ORACLES: dict[str, str] = {**_PAGE_SQL, **_TAXONOMY_SQL, **_RECORD_SQL, **_PROBE_SQL, **_CATEGORY_SQL, **_OUTCOME_SQL, **_OTHER_SQL}

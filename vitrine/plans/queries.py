@@ -7,6 +7,7 @@ from ``part`` (see ``rendered.py``).  All read whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -122,6 +123,21 @@ def keyword_links(spark, folder):
     )
 
 
+def keyword_links_table(spark, folder):
+    """The words of all page titles as the word list."""
+    title = "regexp_extract(html, '<title>([^<]*)', 1)"
+    words = (
+        _table(spark, folder, "pages")
+        .selectExpr("page_id", f"explode(regexp_extract_all(lower({title}), '[a-z]{{3,}}', 0)) AS keyword")
+        .groupBy("keyword").agg(F.min("page_id").alias("keyword_ord"))
+    )
+    report = profile.keyword_links_by_table(_pages(spark, folder), words, BASE, samples=5, text_chars=50)
+    return report.selectExpr(
+        "page_id", "keyword_ord", "keyword", "links",
+        "array_join(transform(samples, s -> concat(s.text, '->', s.url)), '|') AS samples",
+    )
+
+
 def first_item_links(spark, folder):
     return profile.first_item_links(_pages(spark, folder), BASE, KEYWORDS, n=5, samples=5, text_chars=50)
 
@@ -316,12 +332,12 @@ def category_catalogue_all(spark, folder):
 
 
 def catalogue_resumed(spark, folder):
-    """A run stopped after two of four parts, then resumed."""
+    """A run stopped after the first of two parts, then resumed."""
     part = _table(spark, folder, "part")
     pages = union_runs(rendered.product_pages(part), rendered.category_pages(part))
     root, seeds = work_folder(spark, "resumed"), rendered.categories(part)
-    for at_most in (2, None):
-        resume_catalogue(pages, seeds, RULES, root, AS_OF, limit=3, parts=4, at_most=at_most)
+    for at_most in (1, None):
+        resume_catalogue(pages, seeds, RULES, root, AS_OF, limit=3, parts=2, at_most=at_most)
     return read_catalogue(spark, root).select(
         "listed_in", "listed_pos", "url", "name", "price", "brand", "official_name"
     )
@@ -359,6 +375,38 @@ def sink_roundtrip(spark, folder):
     return union_runs(*runs)
 
 
+# -- a user's own rules, galleries known by class only, runs without rows ----------
+def products_custom(spark, folder):
+    """Other selectors, other labels and columns of the user's own."""
+    rules = replace(
+        RULES, name=(nd.tag("title"),), sku=(nd.cls("sale-badge"), nd.attr_is("span", "data-test-id", "sku")),
+        table_labels=(*RULES.table_labels[:-1], ("country_of_manufacture", "Quy cách")),
+    )
+    extra = {
+        "dear": F.col("price") >= 1_500_000,
+        "words": F.size(F.split("name", " ")),
+        "day": F.date_format("crawled_at", "yyyy-MM-dd"),
+    }
+    record = products.extract_products(_items(spark, folder), rules, as_of=AS_OF, extra=extra)
+    return record.select("url", "name", "sku", "country_of_manufacture", *extra)
+
+
+def product_images_by_class(spark, folder):
+    pages = rendered.class_gallery_pages(_table(spark, folder, "part"))
+    found = images.product_images(pages, RULES)
+    return found.selectExpr("url", "pos", f"{urls.last_segment('image_url')} AS file", "source_step")
+
+
+def empty_run(spark, folder):
+    """Categories without a page: nothing is written, and every category counts 0."""
+    part = _table(spark, folder, "part")
+    root = work_folder(spark, "empty")
+    pages = rendered.product_pages(part)
+    path, written, items = run_catalogue(pages, rendered.categories(part), RULES, root, AS_OF)
+    left = Folder(spark, path).exists()
+    return items.select("category", "items", F.lit(len(written)).alias("formats"), F.lit(left).alias("folder_left"))
+
+
 # -- records together with failures ---------------------------------------------
 def _with_faults(pages):
     """Some pages without a source, some with an error status."""
@@ -397,7 +445,7 @@ def stream_records(spark, folder):
         pages.filter(F.col("page_id") % 3 == number).write.mode("append").parquet(drops)
 
     def catch_up():
-        stream = read_page_stream(spark, drops, pages.schema, files_per_batch=2)
+        stream = read_page_stream(spark, drops, pages.schema, files_per_batch=8)
         run = ingest_records(stream, RULES, table, log, AS_OF)
         run.awaitTermination()
 
@@ -426,6 +474,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         embedded_scripts, selector_first_hit, selector_first_text, selector_coverage,
         fill_rate, rule_wins, rule_wins_all, category_links, links_followed, links_followed_salted,
         category_catalogue, category_catalogue_all, catalogue_run, catalogue_resumed, runs_appended, sink_roundtrip,
-        records_and_failures, stream_records,
+        records_and_failures, stream_records, keyword_links_table, products_custom,
+        product_images_by_class, empty_run,
     )
 }

@@ -142,6 +142,28 @@ def product_pages(part: DataFrame) -> DataFrame:
     )
 
 
+def class_gallery_pages(part: DataFrame) -> DataFrame:
+    """Pages whose images only a class gives away, one of three ways by ``p_partkey % 4``; the last has none.
+
+    A srcset counts for its 2x part alone and is not trimmed; images of other hosts stand between.
+    """
+    away = "'<img class=\"gallery-img\" src=\"https://other.example/dsc_1.png\">'"
+    ways = _case(
+        4,
+        f"concat('<div class=\"swiper-wrapper\"><p>', {away}, '<img class=\"gallery-img\" srcset=\"',"
+        f" {_image('1')}, ' 1x,', {_image('2', '/unsafe/375x0/')}, ' 2x\" src=\"x\">"
+        f"<img class=\"gallery-img\" src=\"', {_image('3', '/')}, '\"></p></div>')",
+        f"concat('<div class=\"my-swiper-slide-box\"><b><img class=\"big\" src=\"', {_image('4')}, '\"></b></div>"
+        f"<img class=\"my-gallery-img\" src=\"', {_image('5')}, '\">')",
+        f"concat('<p><img class=\"my-gallery-img x\" src=\"', {_image('5')}, '\"><img class=\"a gallery-img\" srcset=\" ',"
+        f" {_image('6')}, ' 2x\" src=\"', {_image('7')}, '\"></p>')",
+        away,
+    )
+    return spread(part, "p_partkey").selectExpr(
+        "p_partkey AS page_id", f"{ITEM_URL} AS url", f"concat('<html><body>', {ways}, '</body></html>') AS html"
+    )
+
+
 def category_pages(part: DataFrame) -> DataFrame:
     """One page per shelf (1024 part keys) and brand, listing its parts in key order.
 

@@ -96,8 +96,8 @@ class Rules:
         "vitabiotics", "anica", "pharma", "ergopharm", "nordic", "excelife",
     )
     image_code: str = "00[0-9]{6}"
-    json_image_min: int = 3  # look into JSON below this many images
-    json_image_stop: int = 10  # a script stops adding at this many
+    json_image_min: int | None = 3  # look into JSON below this many images (None = always)
+    json_image_stop: int | None = 10  # a script stops adding at this many (None = never)
 
     # The long description and what is cut from it.
     content_box: Sel = Sel(

@@ -124,12 +124,13 @@ _SHORT_TEXT = 256
 class TreeBuilder(HTMLParser):
     """Reusable builder; call :meth:`build` once per page."""
 
-    def __init__(self, keep: Keep, markup_attrs=None, markup_skip=(), markup_keep=ALL_NODES):
+    def __init__(self, keep: Keep, markup_attrs=None, markup_skip=(), markup_keep=ALL_NODES, with_text=True):
         super().__init__(convert_charrefs=True)
         self._keep = keep
         self._markup_attrs = None if markup_attrs is None else frozenset(markup_attrs)
         self._markup_skip = frozenset(markup_skip)
         self._markup_keep = markup_keep
+        self._with_text = with_text
         self._marked = (
             re.compile("|".join(map(re.escape, sorted(keep.strings)))).search
             if keep.strings else None
@@ -439,7 +440,7 @@ class TreeBuilder(HTMLParser):
             pop()
         if late:
             out.sort(key=lambda row: row[PRE])
-        return PageTree("".join(texts), "".join(shown), out)
+        return PageTree("".join(texts) if self._with_text else "", "".join(shown), out)
 
 
 def _wants(keep, tag, cls, attrs):

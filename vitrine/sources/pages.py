@@ -46,7 +46,7 @@ def quarantine(pages: DataFrame) -> DataFrame:
     """
     fault = page_fault(pages)
     judged = pages.withColumns({"fault": fault, "html": F.when(fault.isNull(), F.col("html"))})
-    return parse_pages(judged, Keep(), carry=("page_id", "url", "fault")).filter(
+    return parse_pages(judged, Keep(), carry=("page_id", "url", "fault"), with_text=False).filter(
         F.col("parse_error").isNotNull()
     ).select("page_id", "url", F.coalesce("fault", "parse_error").alias("reason"))
 
@@ -60,6 +60,6 @@ def script_bodies(kind: str) -> Sql:
 def embedded_json(pages: DataFrame, kind: str) -> DataFrame:
     """One row per embedded JSON script: ``page_id, url, pos, body``."""
     keep = Keep(attr_values=frozenset((("type", kind),)), attr_names=frozenset(("type",)))
-    return parse_usable(pages, keep).selectExpr(
+    return parse_usable(pages, keep, with_text=False).selectExpr(
         "page_id", "url", f"posexplode({script_bodies(kind)}) AS (pos, body)"
     )

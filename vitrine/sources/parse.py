@@ -34,6 +34,7 @@ NODE_FIELDS = (
 )
 NODES_DDL = f"array<struct<{NODE_FIELDS.replace(' int', ':int').replace(' string', ':string').replace(' map', ':map')}>>"
 JSON_HITS_DDL = "array<struct<pre:int,linked:boolean,value:string,failed:boolean>>"
+_DDL = {"nodes": NODES_DDL, "json_hits": JSON_HITS_DDL}
 
 _INT, _STR = pa.int32(), pa.string()
 _NODE_TYPES = [
@@ -67,45 +68,44 @@ def parse_pages(
     markup_skip: Iterable[str] = (),
     markup_keep: Keep = ALL_NODES,
     json_keys: Iterable[str] = (),
+    with_text: bool = True,
 ) -> DataFrame:
     """Parse every page once.
 
-    Output: the ``carry`` columns, ``text`` (all visible text), ``markup``
+    Output: the ``carry`` columns, ``text`` (all visible text, only ``with_text``), ``markup``
     (re-serialised elements let through by ``markup_keep``, only with
     ``markup_attrs``), ``nodes`` (filtered by
     ``keep``), ``json_hits`` (only with ``json_keys``) and ``parse_error``, which
-    is NULL for a good page.  A bad page is a row, never an exception.
+    is NULL for a good page.  A bad page is a row, never an exception.  What is not asked for is
+    neither built nor sent back from Python.
 
     Only ``carry`` and ``html`` are read from the scan, so filter ``pages``
     before calling: predicates do not pass through a Python map.
     """
     carry = list(carry)
     source = pages.select(*carry, html_text(F.col(html)).alias("_html"))
+    keys = tuple(json_keys)
+    wanted = {"text": with_text, "markup": markup_attrs is not None, "nodes": True, "json_hits": bool(keys), "parse_error": True}
+    outputs = tuple(name for name, asked in wanted.items() if asked)
     fields = [source.schema[name] for name in carry]
-    fields += [
-        T.StructField("text", T.StringType()),
-        T.StructField("markup", T.StringType()),
-        T.StructField("nodes", T.DataType.fromDDL(NODES_DDL)),
-        T.StructField("json_hits", T.DataType.fromDDL(JSON_HITS_DDL)),
-        T.StructField("parse_error", T.StringType()),
-    ]
+    fields += [T.StructField(name, T.DataType.fromDDL(_DDL.get(name, "string"))) for name in outputs]
     options = {
         "keep": keep,
         "markup_attrs": None if markup_attrs is None else tuple(markup_attrs),
         "markup_skip": tuple(markup_skip),
         "markup_keep": markup_keep,
+        "with_text": with_text,
     }
-    keys = tuple(json_keys)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         builder = TreeBuilder(**options)
         for batch in batches:
-            yield from _parse_batch(builder, batch, carry, keys)
+            yield from _parse_batch(builder, batch, carry, keys, outputs)
 
     return source.mapInArrow(parse, T.StructType(fields))
 
 
-def _parse_batch(builder, batch, carry, keys):
+def _parse_batch(builder, batch, carry, keys, outputs):
     sources = batch.column(len(carry))
     start, chars, rows = 0, 0, []
     for index in range(batch.num_rows):
@@ -113,10 +113,10 @@ def _parse_batch(builder, batch, carry, keys):
         rows.append(row)
         chars += row[5]
         if chars >= _FLUSH_CHARS:
-            yield _to_arrow(batch.slice(start, len(rows)), carry, rows)
+            yield _to_arrow(batch.slice(start, len(rows)), carry, rows, outputs)
             start, chars, rows = index + 1, 0, []
     if rows:
-        yield _to_arrow(batch.slice(start, len(rows)), carry, rows)
+        yield _to_arrow(batch.slice(start, len(rows)), carry, rows, outputs)
 
 
 def _parse_one(builder, html, keys):
@@ -138,18 +138,18 @@ def _parse_one(builder, html, keys):
     return tree.text, tree.markup, tree.nodes, hits, None, len(html)
 
 
-def _to_arrow(carried, carry, rows):
+def _to_arrow(carried, carry, rows, outputs):
     text, markup, nodes, hits, errors, _ = zip(*rows)
     columns = [carried.column(index) for index in range(len(carry))]
-    columns += [
-        pa.array(text, _STR),
-        pa.array(markup, _STR),
-        _nested(nodes, _NODE_ARROW, NODE_WIDTH),
-        _nested(hits, _HIT_ARROW, len(_HIT_ARROW)),
-        pa.array(errors, _STR),
-    ]
-    names = [*carry, "text", "markup", "nodes", "json_hits", "parse_error"]
-    return pa.RecordBatch.from_arrays(columns, names)
+    made = {
+        "text": lambda: pa.array(text, _STR),
+        "markup": lambda: pa.array(markup, _STR),
+        "nodes": lambda: _nested(nodes, _NODE_ARROW, NODE_WIDTH),
+        "json_hits": lambda: _nested(hits, _HIT_ARROW, len(_HIT_ARROW)),
+        "parse_error": lambda: pa.array(errors, _STR),
+    }
+    columns += [made[name]() for name in outputs]
+    return pa.RecordBatch.from_arrays(columns, [*carry, *outputs])
 
 
 def _nested(groups, fields, width):
