@@ -8,8 +8,8 @@ from vitrine.functions import nodes as nd
 from vitrine.functions import urls
 from vitrine.functions.sql import Sql, lit
 from vitrine.functions.text import strip
+from vitrine.operators.lookup import pages_of
 from vitrine.plans.rules import Rules
-from vitrine.session import join_side
 from vitrine.sources.htmltree import Keep
 from vitrine.sources.parse import parse_pages
 
@@ -74,7 +74,7 @@ def category_pages(pages: DataFrame, categories: DataFrame, rules: Rules) -> Dat
     wanted = categories.select(
         "ord", "category", F.concat(F.lit(rules.base_url + "/"), F.col("category")).alias("url")
     )
-    return pages.join(join_side(wanted), "url")
+    return pages_of(pages, wanted)
 
 
 def category_links(pages: DataFrame, categories: DataFrame, rules: Rules) -> DataFrame:

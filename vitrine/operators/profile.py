@@ -12,9 +12,10 @@ from vitrine.functions import urls
 from vitrine.functions.sql import coalesce, first_of, let, lit
 from vitrine.operators.counting import contains_join, shortest
 from vitrine.operators.links import ANCHORS, LINK_KEEP, page_links
+from vitrine.operators.lookup import pages_of
 from vitrine.operators.products import RECORD, first_with_digit
 from vitrine.plans.rules import Rules
-from vitrine.session import join_side, stored
+from vitrine.session import stored
 from vitrine.sources.pages import parse_usable, usable_pages
 
 # Default words and selectors of the reports.
@@ -190,7 +191,7 @@ def search_hits(
 
 def seed_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     """The pages of ``seeds(ord, url)``, picked before any of them is parsed."""
-    return pages.join(join_side(seeds.select("url", "ord")), "url")
+    return pages_of(pages, seeds.select("url", "ord"))
 
 
 def first_link(links: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from vitrine.functions.urls import is_item_url
 from vitrine.operators.follow import follow_links
 from vitrine.operators.limits import first_per_group
 from vitrine.operators.links import category_links
+from vitrine.operators.lookup import pages_of
 from vitrine.operators.products import COLUMNS, extract_products
 from vitrine.plans.rules import Rules
 from vitrine.session import stored
@@ -28,7 +29,8 @@ def extract_category(
     cut to ``limit`` per category (0 or None = all) before any item page is
     parsed.  The link table is stored, because it is read twice.  Only listed pages
     are parsed, whatever its size; the measured size picks the kind of the two joins:
-    a short list is sent to the pages and to the records, a long one is shuffled.
+    a short list is sent to the pages and to the records, a long one is shuffled.  Pages stored
+    with ``lookup.store_by_url`` are not shuffled, and only the buckets of a short list are read.
     An item in two categories appears twice.
     """
     usable = usable_pages(pages)
@@ -41,9 +43,8 @@ def extract_category(
     )
     short = size["bytes"] <= session.BROADCAST_BYTES
     listed = links.select("url").distinct()
-    items = usable.filter(is_item_url("url", rules.base_url)).join(
-        F.broadcast(listed) if short else listed.hint("merge"), "url", "left_semi"
-    )
+    side = F.broadcast(listed) if short else listed.hint("merge")
+    items = pages_of(usable.filter(is_item_url("url", rules.base_url)), listed, "left_semi", side)
     records = extract_products(items, rules, as_of=as_of)
     joined = records.join(F.broadcast(links), "url") if short else follow_links(links, records)
     return joined.select("listed_in", "listed_pos", *COLUMNS)

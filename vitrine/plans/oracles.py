@@ -407,6 +407,6 @@ _OTHER_SQL = {
   SELECT DISTINCT {_CATEGORY} AS category, CAST(0 AS BIGINT) AS items, CAST(0 AS INTEGER) AS formats, false AS folder_left
   FROM part""",
 }
-_CATEGORY_SQL["catalogue_resumed"] = _CATEGORY_SQL["category_catalogue"]
+_CATEGORY_SQL["catalogue_resumed"] = _CATEGORY_SQL["category_catalogue_bucketed"] = _CATEGORY_SQL["category_catalogue"]
 
 ORACLES: dict[str, str] = {**_PAGE_SQL, **_TAXONOMY_SQL, **_RECORD_SQL, **_PROBE_SQL, **_CATEGORY_SQL, **_OUTCOME_SQL, **_OTHER_SQL}

@@ -6,6 +6,7 @@ from ``part`` (see ``rendered.py``).  All read whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -15,6 +16,7 @@ from vitrine.functions import nodes as nd
 from vitrine.functions import text as tx
 from vitrine.functions import urls
 from vitrine.operators import counting, follow, images, labels, limits, links, products, profile, winners
+from vitrine.operators.lookup import store_by_url
 from vitrine.plans import rendered
 from vitrine.plans.catalogue import (
     extract_category, read_catalogue, resume_catalogue, run_catalogue, union_runs,
@@ -327,6 +329,15 @@ def category_catalogue(spark, folder, limit=3):
     return found.select("listed_in", "listed_pos", "url", "name", "price", "brand", "official_name")
 
 
+def category_catalogue_bucketed(spark, folder):
+    """The same run over pages stored in buckets by url."""
+    part = _table(spark, folder, "part")
+    pages = union_runs(rendered.product_pages(part), rendered.category_pages(part))
+    stored_pages = store_by_url(pages, f"pages_{uuid.uuid4().hex}", 16)
+    found = extract_category(stored_pages, rendered.categories(part), RULES, limit=3, as_of=AS_OF)
+    return found.select("listed_in", "listed_pos", "url", "name", "price", "brand", "official_name")
+
+
 def category_catalogue_all(spark, folder):
     return category_catalogue(spark, folder, limit=None)
 
@@ -473,7 +484,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         product_images_long, product_content, products_full, gallery_counts, image_report,
         embedded_scripts, selector_first_hit, selector_first_text, selector_coverage,
         fill_rate, rule_wins, rule_wins_all, category_links, links_followed, links_followed_salted,
-        category_catalogue, category_catalogue_all, catalogue_run, catalogue_resumed, runs_appended, sink_roundtrip,
+        category_catalogue, category_catalogue_bucketed, category_catalogue_all, catalogue_run, catalogue_resumed, runs_appended, sink_roundtrip,
         records_and_failures, stream_records, keyword_links_table, products_custom,
         product_images_by_class, empty_run,
     )
