@@ -98,9 +98,8 @@ URL_RULES = [
 
 def op7_urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages").select("page_id", "url", "html")
-    # words of all titles are the unigram table
-    titles = pages.select(F.regexp_extract("html", "<title>([^<]*)", 1).alias("title"))
-    words = urls.word_table(titles, "title")
+    # words of all page texts are the unigram table
+    words = urls.word_table(pages.select(urls.page_text(F.col("html")).alias("shown")), "shown")
     judged = urls.judge(pages.select("page_id", "url"), URL_RULES, words)
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
 

@@ -4,13 +4,12 @@ Explicit rules (host suffix and path prefix) come first, the longest one wins.
 without a rule are judged by the words of host and path.  Runs of letters in a host are
 segmented into words by the most probable split under a unigram table counted over the
 corpus; the same splits path segments that are words run together.  Naive Bayes then sums
-the log ratios of the words; its counts come from labelled urls.
+the log ratios of the words; its counts come from labelled urls, every row of them counted.
 
-Counting, joins and sums are Spark jobs over distinct runs and words.  A run of letters is
-at most 63 characters long in a valid host; longer runs are one word.  The splits of a run
-are looked up by an equi-join of its substrings with the word table, so no table is held
+Counting, joins and sums are Spark jobs over distinct runs and words.  The splits of a run, of
+any length, are looked up by an equi-join of its substrings with the word table, so no table is held
 in a task or broadcast unless the planner measures it as small; a task sees one run with
-the words found in it.
+the words found in it.  Letters that no known word covers are one word.
 
 Defined cases: a NULL url or one without ``://`` has an empty host and path and gets the
 verdict of no words, allow; a tie of the classes is allow; repeated urls are judged alike;
@@ -27,8 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.llm.common import sized, stored
 
-LABEL = 63  # longest label of a valid host name
-WORD = 24  # longest word looked up; no word table holds longer ones
+WORD = 24  # longest word looked up; longer words of a text are no pieces of a run
 
 
 @dataclass(frozen=True)
@@ -71,10 +69,15 @@ def rule_for(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
-def runs(host: Column, path: Column) -> Column:
-    """Lower-case letter runs of host and path."""
-    text = F.lower(F.concat(host, F.lit(" "), path))
-    return F.filter(F.regexp_extract_all(text, F.lit("[a-z]+"), F.lit(0)), lambda r: r != "")
+def runs(text: Column) -> Column:
+    """Lower-case letter runs of a host or path."""
+    return F.filter(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0)), lambda r: r != "")
+
+
+def page_text(html: Column) -> Column:
+    """Page source without tags; what scripts and styles hold goes with them."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*+>.*?</\1\s*+>", " ")
+    return F.regexp_replace(bare, "<[^>]*+>", " ")
 
 
 def word_table(texts: DataFrame, column: str) -> DataFrame:
@@ -91,24 +94,28 @@ def _viterbi(run: str, found: list[tuple[int, int, int]], total: int) -> list[st
         at.setdefault(start, []).append((size, math.log(count / total)))
     best = [0.0] * (n + 1)
     step = [0] * (n + 1)
+    known = [False] * (n + 1)
     for i in range(n - 1, -1, -1):
         # an unknown stretch costs more the longer it is
-        best[i], step[i] = max(
-            [(math.log(10 / total) - 2.3 * size + best[i + size], size) for size in range(1, min(WORD, n - i) + 1)]
-            + [(score + best[i + size], size) for size, score in at.get(i, ())]
+        best[i], step[i], known[i] = max(
+            [(math.log(10 / total) - 2.3 * size + best[i + size], size, False) for size in range(1, min(WORD, n - i) + 1)]
+            + [(score + best[i + size], size, True) for size, score in at.get(i, ())]
         )
-    out, i = [], 0
+    out, i, before = [], 0, True
     while i < n:
-        out.append(run[i : i + step[i]])
-        i += step[i]
+        piece = run[i : i + step[i]]
+        if before or known[i]:
+            out.append(piece)
+        else:  # unknown letters side by side are one word
+            out[-1] += piece
+        before, i = known[i], i + step[i]
     return out
 
 
 def segment(distinct_runs: DataFrame, words: DataFrame) -> DataFrame:
     """Stored table ``run, parts`` for distinct ``run`` values."""
     total = max(10, words.agg(F.sum("n")).first()[0] or 0)
-    fit = distinct_runs.filter(F.length("run") <= LABEL)
-    starts = fit.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("start"))
+    starts = distinct_runs.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("start"))
     pieces = starts.select(
         "run", "start",
         F.explode(F.sequence(F.lit(1), F.least(F.lit(WORD), F.length("run") - F.col("start") + 1))).alias("size"),
@@ -116,7 +123,7 @@ def segment(distinct_runs: DataFrame, words: DataFrame) -> DataFrame:
     found = pieces.join(words, "word").groupBy("run").agg(
         F.collect_list(F.struct((F.col("start") - 1).alias("start"), "size", "n")).alias("found")
     )
-    known = fit.join(found, "run", "left").select("run", F.coalesce("found", F.array()).alias("found"))
+    known = distinct_runs.join(found, "run", "left").select("run", F.coalesce("found", F.array()).alias("found"))
 
     def split(batches):
         for batch in batches:
@@ -126,20 +133,20 @@ def segment(distinct_runs: DataFrame, words: DataFrame) -> DataFrame:
             parts = pa.array(made, pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column("run"), parts], names=["run", "parts"])
 
-    short = known.mapInArrow(split, "run string, parts array<string>")
-    whole = distinct_runs.filter(F.length("run") > LABEL).select("run", F.array("run").alias("parts"))
-    return stored(short.union(whole), "segments")
+    return stored(known.mapInArrow(split, "run string, parts array<string>"), "segments")
 
 
 def bayes_table(labelled: DataFrame, smoothing: float = 1.0) -> tuple[DataFrame, float]:
-    """Stored table ``word, ratio`` of ``labelled(words, bad)``, and the log ratio of the classes.
+    """Stored table ``word, ratio`` of ``labelled(words, bad, n)``, and the log ratio of the classes.
 
-    ``ratio`` is log P(word | bad) - log P(word | good), with additive smoothing.
+    ``n`` is the number of rows that a line stands for.  ``ratio`` is log P(word | bad) -
+    log P(word | good), with additive smoothing.
     """
-    count = labelled.agg(F.sum(F.col("bad").cast("long")), F.count("*")).first()
-    bad, every = count[0] or 0, count[1]
-    words = labelled.select("bad", F.explode("words").alias("word")).groupBy("word").agg(
-        F.sum(F.col("bad").cast("long")).alias("b"), F.sum((~F.col("bad")).cast("long")).alias("g")
+    bad_rows, good_rows = F.when(F.col("bad"), F.col("n")).otherwise(0), F.when(F.col("bad"), 0).otherwise(F.col("n"))
+    count = labelled.agg(F.sum(bad_rows), F.sum("n")).first()
+    bad, every = count[0] or 0, count[1] or 0
+    words = labelled.select("bad", "n", F.explode("words").alias("word")).groupBy("word").agg(
+        F.sum(bad_rows).alias("b"), F.sum(good_rows).alias("g")
     )
     words = stored(words, "bayes-counts")
     sums = words.agg(F.sum("b"), F.sum("g"), F.count("*")).first()
@@ -170,7 +177,7 @@ def judge(
     """``urls`` with ``host, path, rule, verdict, score``; columns of these names are replaced.
 
     ``words(word, n)`` is the unigram table.  ``labels(url, bad boolean)`` trains the
-    classes; without it the urls themselves do, labelled bad if the host has a seed word.
+    classes; without it the urls themselves do, labelled bad if a seed word is among the words of the host.
     """
     own = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "score")]
     kept = urls.select(F.struct(*[urls[c] for c in own]).alias("row"), urls[url_col].alias("url"))
@@ -185,23 +192,28 @@ def judge(
         .groupBy("host", "path", "bad").agg(F.count("*").alias("n")), "labelled",
     )
     found = every.select("host", "path") if labels is None else every.select("host", "path").union(train.select("host", "path"))
-    distinct = found.select(F.explode(runs(F.col("host"), F.col("path"))).alias("run")).distinct()
+    both = F.concat(runs(F.col("host")), runs(F.col("path")))
+    distinct = found.select(F.explode(both).alias("run")).distinct()
     extra = urls.sparkSession.createDataFrame([(w, 1) for w in HOST_WORDS], "word string, n long")
     table = words.select("word", "n").union(extra).groupBy("word").agg(F.sum("n").alias("n"))
     parts = segment(distinct, stored(table, "unigrams"))
 
     def worded(df: DataFrame) -> DataFrame:
-        """One row per word of host (once a host) and path."""
-        lists = df.withColumn("run", F.explode_outer(runs(F.col("host"), F.col("path"))))
+        """One row per word, of the host or not."""
+        named = lambda part, of_host: F.transform(
+            runs(F.col(part)), lambda r: F.struct(r.alias("run"), F.lit(of_host).alias("of_host"))
+        )
+        lists = df.withColumn("x", F.explode_outer(F.concat(named("host", True), named("path", False))))
+        lists = lists.select(*df.columns, "x.run", "x.of_host")
         return lists.join(sized(parts), "run", "left").withColumn("word", F.explode_outer("parts")).drop("run", "parts")
 
     split = stored(worded(every), "split")
     learn = split if labels is None else stored(worded(train), "split-labelled")
-    by = ["host", "path"] if labels is None else ["host", "path", "bad"]
+    by = ["host", "path", "n"] if labels is None else ["host", "path", "bad", "n"]
     bags = learn.groupBy(*by).agg(F.collect_list("word").alias("words"))
     if labels is None:
         # the words of a host alone decide its label
-        hosts = split.filter(F.col("word").isin(*seeds) & F.contains(F.col("host"), F.col("word"))).select("host").distinct()
+        hosts = split.filter(F.col("word").isin(*seeds) & F.col("of_host")).select("host").distinct()
         bags = bags.join(hosts.withColumn("bad", F.lit(True)), "host", "left").withColumn("bad", F.coalesce("bad", F.lit(False)))
     ratios, prior = bayes_table(bags)
     score = split.join(sized(ratios), "word", "left").groupBy("host", "path").agg(
