@@ -127,19 +127,20 @@ def keyword_links_by_table(
     Links meet words by an equi-join on the rarest short piece of each word, so neither the plan nor the
     work grows with words times links; a word is matched in lower-cased links as it is written.
     """
-    links = page_links(usable_pages(pages), base_url, with_text=True).withColumn("_low", F.lower("href"))
-    links = links.filter(F.col("href").isNotNull())
+    links = page_links(usable_pages(pages), base_url, with_text=True).select(
+        "page_id", "page_url", "pos", "url", F.lower("href").alias("_low"), F.expr(_cut("link_text", text_chars)).alias("text")
+    )
     words = words.select("keyword_ord", "keyword").filter(F.length("keyword") > 0).distinct()
-    if words.isEmpty():
-        gram = 1
-    else:
-        gram = shortest(words, "keyword", 6)
-    hits = contains_join(links, words, "_low", "keyword", gram)
-    nth = F.row_number().over(Window.partitionBy("page_id", "keyword_ord", "keyword").orderBy("pos"))
-    shown = F.struct("pos", F.expr(_cut("link_text", text_chars)).alias("text"), "url")
-    some = shown if samples is None else F.when(F.col("_nth") <= samples, shown)
-    report = hits.withColumn("_nth", nth).groupBy("page_id", "page_url", "keyword_ord", "keyword").agg(
-        F.count(F.lit(1)).cast("int").alias("links"), F.array_sort(F.collect_list(some)).alias("samples")
+    gram = 1 if words.isEmpty() else shortest(words, "keyword", 6)
+    hits = contains_join(links, words, "_low", "keyword", gram).drop("_low")
+    # ranking and counting use the same keys, so hits are dealt once
+    keys = ["page_id", "keyword_ord", "keyword"]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("pos"))
+    shown = F.struct("pos", "text", "url")
+    some = shown if samples is None else F.when(nth <= samples, shown)
+    report = hits.select(*keys, "page_url", some.alias("shown")).groupBy(*keys).agg(
+        F.first("page_url").alias("page_url"), F.count(F.lit(1)).cast("int").alias("links"),
+        F.array_sort(F.collect_list("shown")).alias("samples"),
     )
     return report.select(
         "page_id", F.col("page_url").alias("url"), "keyword_ord", "keyword", "links",
