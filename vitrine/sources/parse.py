@@ -34,6 +34,7 @@ NODE_FIELDS = (
 )
 NODES_DDL = f"array<struct<{NODE_FIELDS.replace(' int', ':int').replace(' string', ':string').replace(' map', ':map')}>>"
 JSON_HITS_DDL = "array<struct<pre:int,linked:boolean,value:string,failed:boolean>>"
+OUTPUTS = ("text", "markup", "nodes", "json_hits", "parse_error")
 _DDL = {"nodes": NODES_DDL, "json_hits": JSON_HITS_DDL}
 
 _INT, _STR = pa.int32(), pa.string()
@@ -85,8 +86,8 @@ def parse_pages(
     carry = list(carry)
     source = pages.select(*carry, html_text(F.col(html)).alias("_html"))
     keys = tuple(json_keys)
-    wanted = {"text": with_text, "markup": markup_attrs is not None, "nodes": True, "json_hits": bool(keys), "parse_error": True}
-    outputs = tuple(name for name, asked in wanted.items() if asked)
+    asked = {"text": with_text, "markup": markup_attrs is not None, "json_hits": bool(keys)}
+    outputs = tuple(name for name in OUTPUTS if asked.get(name, True))
     fields = [source.schema[name] for name in carry]
     fields += [T.StructField(name, T.DataType.fromDDL(_DDL.get(name, "string"))) for name in outputs]
     options = {
@@ -105,7 +106,7 @@ def parse_pages(
     return source.mapInArrow(parse, T.StructType(fields))
 
 
-def _parse_batch(builder, batch, carry, keys, outputs):
+def _parse_batch(builder, batch, carry, keys, outputs=OUTPUTS):
     sources = batch.column(len(carry))
     start, chars, rows = 0, 0, []
     for index in range(batch.num_rows):
