@@ -1,11 +1,15 @@
 """Personal data: plain patterns, and bootstrapped contextual extraction for what they miss.
 
 Valid finds of the plain patterns are seed entities.  The words around every find and
-around every other identifier-like token are its lexical patterns.  Patterns and instances
-form a graph; Spark scores it in rounds: a pattern is worth the share of its instances
-that are known to be of a kind, an instance what the good patterns around it say together.
-Instances above the threshold join the known ones in the next round, and their places
-become further spans.
+around every other identifier-like token are its lexical patterns.  Identifier-like is a
+token with a digit, or with a symbol between letters (``jane(at)corp``), of any length;
+words of letters alone are not.  Patterns and instances form a graph; Spark scores it in
+rounds: a pattern is worth the share of its instances that are known to be of a kind, an
+instance what the good patterns around it say together.  Instances above the threshold
+join the known ones in the next round, and their places become further spans.
+
+Neighbouring words are taken whole, however long and however far away: the blank-separated
+pieces of what lies between tokens, and the tokens themselves, digits taken as alike.
 
 DataFrame functions only.  Texts are read once; places follow from the lengths of what
 lies between matches, summed per document and kind.  All patterns are possessive where
@@ -14,7 +18,8 @@ distinct before any join; only patterns above the confidence limit are joined ba
 
 Defined cases: NULL and empty texts have no spans; spans are in code points, end exclusive;
 repeated rows are scanned alike, and each counts once in the output; an instance counts
-once per pattern, however often it occurs; an empty table gives an empty result.
+once per pattern, however often it occurs; of kinds with equal scores the first listed is
+taken; other columns of any name are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ LEARNED = tuple(f"learned_{k}" for k in KINDS)
 TOKEN, DOCUMENT = 8, 9  # numbers of identifier tokens and of the row every document has
 
 LOCAL = "A-Za-z0-9._%+-"
+LETTERS = r"A-Za-z0-9_\x80-\x{10FFFF}"
+BLANKS = r" \t-\r"
 PATTERNS = {
     # a run of local characters is entered at its start or where the last match ended
     "email": rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -42,9 +49,10 @@ MENTION = "|".join((
     PATTERNS["phone"],
     PATTERNS["ip"],
     r"(?<![0-9A-Za-z_-])[0-9](?:[ -]?[0-9])++(?![0-9A-Za-z_/-])",
+    # runs of letters and digits with symbols between them
+    rf"(?<![{LETTERS}])[{LETTERS}]++(?:[^{LETTERS}{BLANKS}]++[{LETTERS}]++)++",
     r"(?<![0-9A-Za-z_-])[A-Za-z_-]*+[0-9][A-Za-z0-9_/-]*+",
 ))
-CONTEXT = 48  # code points looked at on either side of a mention
 
 
 @dataclass(frozen=True)
@@ -100,87 +108,93 @@ def _kind_of(text: Column) -> Column:
     )
 
 
+def _shape(word: Column) -> Column:
+    """Hash of a word in lower case, digits alike; NULL if there is none."""
+    return F.when(word != "", F.xxhash64(F.translate(F.lower(word), "123456789", "000000000")))
+
+
 def _items(text: Column) -> Column:
     """All matches of all kinds with the lengths of what lies before them, in order.
 
-    Mentions also carry the ends of the gaps around them; one more item closes the text.
+    Mentions also carry the first and the last two words of the gap before them; one more
+    item closes the text.
     """
-    def zipped(pattern: str, number: int, ends: bool) -> Column:
+    blank = "\t\n\x0b\x0c\r"
+
+    def gap(g: Column, words: bool) -> Column:
+        if not words:
+            none = F.lit(None).cast("long")
+            return F.struct(F.length(g).alias("size"), none.alias("first"), none.alias("last"), none.alias("second"))
+        even = F.trim(F.translate(g, blank, " " * len(blank)))
+        last = F.substring_index(even, " ", -1)
+        rest = F.rtrim(even.substr(F.lit(1), F.length(even) - F.length(last)))
+        return F.struct(
+            F.length(g).alias("size"), _shape(F.substring_index(even, " ", 1)).alias("first"),
+            _shape(last).alias("last"), _shape(F.substring_index(rest, " ", -1)).alias("second"),
+        )
+
+    def zipped(pattern: str, number: int, words: bool) -> Column:
         gaps = F.split(text, pattern, -1)
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        none = F.lit(None).cast("string")
-
-        def gap(g: Column) -> Column:
-            return F.struct(
-                F.length(g).alias("size"),
-                (F.substring(g, 1, CONTEXT) if ends else none).alias("head"),
-                (g.substr(-CONTEXT, CONTEXT) if ends else none).alias("tail"),
-            )
-
-        pairs = F.arrays_zip(F.transform(gaps, gap).alias("gap"), found.alias("match"))
+        pairs = F.arrays_zip(F.transform(gaps, lambda g: gap(g, words)).alias("gap"), found.alias("match"))
         return F.transform(
-            pairs if ends else F.filter(pairs, lambda x: x["match"].isNotNull()),
+            pairs if words else F.filter(pairs, lambda x: x["match"].isNotNull()),
             lambda x: F.struct(
-                F.lit(number).alias("kind"), x["gap"]["size"].alias("gap"), x["gap"]["head"].alias("head"),
-                x["gap"]["tail"].alias("tail"), x["match"].alias("match"),
+                F.lit(number).alias("kind"), x["gap"]["size"].alias("gap"), x["gap"]["first"].alias("first"),
+                x["gap"]["last"].alias("last"), x["gap"]["second"].alias("second"), x["match"].alias("match"),
             ),
         )
 
-    empty = F.array().cast("array<struct<kind:int,gap:int,head:string,tail:string,match:string>>")
+    empty = F.array().cast("array<struct<kind:int,gap:int,first:bigint,last:bigint,second:bigint,match:string>>")
     number = text.rlike("[0-9]")
     needs = {"email": F.contains(text, F.lit("@")), "ip": number & F.contains(text, F.lit(".")), "card": number,
              "phone": F.contains(text, F.lit("+"))}
     parts = [F.when(needs[k], zipped(PATTERNS[k], i, False)).otherwise(empty) for i, k in enumerate(KINDS)]
-    parts.append(F.when(number | needs["email"], zipped(MENTION, TOKEN, True)).otherwise(empty))
+    parts.append(zipped(MENTION, TOKEN, True))
+    none = F.lit(None).cast("long")
     parts.append(F.array(F.struct(
-        F.lit(DOCUMENT).alias("kind"), F.lit(0).alias("gap"), F.lit(None).cast("string").alias("head"),
-        F.lit(None).cast("string").alias("tail"), F.lit("").alias("match"),
+        F.lit(DOCUMENT).alias("kind"), F.lit(0).alias("gap"), none.alias("first"), none.alias("last"),
+        none.alias("second"), F.lit("").alias("match"),
     )))
     return F.concat(*parts)
 
 
-def _word(text: Column, place: str) -> Column:
-    """The last (``place`` '$') or first word of a context, lower-cased, digits alike; NULL if none."""
-    pattern = r"([^ \t-\r]+)[ \t-\r]*$" if place == "$" else r"^[ \t-\r]*([^ \t-\r]+)"
-    word = F.regexp_replace(F.lower(F.regexp_extract(text, pattern, 1)), "[0-9]", "0")
-    return F.when(word != "", word)
-
-
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Stored table ``row, id, kind, start, stop, known, instance, patterns``.
 
-    One row per valid plain find (kinds 0 to 3), per mention (8: ``known`` is the kind it
-    is a seed of) and per document (9).
+    One row per valid plain find (kinds 0 to 3), per mention with a neighbour (8: ``known``
+    is the kind it is a seed of) and per document (9).
     """
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].alias("id"), text.alias("text"))
     items = rows.select("row", "id", F.posexplode(_items(F.col("text"))).alias("at", "x")).select(
         "row", "id", "at", "x.*"
-    )
+    ).withColumn("own", F.when(F.col("kind") == TOKEN, _shape(F.col("match"))))
     order = Window.partitionBy("row", "kind").orderBy("at")
     size = F.coalesce(F.length("match"), F.lit(0))
     upto = F.sum(F.col("gap") + size).over(order.rowsBetween(Window.unboundedPreceding, 0))
     placed = items.select(
-        "row", "id", "kind", "match", "tail", F.lead("head").over(order).alias("right"),
+        "row", "id", "kind", "match", "first", "last", "second", "own",
+        F.lag("own").over(order).alias("own1"), F.lag("own", 2).over(order).alias("own2"),
+        F.lag("last").over(order).alias("last1"),
+        F.lead(F.coalesce("first", "own")).over(order).alias("right"),
         (upto - size).alias("start"), upto.alias("stop"),
     ).filter(F.col("match").isNotNull())
     match, mention = F.col("match"), F.col("kind") == TOKEN
-    left, right = _word(F.col("tail"), "$"), _word(F.col("right"), "^")
-    before = _word(F.regexp_replace("tail", r"[^ \t-\r]+[ \t-\r]*$", ""), "$")
+    left, right = F.coalesce("last", "own1"), F.col("right")
+    before = F.when(F.col("last").isNotNull(), F.coalesce("second", "own1")).otherwise(F.coalesce("last1", "own2"))
     patterns = F.array_compact(F.array(
-        F.xxhash64(F.lit("left"), left) * F.when(left.isNotNull(), F.lit(1)),
-        F.xxhash64(F.lit("two"), before, left) * F.when(before.isNotNull() & left.isNotNull(), F.lit(1)),
-        F.xxhash64(F.lit("around"), left, right) * F.when(left.isNotNull() & right.isNotNull(), F.lit(1)),
+        F.when(left.isNotNull(), F.xxhash64(F.lit("left"), left)),
+        F.when(before.isNotNull() & left.isNotNull(), F.xxhash64(F.lit("two"), before, left)),
+        F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(F.lit("around"), left, right)),
     ))
     good = F.col("kind") == DOCUMENT
     for number, kind in enumerate(KINDS):
         good |= (F.col("kind") == number) & _valid(kind, match)
-    known = F.when(mention, _kind_of(match))
-    # a mention is a seed or a token long enough to identify something
-    good |= mention & (_kind_of(match).isNotNull() | ((F.length("match") >= 6) & (F.length(_digits(match)) >= 4)))
+    good |= mention & left.isNotNull()  # every pattern holds the word before
     return stored(
         placed.filter(good).select(
-            "row", "id", "kind", "start", "stop", known.alias("known"),
+            "row", "id", "kind", "start", "stop", F.when(mention, _kind_of(match)).alias("known"),
             F.when(mention, F.xxhash64(F.lower("match"))).alias("instance"),
             F.when(mention, patterns).alias("patterns"),
         ),
