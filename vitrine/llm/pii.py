@@ -44,15 +44,18 @@ PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-MENTION = "|".join((
+# one look back rules out most places inside words; phones and addresses may follow a letter
+MENTION = r"(?<![A-Za-z0-9_])(?:" + "|".join((
     rf"(?<![{LOCAL}])[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     PATTERNS["phone"],
     PATTERNS["ip"],
-    r"(?<![0-9A-Za-z_-])[0-9](?:[ -]?[0-9])++(?![0-9A-Za-z_/-])",
+    r"(?<!-)[0-9](?:[ -]?[0-9])++(?![0-9A-Za-z_/-])",
     # runs of letters and digits with symbols between them
     rf"(?<![{LETTERS}])[{LETTERS}]++(?:[^{LETTERS}{BLANKS}]++[{LETTERS}]++)++",
-    r"(?<![0-9A-Za-z_-])[A-Za-z_-]*+[0-9][A-Za-z0-9_/-]*+",
-))
+    r"(?<!-)[A-Za-z_-]*+[0-9][A-Za-z0-9_/-]*+",
+)) + rf")|{PATTERNS['phone']}|[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){{3}}"
+# every mention has a digit, an @ or a symbol between two letters
+HINT = rf"[0-9@]|[{LETTERS}][^{LETTERS}{BLANKS}]++[{LETTERS}]"
 
 
 @dataclass(frozen=True)
@@ -117,20 +120,14 @@ def _items(text: Column) -> Column:
     """All matches of all kinds with the lengths of what lies before them, in order.
 
     Mentions also carry the first and the last two words of the gap before them; one more
-    item closes the text.
+    item closes the text.  A gap is read backwards for its last words, so only they are matched.
     """
-    blank = "\t\n\x0b\x0c\r"
-
     def gap(g: Column, words: bool) -> Column:
-        if not words:
-            none = F.lit(None).cast("long")
-            return F.struct(F.length(g).alias("size"), none.alias("first"), none.alias("last"), none.alias("second"))
-        even = F.trim(F.translate(g, blank, " " * len(blank)))
-        last = F.substring_index(even, " ", -1)
-        rest = F.rtrim(even.substr(F.lit(1), F.length(even) - F.length(last)))
+        none = F.lit(None).cast("string")
+        back = F.reverse(F.regexp_extract(F.reverse(g), rf"^[{BLANKS}]*+[^{BLANKS}]++(?:[{BLANKS}]++[^{BLANKS}]++)?+", 0))
+        head = F.regexp_extract(g, rf"^[{BLANKS}]*+([^{BLANKS}]++)", 1)
         return F.struct(
-            F.length(g).alias("size"), _shape(F.substring_index(even, " ", 1)).alias("first"),
-            _shape(last).alias("last"), _shape(F.substring_index(rest, " ", -1)).alias("second"),
+            F.length(g).alias("size"), (head if words else none).alias("head"), (back if words else none).alias("tail")
         )
 
     def zipped(pattern: str, number: int, words: bool) -> Column:
@@ -140,21 +137,21 @@ def _items(text: Column) -> Column:
         return F.transform(
             pairs if words else F.filter(pairs, lambda x: x["match"].isNotNull()),
             lambda x: F.struct(
-                F.lit(number).alias("kind"), x["gap"]["size"].alias("gap"), x["gap"]["first"].alias("first"),
-                x["gap"]["last"].alias("last"), x["gap"]["second"].alias("second"), x["match"].alias("match"),
+                F.lit(number).alias("kind"), x["gap"]["size"].alias("gap"), x["gap"]["head"].alias("head"),
+                x["gap"]["tail"].alias("tail"), x["match"].alias("match"),
             ),
         )
 
-    empty = F.array().cast("array<struct<kind:int,gap:int,first:bigint,last:bigint,second:bigint,match:string>>")
+    empty = F.array().cast("array<struct<kind:int,gap:int,head:string,tail:string,match:string>>")
     number = text.rlike("[0-9]")
     needs = {"email": F.contains(text, F.lit("@")), "ip": number & F.contains(text, F.lit(".")), "card": number,
              "phone": F.contains(text, F.lit("+"))}
     parts = [F.when(needs[k], zipped(PATTERNS[k], i, False)).otherwise(empty) for i, k in enumerate(KINDS)]
-    parts.append(zipped(MENTION, TOKEN, True))
-    none = F.lit(None).cast("long")
+    parts.append(F.when(text.rlike(HINT), zipped(MENTION, TOKEN, True)).otherwise(empty))
+    none = F.lit(None).cast("string")
     parts.append(F.array(F.struct(
-        F.lit(DOCUMENT).alias("kind"), F.lit(0).alias("gap"), none.alias("first"), none.alias("last"),
-        none.alias("second"), F.lit("").alias("match"),
+        F.lit(DOCUMENT).alias("kind"), F.lit(0).alias("gap"), none.alias("head"), none.alias("tail"),
+        F.lit("").alias("match"),
     )))
     return F.concat(*parts)
 
@@ -167,9 +164,14 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].alias("id"), text.alias("text"))
-    items = rows.select("row", "id", F.posexplode(_items(F.col("text"))).alias("at", "x")).select(
-        "row", "id", "at", "x.*"
-    ).withColumn("own", F.when(F.col("kind") == TOKEN, _shape(F.col("match"))))
+    items = rows.select("row", "id", F.posexplode(_items(F.col("text"))).alias("at", "x")).select("row", "id", "at", "x.*")
+    words = F.split(F.col("tail"), rf"[{BLANKS}]++", -1)  # blanks may follow: the last piece is then empty
+    words = F.filter(words, lambda w: w != "")
+    items = items.select(
+        "row", "id", "at", "kind", "gap", "match", _shape(F.col("head")).alias("first"),
+        _shape(F.try_element_at(words, F.lit(-1))).alias("last"), _shape(F.try_element_at(words, F.lit(-2))).alias("second"),
+        F.when(F.col("kind") == TOKEN, _shape(F.col("match"))).alias("own"),
+    )
     order = Window.partitionBy("row", "kind").orderBy("at")
     size = F.coalesce(F.length("match"), F.lit(0))
     upto = F.sum(F.col("gap") + size).over(order.rowsBetween(Window.unboundedPreceding, 0))
