@@ -190,7 +190,7 @@ def test_topk_query(spark, data):
 
 @pytest.mark.parametrize("block", [8192, 16])
 def test_topk_ties_and_edges(spark, monkeypatch, block):
-    monkeypatch.setattr(topk, "ROWS", block)
+    monkeypatch.setattr(topk, "BLOCK_BYTES", block * 6 * 8)
     monkeypatch.setattr(topk, "QUERIES", max(2, block // 8))
     random.seed(block)
     rows = [(i, [random.choice([0.0, 0.1, -0.5, 1.0, 3.0]) for _ in range(6)]) for i in range(150)]
@@ -204,6 +204,51 @@ def test_topk_ties_and_edges(spark, monkeypatch, block):
     assert topk.top_k(v.filter("id < 3"), v.filter("id = 0"), 20).count() == 2
 
 
+def test_topk_repeated_ids_and_other_columns(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 200)
+    random.seed(4)
+    rows = [(i % 30, [float(random.randint(-3, 3)) for _ in range(4)]) for i in range(90)]
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, block int, kind string")
+    v = topk.quantised(df, 1.0)
+    want = []
+    for q, x in sorted({(i, tuple(v)) for i, v in rows if i % 20 == 0}):
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != q)[:9]
+        want += [(q, rank, i, -int(s)) for rank, (s, i) in enumerate(scored, 1)]
+    assert sorted(tuple(r) for r in topk.top_k(v, v.filter("id % 20 = 0"), 9).collect()) == sorted(want)
+
+
+def test_topk_beyond_64_bits(spark):
+    """Ranks stay exact where scores do not fit; shown are the ends of the range."""
+    big = 2.0**61
+    rows = [(0, [big, 1.0]), (1, [big, 0.0]), (2, [big * 2, 0.0]), (3, [-big, 5.0]), (4, [big * 2, 7.0]), (5, [-big, 6.0]), (6, [1.0, 1.0])]
+    v = spark.createDataFrame(rows, "id long, v array<double>").selectExpr("id", "transform(v, x -> CAST(x AS BIGINT)) AS v")
+    got = sorted(tuple(r)[1:] for r in topk.top_k(v, v.filter("id = 0"), 10).collect())
+    assert [i for _, i, _ in got] == [4, 2, 1, 6, 5, 3]
+    assert [s for _, _, s in got] == [2**63 - 1] * 3 + [2**61 + 1] + [1 - 2**63] * 2
+
+
+def test_topk_index_makes_fewer_products():
+    """Whole index of wide rows: exact, with fewer products than all pairs, in bounded memory."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    width = 768
+    n = topk.BLOCK_BYTES // (8 * width)
+    values = np.floor(64 * rng.standard_normal((n, width)) * rng.exponential(1, (1, width)) ** 2).astype(np.int64)
+    ids, asked = np.arange(n), values[:64]
+    tracemalloc.start()
+    index = topk.ImpactIndex(values, ids)
+    best = index.best(asked, ids[:64], 20)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert index.products < 0.8 * n * width * 64
+    for at, (where, score, _) in enumerate(best):
+        full = values @ asked[at]
+        full[at] = -(2**62)  # its own row
+        order = np.lexsort((ids, -full))[:20]
+        assert (order == where).all() and (full[order] == score).all()
+
+
 def test_quality_of_single_words_and_pairs():
     from vitrine.llm.quality import measure
 

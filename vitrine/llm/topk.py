@@ -1,30 +1,41 @@
 """Exact top-k by inner product through an impact-ordered, score-at-a-time index.
 
-Vectors are packed into blocks.  Inside a block, the postings of all dimensions are put
-into segments by the quantised size (power of two) of their value, largest first.  For a
-block of queries, segments are processed in that order and add to partial scores.  After
-each, the length of what is left of a vector bounds what it can still gain or lose, so the
-k-th best lower bound proves which rows can be members; when few are left, processing
-stops and those are rescored exactly in integers.  Without a proof all segments are used.
-
-Queries meet every block once ("a stated query set against all rows, in blocks"); each
-block gives k rows per query, and these are merged.  Rows are dealt to blocks in turn, so
-repeated ids or vectors can't crowd one block.  Memory of a task: one block of rows and
-one of queries.
+Vectors are packed into blocks of bounded bytes.  Inside a block, the non-zero components
+become postings (dimension, rows, values), put into segments by the quantised size (power
+of two) of their value, largest first.  For a pack of queries, segments are processed in
+that order and add to partial scores.  After each, the length of what is left of a vector
+bounds what it can still gain or lose, so the k-th best lower bound proves which rows can
+be members.  A query stops once rescoring its possible members takes no more products than
+the postings left; they are then rescored exactly in integers.  A query without such a
+proof goes through all segments.
+
+Rows lie in one partition per block; a copy of the queries is streamed past each block
+("a stated query set against all rows, in blocks"), so an index is built once and vectors
+are shuffled once.  Each block gives k rows per query, and these are merged.  Rows are
+dealt to blocks in turn, so repeated ids or vectors can't crowd one block.  Memory of a
+task: one block of rows and one pack of queries.
 
 Defined cases: vectors that are NULL or hold a NULL, NaN or infinite component take no
 part; a missing component counts as zero; ties go to the smaller id; repeated rows of one
 id are separate candidates, and a row is a query's own if it has the query's id; repeated
-query rows are one query per distinct vector; empty tables give no rows.
+query rows are one query per distinct vector; scores beyond 64 bits are ranked exactly and
+shown as the end of that range; columns other than id and vector are not read; empty
+tables give no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-ROWS, QUERIES = 8192, 512  # rows and queries in a block
+from vitrine.llm.common import small_batches
+
+BLOCK_BYTES = 4 << 20  # of the components of a block of rows
+QUERIES = 64  # queries scored together
+TOP = 2**63 - 1
 
 
 def quantised(vectors: DataFrame, scale: float = 64.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -37,102 +48,149 @@ def quantised(vectors: DataFrame, scale: float = 64.0, id_col: str = "vec_id", v
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of a list column, padded with zeros."""
+    """Rows of a list column, padded with zeros or cut to ``width``."""
     sizes = np.diff(column.offsets.to_numpy())
     out = np.zeros((len(column), width), np.int64)
     values = column.flatten().to_numpy(zero_copy_only=False)
     rows = np.repeat(np.arange(len(column)), sizes)
-    out[rows, np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = values
+    places = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    inside = places < width
+    out[rows[inside], places[inside]] = values[inside]
     return out
 
 
 class ImpactIndex:
-    """Postings of a block, in segments of falling impact."""
-
-    def __init__(self, values: np.ndarray):
-        self.values = values
-        size = np.abs(values.astype(np.float64))
-        level = np.where(size > 0, np.frexp(size)[1], 0)
-        self.segments: list[np.ndarray] = []
-        self.left: list[np.ndarray] = []  # length of the part of each row still to come
-        rest = values.astype(np.float64)
-        for step in sorted(set(level[level > 0].tolist()), reverse=True):
-            inside = level == step
-            self.segments.append(np.where(inside, rest, 0.0))
-            rest = np.where(inside, 0.0, rest)
-            self.left.append(np.sqrt((rest * rest).sum(1)))
-
-    def best(self, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int):
-        """Per query the positions and exact scores of its k best rows (ties to the smaller id)."""
+    """Postings of a block, in segments of falling impact.
+
+    ``products`` counts the multiplications made, rescoring included.
+    """
+
+    def __init__(self, values: np.ndarray, ids: np.ndarray):
+        self.values, self.ids, self.products = values, ids, 0
+        rows, dims = np.nonzero(values)
+        impact = values[rows, dims].astype(np.float64)
+        level = np.frexp(np.abs(impact))[1]
+        order = np.lexsort((rows, dims, -level))
+        rows, dims, impact, level = rows[order], dims[order], impact[order], level[order]
+        starts = np.flatnonzero(np.diff(level, prepend=level[:1] + 1))
+        self.segments: list[list[tuple[int, np.ndarray, np.ndarray]]] = []
+        self.left: list[np.ndarray] = []  # per segment: length of the part of each row still to come
+        self.after: list[int] = []  # per segment: postings still to come
+        rest = np.zeros(len(values))
+        for start, stop in reversed([*zip(starts, [*starts[1:], len(rows)])]):
+            lists = np.flatnonzero(np.diff(dims[start:stop], prepend=-1)) + start
+            self.segments.append([(int(dims[a]), rows[a:b], impact[a:b]) for a, b in zip(lists, [*lists[1:], stop])])
+            self.left.append(np.sqrt(rest))
+            self.after.append(len(rows) - stop)
+            rest = rest + np.bincount(rows[start:stop], impact[start:stop] ** 2, len(values))
+        for parts in (self.segments, self.left, self.after):
+            parts.reverse()
+        self.length = np.sqrt(rest)
+
+    def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per query the positions, scores and excesses of its k best rows (ties to the smaller id)."""
         q = queries.astype(np.float64)
         length = np.sqrt((q * q).sum(1))
-        score = np.zeros((len(q), len(ids)))
-        banned = own[:, None] == ids[None, :]
-        score[banned] = -np.inf
-        slack = 1e-9 * (1 + length[:, None] * np.sqrt((self.values.astype(np.float64) ** 2).sum(1))[None, :])
-        possible = ~banned
-        keep = min(k, len(ids))
-        for segment, left in zip(self.segments, self.left):
-            score += q @ segment.T
-            gain = length[:, None] * left[None, :] + slack
-            lower = score - gain
-            kth = -np.partition(-lower, keep - 1, axis=1)[:, keep - 1 : keep]
+        members: list[np.ndarray] = [np.flatnonzero(self.ids != own[at]) for at in range(len(q))]
+        active = np.arange(len(q))
+        score = np.zeros((len(self.ids), len(q)))
+        keep = min(k, len(self.ids))
+        for segment, left, after in zip(self.segments, self.left, self.after):
+            for dim, rows, impact in segment:
+                weight = q[active, dim]
+                if weight.any():
+                    score[rows] += impact[:, None] * weight
+                    self.products += len(rows) * len(active)
+            # the slack covers the rounding of the partial sums
+            gain = length[active] * (left + 1e-9 * self.length)[:, None] + 1e-9
+            banned = self.ids[:, None] == own[active]
+            lower = np.where(banned, -np.inf, score - gain)
+            kth = -np.partition(-lower, keep - 1, axis=0)[keep - 1]
             possible = (score + gain >= kth) & ~banned
-            if possible.sum() <= 8 * k * len(q):
-                break  # proven: no other row can be a member
+            done = possible.sum(0) * self.values.shape[1] <= after  # proven, and cheaper than going on
+            done |= after == 0
+            for at in np.flatnonzero(done):
+                members[active[at]] = np.flatnonzero(possible[:, at])
+            active, score = active[~done], score[:, ~done]
+            if not len(active):
+                break
         out = []
-        for row in range(len(q)):
-            at = np.flatnonzero(possible[row])
-            exact = self.exact(queries[row], at)
-            order = np.lexsort((ids[at], -exact))[:k]
-            out.append((at[order], exact[order]))
+        for at in range(len(q)):
+            exact, excess = self.exact(queries[at], members[at])
+            order = np.lexsort((self.ids[members[at]], *-excess.T[::-1], -exact))[:k]
+            out.append((members[at][order], exact[order], excess[order]))
         return out
 
-    def exact(self, query: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Integer inner products; beyond 64 bits they are clipped to the ends of that range."""
+    def exact(self, query: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Integer inner products within 64 bits, and three digits (base 2^62) of what lies beyond."""
         rows = self.values[at]
+        self.products += rows.size
+        excess = np.zeros((len(at), 3), np.int64)
         bound = float(np.abs(query.astype(np.float64)).sum()) * float(np.abs(rows.astype(np.float64)).max(initial=0))
         if bound < 2**62:
-            return rows @ query
+            return rows @ query, excess
         sums = [sum(int(a) * int(b) for a, b in zip(query.tolist(), row)) for row in rows.tolist()]
-        return np.array([max(-(2**63) + 1, min(2**63 - 1, s)) for s in sums], np.int64)
+        shown = [max(-TOP, min(TOP, s)) for s in sums]
+        for row, over in enumerate(s - c for s, c in zip(sums, shown)):
+            excess[row] = over >> 124, (over >> 62) & (2**62 - 1), over & (2**62 - 1)
+        return np.array(shown, np.int64), excess
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """``query_id, rank, id, score``: the k best rows of ``vectors(id, v)`` for each row of ``queries(id, v)``."""
-    n_rows, n_queries = vectors.count(), queries.count()
-    blocks, packs = max(1, -(-n_rows // ROWS)), max(1, -(-n_queries // QUERIES))
+    small_batches(vectors.sparkSession)
+    n_rows, width = vectors.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    size = max(1, BLOCK_BYTES // (8 * max(1, width)))
+    blocks = max(1, -(-n_rows // size))
     deal = F.monotonically_increasing_id()  # of the scan, the same in a repeated task
-    rows = vectors.withColumn("block", F.pmod(deal, F.lit(blocks)).cast("int")).withColumn(
-        "pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1)))
+    none = F.lit(0).cast("long")
+    rows = vectors.select(
+        F.pmod(deal, F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "id", "v", none.alias("mark")
     )
-    asked = queries.distinct() if n_queries else queries
-    asked = asked.withColumn("pack", F.pmod(F.xxhash64("id", "v"), F.lit(packs)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    asked = queries.select("id", "v").distinct().select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "id", "v",
+        F.xxhash64("v").alias("mark"),
     )
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", "query", "id", "score"]
-        if not left.num_rows or not right.num_rows:
-            return pa.table({n: pa.array([], pa.int64()) for n in names})
-        a, b = left.column("v").combine_chunks(), right.column("v").combine_chunks()
-        width = int(max(np.diff(a.offsets.to_numpy()).max(), np.diff(b.offsets.to_numpy()).max()))
-        ids = left.column("id").to_numpy()
-        index, query = ImpactIndex(_matrix(a, width)), _matrix(b, width)
-        own, mark = right.column("id").to_numpy(), right.column("mark").to_numpy()
-        parts = []
-        for start in range(0, len(own), 64):
-            stop = start + 64
-            for at, (where, score) in enumerate(index.best(query[start:stop], own[start:stop], ids, k), start):
-                parts.append((np.full(len(where), own[at]), np.full(len(where), mark[at]), ids[where], score))
-        return pa.table(dict(zip(names, map(np.concatenate, zip(*parts)))))
-
-    asked = asked.withColumn("mark", F.xxhash64("v"))
-    found = (
-        rows.groupBy("block", "pack")
-        .cogroup(asked.groupBy("block", "pack"))
-        .applyInArrow(search, "query_id long, query long, id long, score long")
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, index, waiting = None, None, []
+        for batch in batches:
+            at, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((np.diff(at) != 0) | (np.diff(kind) != 0)) + 1
+            for start, stop in zip([0, *cuts], [*cuts, len(at)] if len(at) else []):
+                part = batch.slice(start, stop - start)
+                if at[start] != block:
+                    block, index, waiting = at[start], None, []
+                if kind[start] == 0:
+                    waiting.append(part)
+                    continue
+                if index is None and waiting:
+                    table = pa.Table.from_batches(waiting).combine_chunks()
+                    column = table.column("v").chunk(0)
+                    wide = int(np.diff(column.offsets.to_numpy()).max())
+                    index, waiting = ImpactIndex(_matrix(column, wide), table.column("id").to_numpy()), []
+                for first in range(0, part.num_rows if index else 0, QUERIES):
+                    yield answer(index, part.slice(first, QUERIES))
+
+    def answer(index: ImpactIndex, pack: pa.RecordBatch) -> pa.RecordBatch:
+        own, mark = pack.column(2).to_numpy(), pack.column(4).to_numpy()
+        best = index.best(_matrix(pack.column(3), index.values.shape[1]), own, k)
+        where, score, excess = (np.concatenate(x) for x in zip(*best))
+        sizes = [len(x) for x, _, _ in best]
+        offsets = pa.array(np.arange(0, 3 * len(where) + 1, 3), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(own, sizes)), pa.array(np.repeat(mark, sizes)), pa.array(index.ids[where]),
+                pa.array(score), pa.ListArray.from_arrays(offsets, pa.array(excess.ravel())),
+            ],
+            names=["query_id", "query", "id", "score", "excess"],
+        )
+
+    # a block's rows come before the queries that it meets
+    met = rows.union(asked).repartitionById(min(blocks, 10_000), F.pmod("block", F.lit(min(blocks, 10_000))))
+    found = met.sortWithinPartitions("block", "kind").mapInArrow(
+        search, "query_id long, query long, id long, score long, excess array<long>"
     )
-    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "id")
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), F.desc("excess"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", "score")
