@@ -86,36 +86,46 @@ class ImpactIndex:
         for parts in (self.segments, self.left, self.after):
             parts.reverse()
         self.length = np.sqrt(rest)
+        self.typical = float(np.median(self.length)) if len(values) else 0.0
 
     def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per query the positions, scores and excesses of its k best rows (ties to the smaller id)."""
         q = queries.astype(np.float64)
         length = np.sqrt((q * q).sum(1))
-        members: list[np.ndarray] = [np.flatnonzero(self.ids != own[at]) for at in range(len(q))]
-        active = np.arange(len(q))
-        score = np.zeros((len(self.ids), len(q)))
+        # single precision unless sums could leave its range; the slack covers its rounding
+        largest = length.max(initial=0) * self.length.max(initial=0)
+        kind = np.float32 if largest < 1e30 else np.float64
+        slack = (self.values.shape[1] + 16) * np.finfo(kind).eps * self.length
+        q, length = np.ascontiguousarray(q.T, kind), length.astype(kind)
+        members: list[np.ndarray] = [np.flatnonzero(self.ids != own[at]) for at in range(len(length))]
+        active = np.arange(len(length))
+        score = np.zeros((len(self.ids), len(length)), kind)
+        banned = self.ids[:, None] == own
         keep = min(k, len(self.ids))
         for segment, left, after in zip(self.segments, self.left, self.after):
             for dim, rows, impact in segment:
-                weight = q[active, dim]
+                weight = q[dim, active]
                 if weight.any():
-                    score[rows] += impact[:, None] * weight
+                    score[rows] += impact.astype(kind)[:, None] * weight
                     self.products += len(rows) * len(active)
-            # the slack covers the rounding of the partial sums
-            gain = length[active] * (left + 1e-9 * self.length)[:, None] + 1e-9
-            banned = self.ids[:, None] == own[active]
-            lower = np.where(banned, -np.inf, score - gain)
-            kth = -np.partition(-lower, keep - 1, axis=0)[keep - 1]
-            possible = (score + gain >= kth) & ~banned
-            done = possible.sum(0) * self.values.shape[1] <= after  # proven, and cheaper than going on
-            done |= after == 0
+            if after and np.median(left) > self.typical / 4:
+                continue  # too much is to come for a proof to be worth trying
+            gain = length[active] * (left + slack).astype(kind)[:, None]
+            own_rows = banned[:, active]
+            lower = score - gain
+            lower[own_rows] = -np.inf
+            kth = np.partition(np.ascontiguousarray(lower.T), len(lower) - keep, axis=1)[:, len(lower) - keep]
+            possible = score + gain >= kth
+            possible[own_rows] = False
+            # proven, and no dearer than going on
+            done = (np.count_nonzero(possible, axis=0) * self.values.shape[1] <= after) | (after == 0)
             for at in np.flatnonzero(done):
                 members[active[at]] = np.flatnonzero(possible[:, at])
             active, score = active[~done], score[:, ~done]
             if not len(active):
                 break
         out = []
-        for at in range(len(q)):
+        for at in range(len(members)):
             exact, excess = self.exact(queries[at], members[at])
             order = np.lexsort((self.ids[members[at]], *-excess.T[::-1], -exact))[:k]
             out.append((members[at][order], exact[order], excess[order]))
