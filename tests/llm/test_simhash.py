@@ -66,7 +66,7 @@ def test_dense_cells_and_blocks(spark, monkeypatch, block):
             prints.add(value)
     prints = sorted(prints)
     signed = [p - (1 << 64) if p >= 1 << 63 else p for p in prints]
-    points = spark.createDataFrame([(s, bytearray(np.uint64(p).tobytes())) for s, p in zip(signed, prints)], "id long, views binary")
+    points = spark.createDataFrame([(s,) for s in signed], "fp long")
     got = {r.node: r.root for r in components(simhash.grid_links(points)).collect()}
     want = slow_classes(signed, prints)
     assert {i: got.get(i, i) for i in signed} == want
@@ -84,6 +84,28 @@ def test_manhattan_is_a_lower_bound():
     assert (simhash.cells_of(a) == simhash.cells_of(b)).any(1).all()
 
 
+@pytest.mark.parametrize("bits", [0, 1, 5])
+def test_other_limits(spark, bits):
+    random.seed(bits)
+    centres = [random.getrandbits(64) for _ in range(20)]
+    prints = {c ^ sum(1 << b for b in random.sample(range(64), random.randint(0, 6))) for c in centres for _ in range(12)}
+    signed = sorted(p - (1 << 64) if p >= 1 << 63 else p for p in prints)
+    points = spark.createDataFrame([(s,) for s in signed], "fp long")
+    got = {r.node: r.root for r in components(simhash.grid_links(points, bits)).collect()}
+    want = slow_classes(signed, [s % (1 << 64) for s in signed], bits)
+    assert {i: got.get(i, i) for i in signed} == want
+
+
+def test_pairs_in_cells_grow_with_the_rows():
+    """Unlike fingerprints rarely share a cell, so pairs compared stay below the rows."""
+    rng = np.random.default_rng(3)
+    for n in (20_000, 40_000, 80_000):
+        cells = simhash.cells_of(rng.integers(0, 2**64, n, dtype=np.uint64))
+        assert cells.shape == (n, 20)
+        many = np.unique(cells, return_counts=True)[1].astype(np.int64)
+        assert (many * (many - 1) // 2).sum() < n // 2
+
+
 def test_edges(spark):
     df = spark.createDataFrame(
         [(3, None, 1), (4, "", 2), (5, " \n", 3), (5, " \n", 3), (6, "One Two", 4), (7, "one two", 5), (None, "x " * 90_000, 6)],

@@ -3,9 +3,10 @@
 A 64-bit fingerprint becomes a point whose coordinates are the numbers of set bits in 32
 segments of two bits.  Two fingerprints that differ in d bits are at most d apart in the
 Manhattan distance of their points, so that distance is a lower bound.  The coordinates
-are dealt to four parts; with at most three differing bits one part must agree, so a grid
-with one cell per value of a part finds every pair ("range join").  Pairs of a cell that
-pass the bound are verified on the fingerprints themselves.
+are dealt to d + 3 parts; d differing bits leave three parts as they are, so a grid with one
+cell per value of any three parts finds every pair ("range join").  Three of six parts are
+about half the coordinates: unlike fingerprints share a cell three times in a million pairs.
+Pairs of a cell that pass the bound are verified on the fingerprints themselves.
 
 Work stays in blocks: a cell above ``BLOCK`` rows is cut into blocks, every pair of blocks
 is one group, and a task holds two blocks.  Of the links found, a task emits a spanning
@@ -20,6 +21,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from vitrine.llm.common import drop_stored, per_text, sized, stored
 from vitrine.llm.components import components
 
-PARTS, SEGMENTS = 4, 8  # parts of a fingerprint, two-bit segments in a part
+SEGMENTS, AGREE = 32, 3  # two-bit segments of a fingerprint, parts that make a cell
 BLOCK = 4096
 PAIRS = 1 << 19  # pairs compared at a time
 U = np.uint64
@@ -87,15 +89,24 @@ def fingerprints(docs: DataFrame, n: int = 3, text_col: str = "text", keep: list
 
 
 # -- grid range join --------------------------------------------------------------
-def cells_of(fp: np.ndarray) -> np.ndarray:
-    """(n, PARTS): the popcount vector of every part as one number below 3**SEGMENTS."""
+def cells_of(fp: np.ndarray, max_bits: int = 3) -> np.ndarray:
+    """(n, choices): for every choice of parts, the choice and the popcounts of its parts as one number."""
     even = U(0x5555555555555555)
     counts = (fp & even) + ((fp >> U(1)) & even)  # two bits hold 0, 1 or 2
-    out = np.zeros((len(fp), PARTS), np.int64)
-    for part in range(PARTS):
-        for segment in range(SEGMENTS):
-            out[:, part] = out[:, part] * 3 + ((counts >> U(2 * (part * SEGMENTS + segment))) & U(3)).astype(np.int64)
-    return out
+    parts = []
+    for places in np.array_split(np.arange(SEGMENTS), max_bits + AGREE):
+        value = np.zeros(len(fp), np.int64)
+        for place in places.tolist():
+            value = value * 3 + ((counts >> U(2 * place)) & U(3)).astype(np.int64)
+        parts.append(value)
+    size = 3 ** -(-SEGMENTS // len(parts))
+    out = []
+    for number, choice in enumerate(combinations(parts, AGREE)):
+        cell = np.full(len(fp), number, np.int64)
+        for value in choice:
+            cell = cell * size + value
+        out.append(cell)
+    return np.stack(out, 1)
 
 
 def manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -127,22 +138,15 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[member], nodes[root[member]]
 
 
-def _links(batches: Iterator[pa.RecordBatch], max_bits: int, max_sketch: int) -> Iterator[pa.RecordBatch]:
-    """Verified links inside the groups of sorted rows ``(cell, lo, hi, side, id, fp, sketch)``."""
+def _links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Verified links inside the groups of sorted rows ``(cell, lo, hi, side, fp)``."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
     rest: dict[str, np.ndarray] | None = None
-    names = ("cell", "lo", "hi", "side", "id", "fp")
-
-    def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
-        if max_sketch:
-            data = b"".join(batch.column("sketch").to_pylist())
-            out["sketch"] = np.frombuffer(data, U).reshape(batch.num_rows, -1)
-        return out
+    names = ("cell", "lo", "hi", "side", "fp")
 
     def compare(rows: dict[str, np.ndarray]) -> None:
-        cell, lo, hi, side, ids = (rows[n] for n in names[:5])
-        fp = rows["fp"].view(U)
+        cell, lo, hi, side, ids = (rows[n] for n in names)
+        fp = ids.view(U)
         n = len(cell)
         new = np.r_[True, (np.diff(cell) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)]
         start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -159,9 +163,6 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int, max_sketch: int) ->
             i, j = i[ok], j[ok]
             ok = np.bitwise_count(fp[i] ^ fp[j]) <= max_bits
             i, j = i[ok], j[ok]
-            if max_sketch and len(i):
-                ok = np.bitwise_count(rows["sketch"][i] ^ rows["sketch"][j]).sum(1, dtype=np.int64) <= max_sketch
-                i, j = i[ok], j[ok]
             if len(i):
                 found.append(forest(ids[i], ids[j]))
             at = stop
@@ -175,7 +176,7 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int, max_sketch: int) ->
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = arrays(batch)
+        rows = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
         if rest is not None:
             rows = {k: np.concatenate([rest[k], v]) for k, v in rows.items()}
         last = (rows["cell"] == rows["cell"][-1]) & (rows["lo"] == rows["lo"][-1]) & (rows["hi"] == rows["hi"][-1])
@@ -190,58 +191,33 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int, max_sketch: int) ->
     yield from out()
 
 
-def _placed(batches: Iterator[pa.RecordBatch], carried: list[str] | None) -> Iterator[pa.RecordBatch]:
-    """Points with their cells, one row per view and part; the cells alone if ``carried`` is None."""
+def _placed(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Fingerprints with their cells, one row per choice of parts."""
     for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        views = np.frombuffer(b"".join(batch.column("views").to_pylist()), U).reshape(n, -1)
-        for view in range(views.shape[1]):
-            fp = np.ascontiguousarray(views[:, view])
-            cells = cells_of(fp)
-            for part in range(PARTS):
-                cell = pa.array((view * PARTS + part) * 3**SEGMENTS + cells[:, part])
-                if carried is None:
-                    yield pa.RecordBatch.from_arrays([cell], names=["cell"])
-                    continue
-                columns = [batch.column("id"), pa.array(fp.view(np.int64)), cell]
-                columns += [batch.column(c) for c in carried]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "fp", "cell", *carried])
-
+        cells = cells_of(batch.column(0).to_numpy().view(U), max_bits)
+        for choice in range(cells.shape[1]):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells[:, choice])], names=["fp", "cell"])
 
-def grid_links(points: DataFrame, max_bits: int = 3, max_sketch: int = 0) -> DataFrame:
-    """Links ``(a, b)`` between points, as spanning forests of what the tasks found.
 
-    ``points(id long, views binary[, sketch binary])`` has distinct ids; ``views`` packs one
-    or more fingerprints (8 bytes, little-endian).  Two points are linked if one view
-    differs in at most ``max_bits`` bits and, with ``max_sketch`` above 0, their sketches
-    differ in at most that many bits.  ``max_bits`` must be below the number of parts.
+def grid_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
+    """Links ``(a, b)`` between distinct fingerprints ``prints(fp long)`` that differ in at most
+    ``max_bits`` bits, as spanning forests of what the tasks found.
     """
-    if max_bits >= PARTS:
-        raise ValueError(f"at most {PARTS - 1} differing bits can be found with {PARTS} parts")
-    carried = ["sketch"] if max_sketch else []
-    rows = points.select("id", "views", *carried).mapInArrow(
-        lambda batches: _placed(batches, carried), "id long, fp long, cell long" + ", sketch binary" * bool(carried)
-    )
-    light = points.select("views").mapInArrow(
-        lambda batches: (b.select(["cell"]) for b in _placed(batches, None)), "cell long"
-    )
-    # only cells above one block: at most rows / BLOCK of them
-    big = stored(light.groupBy("cell").count().filter(F.col("count") > BLOCK), "big-cells")
+    if not 0 <= max_bits <= SEGMENTS - AGREE:
+        raise ValueError(f"max_bits must be from 0 to {SEGMENTS - AGREE}")
+    rows = prints.select("fp").mapInArrow(lambda batches: _placed(batches, max_bits), "fp long, cell long")
+    # only cells above one block: few, as every fingerprint is in a fixed number of cells
+    big = stored(rows.groupBy("cell").count().filter(F.col("count") > BLOCK), "big-cells")
     blocks = F.ceil(F.coalesce("count", F.lit(1)) / BLOCK).cast("int")
     placed = (
         rows.join(sized(big), "cell", "left")
         .withColumn("blocks", blocks)
-        .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("side", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "cell", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"),
-            "side", "id", "fp", *carried,
-        )
+        .select("cell", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "fp")
     )
     grouped = placed.repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi")
-    return grouped.mapInArrow(lambda batches: _links(batches, max_bits, max_sketch), "a long, b long")
+    return grouped.mapInArrow(lambda batches: _links(batches, max_bits), "a long, b long")
 
 
 def simhash_classes(docs: DataFrame, n: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,10 +229,7 @@ def simhash_classes(docs: DataFrame, n: int = 3, max_bits: int = 3, id_col: str
     """
     made = stored(fingerprints(docs, n, text_col, [id_col]).withColumnRenamed(id_col, "id"), "fingerprints")
     least = stored(made.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
-    # a view is read as little-endian; the order of bytes doesn't matter for equality of bits,
-    # only the same order for all
-    points = least.select(F.col("fp").alias("id"), F.expr("to_binary(lpad(hex(fp), 16, '0'), 'hex')").alias("views"))
-    nodes = stored(components(grid_links(points, max_bits)), "nodes")
+    nodes = stored(components(grid_links(least, max_bits)), "nodes")
     linked = nodes.join(least, nodes["node"] == least["fp"]).select("fp", "root", "first")
     classes = linked.groupBy("root").agg(F.min("first").alias("component"))
     known = stored(linked.join(classes, "root").select("fp", "component"), "classes")
