@@ -41,7 +41,8 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master  # "local-cluster[...]" has executors of its own
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="vitrine-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
