@@ -5,6 +5,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from vitrine.llm import mixing
 from vitrine.llm.queries import op2_mixing
@@ -94,3 +95,13 @@ def test_words(spark):
     texts = [None, "", "  ", "a", " a  b\n", "\x0ba\x0cb\tc", "é\x85x y"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(mixing.words_in(df.t)).collect()] == [len((t or "").encode().split()) for t in texts]
+
+
+def test_long_texts_and_ties(spark):
+    """A text of a million words, and rows alike in everything, are dealt as by the plain rule."""
+    docs = [(1, "a", "x " * 1_000_000), (2, "b", "y " * 30)] + [(3, "b", "same words")] * 4 + [(4, None, "z")] * 2
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string").withColumn("row", F.lit(1)).withColumn("cut", F.lit("x"))
+    rows, plan = mixing.mixing_plan(df, max_epochs=2.0)
+    got = sorted([(r.row.id, r.row.source, r.epoch) for r in mixing.realise(rows, plan).collect()], key=repr)
+    assert got == brute(docs, 2.0)
+    assert mixing.mix(df, max_epochs=2.0).columns == df.columns

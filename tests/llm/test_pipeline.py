@@ -1,5 +1,6 @@
 """Stages on each other's output."""
 
+import random
 import re
 from collections import Counter
 
@@ -40,3 +41,36 @@ def test_empty_table(spark, data):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, data)
     assert docs.count() == 0
+
+
+CLASHES = ["row", "th", "cut", "cut_", "__cut", "__row", "epoch", "root", "kept", "cell", "fp", "id", "size", "sketch", "__text", "position"]
+
+
+def test_odd_table(spark, data, tmp_path):
+    """NULL ids and texts, empty and very long texts, repeated rows, and columns with the stages' own names."""
+    random.seed(6)
+
+    def text(n, mark):
+        return " ".join(f"{mark}{random.getrandbits(40):x}" for _ in range(n))
+
+    long = text(30_000, "l")
+    rows = [(i, "a", text(80 + i, "w")) for i in range(12)]
+    rows += [(20, "b", None), (21, "b", ""), (22, None, " \n "), (23, "b", "two words"), (24, None, long), (None, "b", text(90, "n"))]
+    rows += [(25, "c", text(100, "r"))] * 3 + [(26, "a", rows[3][2] + " end"), (27, "a", text(60, "q") + "\n" + text(60, "z"))]
+    odd = [f"own {c}" for c in CLASHES]
+    schema = "doc_id long, source string, text string, n_chars int, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = spark.createDataFrame([(d, s, t, len(t or ""), *odd) for d, s, t in rows], schema)
+    ids, columns = {}, docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, data).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != "encode":
+            assert docs.columns == columns
+        assert docs.select(*[f"`{c}`" for c in CLASHES]).distinct().collect() == [tuple(odd)], name
+        ids[name] = Counter(r.doc_id for r in docs.select("doc_id").collect())
+    good = {*range(12), 24, None, 25, 26, 27}
+    assert set(ids["quality_rules"]) == set(ids["line_dedup"]) | {26} and set(ids["quality_rules"]) == good
+    assert set(ids["near_dedup"]) == good - {26} and set(ids["mix_sources"]) == good - {26}
+    assert all(n <= 2 for n in ids["near_dedup"].values()) and set(ids["encode"]) == good - {26}
+    coded = {r.doc_id: r.decoded for r in docs.select("doc_id", "decoded").collect()}
+    assert coded[24] is not None and len(coded[24]) > 30_000

@@ -171,6 +171,17 @@ def test_chat_examples(spark):
     assert chat.prefix_examples(df.limit(0)).count() == 0
 
 
+def test_chat_long_texts_and_long_conversations(spark):
+    long = "</s>[INST] é\\ " * 40_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long)]
+    rows += [(2, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(600)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.conversation_digest(chat.prefix_examples(df)).collect()}
+    assert (got[1].n_turns, got[1].loss_chars, got[1].loss_sha256) == (2, len(long), sha(long))
+    said = [f"turn {t}" for t in range(1, 600, 2)]
+    assert (got[2].n_turns, got[2].loss_chars, got[2].loss_sha256) == (600, sum(map(len, said)), sha("".join(said)))
+
+
 # -- top-k -------------------------------------------------------------------------
 def slow_topk(rows, k):
     out = []

@@ -95,7 +95,10 @@ def per_text(
     arrow = to_arrow_schema(out)
     names, n_kept = out.names, len(keep)
     at = keep.index(text_col) if text_col in keep else n_kept
-    sent = [df[c] for c in keep] + ([] if text_col in keep else [df[text_col].alias("__text")])
+    own = "__text"
+    while own in {c.lower() for c in keep}:  # a name of its own
+        own += "_"
+    sent = [df[c] for c in keep] + ([] if text_col in keep else [df[text_col].alias(own)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
