@@ -8,6 +8,7 @@ from vitrine.functions import nodes as nd
 from vitrine.operators import labels, profile
 from vitrine.operators.products import extract_products
 from vitrine.operators.images import gallery_counts
+from vitrine.plans.queries import QUERIES
 from vitrine.plans.rules import default_rules
 from vitrine.sources.pages import quarantine
 from vitrine.session import work_folder
@@ -170,6 +171,18 @@ def test_stream_appends_new_files_once(spark, page):
         assert spark.read.parquet(out).count() == count
 
 
+def test_stream_query_reads_a_table_in_a_folder(spark, page, tmp_path):
+    """``pages.parquet`` as a folder of files of any name, as one file, and without rows."""
+    pages = page(*[f"<h1>{i}</h1>" for i in range(9)])
+    pages.repartition(3).write.parquet(f"{tmp_path}/many/pages.parquet")
+    pages.filter("false").write.parquet(f"{tmp_path}/none/pages.parquet")
+    (tmp_path / "one").mkdir()
+    pages.toPandas().to_parquet(f"{tmp_path}/one/pages.parquet")
+    for folder, count in (("many", 9), ("one", 9), ("none", 0)):
+        rows = QUERIES["stream_ingest"](spark, f"{tmp_path}/{folder}").collect()
+        assert sorted(map(tuple, rows)) == [(i, str(i)) for i in range(count)]
+
+
 def test_work_folder_lies_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = work_folder(spark, "x"), work_folder(spark, "x")

@@ -27,7 +27,7 @@ from vitrine.sinks.write import (
 )
 from vitrine.sources.pages import embedded_json, load_pages, quarantine
 from vitrine.sources.taxonomy import all_mains, category_paths, subcategories
-from vitrine.streaming.ingest import ingest, ingest_records, read_page_stream
+from vitrine.streaming.ingest import ingest, ingest_records, read_page_stream, read_table_stream
 
 BASE = rendered.BASE
 RULES = rendered.RULES
@@ -163,12 +163,13 @@ def first_search_hit(spark, folder):
 
 
 def stream_ingest(spark, folder):
-    schema = _table(spark, folder, "pages").schema
-    stream = read_page_stream(spark, folder, schema, glob="pages*.parquet")
+    pages = _table(spark, folder, "pages")
+    stream = read_table_stream(spark, f"{folder}/pages.parquet", pages.schema)
     out, log = work_folder(spark, "ingest"), work_folder(spark, "ingest-log")
-    run = ingest(stream, lambda pages: profile.first_headings(pages, RULES), out, log)
+    run = ingest(stream, lambda batch: profile.first_headings(batch, RULES), out, log)
     run.awaitTermination()
-    return spark.read.parquet(out).select("page_id", "name")
+    schema = profile.first_headings(pages, RULES).schema
+    return spark.read.schema(schema).parquet(out).select("page_id", "name")
 
 
 # -- other given tables -------------------------------------------------------

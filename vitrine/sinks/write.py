@@ -88,6 +88,9 @@ class Folder:
     def exists(self) -> bool:
         return self._files.exists(self.path)
 
+    def is_folder(self) -> bool:
+        return self.exists() and self._files.getFileStatus(self.path).isDirectory()
+
     def names(self) -> list[str]:
         return [entry.getPath().getName() for entry in self._files.listStatus(self.path)]
 

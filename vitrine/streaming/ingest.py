@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vitrine.operators.products import records_and_failures
 from vitrine.plans.rules import Rules
-from vitrine.sinks.write import write_outcomes
+from vitrine.sinks.write import Folder, write_outcomes
 
 
 def read_page_stream(
@@ -24,6 +24,14 @@ def read_page_stream(
     )
 
 
+def read_table_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
+    """Stream of page rows from the table at ``path``: a folder of files, whatever their names, or one file."""
+    if Folder(spark, path).is_folder():
+        return read_page_stream(spark, path, schema, "*", files_per_batch)
+    folder, _, name = path.rpartition("/")  # a stream reads folders only
+    return read_page_stream(spark, folder, schema, name, files_per_batch)
+
+
 def ingest(
     pages: DataFrame, project: Callable[[DataFrame], DataFrame], table: str, checkpoint: str
 ) -> StreamingQuery:
