@@ -175,3 +175,22 @@ def test_block_edits_against_brute_force(spark):
         want.setdefault(r, set()).add(doc)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
     assert len(want) < 0.7 * len(texts)
+
+
+def test_near_copies_are_found_by_fingerprints(spark, monkeypatch):
+    """Without a band in common, texts join exactly where the grid join links their fingerprints."""
+    random.seed(9)
+    base = [[f"w{random.randrange(9000)}" for _ in range(1500)] for _ in range(40)]
+    texts = [" ".join(w) for words in base for w in (words, [*words[:700], "edited", *words[701:]])]
+    sets = [simhash.shingle_set(t) for t in texts]
+    prints = [simhash.fingerprint_of(s) % 2**64 for s in sets]
+    near = [(prints[i] ^ prints[i + 1]).bit_count() <= 3 for i in range(0, len(texts), 2)]
+    assert 10 < sum(near) < 40
+    # bands made of the whole set: no two sets share one
+    own = lambda parts: b"".join(xxhash.xxh64_digest(parts.tobytes(), seed) for seed in range(32))
+    monkeypatch.setattr(simhash, "bands", own)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = {}
+    for row in simhash.near_duplicate_classes(df).collect():
+        groups.setdefault(row.root, set()).add(row.doc)
+    assert [any({2 * i, 2 * i + 1} <= g for g in groups.values()) for i in range(40)] == near

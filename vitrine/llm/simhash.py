@@ -72,10 +72,14 @@ def bit_counts(values: np.ndarray) -> np.ndarray:
 
 def fingerprint(text: str | bytes | None, n: int = 3) -> int:
     """The 64-bit SimHash of the n-word shingles, as a signed number."""
-    items = shingles(words_of(text), n)
-    if not items:
+    return fingerprint_of(hashes(shingles(words_of(text), n)))
+
+
+def fingerprint_of(values: np.ndarray) -> int:
+    """The SimHash of 64-bit hashes, as a signed number."""
+    if not len(values):
         return 0
-    ones = bit_counts(hashes(items).reshape(-1, 1)) * 2 > len(items)
+    ones = bit_counts(values.reshape(-1, 1)) * 2 > len(values)
     return int(np.packbits(ones).view(">i8")[0])
 
 
@@ -406,11 +410,14 @@ def _similar(batches: Iterator[pa.RecordBatch], similarity: float, exact: bool)
     yield from out()
 
 
-def _similar_links(rows: DataFrame, big: DataFrame, similarity: float, exact: bool = False) -> DataFrame:
-    """``a, b, sure`` of ``rows(cell, id, ...)``; ``big`` (stored) has the ``cell, blocks`` above one block."""
+def _similar_links(rows: DataFrame, big: DataFrame, similarity: float, exact: bool = False, how: str = "left") -> DataFrame:
+    """``a, b, sure`` of ``rows(cell, id, ...)``; ``big`` (stored) has the ``cell, blocks`` above one block.
+
+    With ``how`` as ``inner``, ``big`` has all cells to be looked at.
+    """
     columns = [c for c in rows.columns if c != "cell"]
     placed = (
-        rows.join(sized(big), "cell", "left")
+        rows.join(sized(big), "cell", how)
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -426,10 +433,13 @@ def near_duplicate_classes(
     """``doc, th, root``: id (NULL as the least long), text hash and class of every row.
 
     Two texts are linked if their n-word shingles have a Jaccard similarity of at least
-    ``similarity``.  Candidates share a band of least hashes, which depends on the
-    similarity alone and not on where the texts differ.  Their sketches tell clear pairs
-    from clear strangers, ``DEVIATIONS`` standard errors off; where what lies between could
-    still join two classes, the shingles themselves are counted.
+    ``similarity``.  Candidates are found first by SimHash fingerprints, linked through the
+    popcount grid as in ``simhash_classes``.  Texts edited in one long passage lie more bits
+    apart; they share a band of least hashes, which depends on the similarity alone and not on
+    where the texts differ, so bands are looked at where they hold several of the classes
+    found so far.  Sketches tell clear pairs from clear strangers, ``DEVIATIONS`` standard
+    errors off; where what lies between could still join two classes, the shingles
+    themselves are counted.
     """
     keyed = docs.select(
         F.coalesce(docs[id_col], F.lit(-(2**63))).cast("long").alias("doc"),
@@ -441,17 +451,24 @@ def near_duplicate_classes(
         def work(texts: list) -> dict[str, list]:
             sets = [shingle_set(t, n) for t in texts]
             ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], U).view(np.int64)
-            return {"id": ids, "bands": [bands(s) for s in sets]}
+            return {"id": ids, "fp": [fingerprint_of(s) for s in sets], "bands": [bands(s) for s in sets]}
         return work
 
-    made = stored(per_text(keyed, "text", "id long, bands binary", shown, ["doc", "th"], True), "bands")
+    made = stored(per_text(keyed, "text", "id long, fp long, bands binary", shown, ["doc", "th"], True), "bands")
     # texts of equal shingles are one point
     rows = stored(made.select("doc", "th", "id"), "points-of-rows")
-    points = stored(made.groupBy("id").agg(F.first("bands").alias("bands")), "points")
+    points = stored(made.groupBy("id").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "points")
     drop_stored(made)
+    # points of one fingerprint class, as found by the grid join, share a cell
+    prints = stored(points.select("fp").distinct(), "distinct-fingerprints")
+    linked = stored(components(grid_links(prints)), "fingerprint-classes")
+    printed = points.select("id", "fp").join(sized(linked), points["fp"] == linked["node"], "left")
+    printed = stored(printed.select(F.coalesce("root", "fp").alias("cell"), "id"), "fingerprint-cells")
+    alike = stored(printed.groupBy("cell").count().filter("count > 1").select("cell"), "shared-fingerprints")
+    printed = stored(printed.join(sized(alike), "cell", "left_semi"), "alike")
     cells = points.mapInArrow(lambda batches: _banded(batches, ["id"]), "cell long, id long")
     shared = stored(cells.groupBy("cell").count().filter("count > 1").select("cell"), "shared-cells")
-    near = stored(cells.join(sized(shared), "cell", "left_semi").select("id").distinct(), "paired")
+    near = stored(cells.join(sized(shared), "cell", "left_semi").select("id").union(printed.select("id")).distinct(), "paired")
     # one row for each point that has a partner
     first = F.min(F.struct("doc", "th")).alias("first")
     shown_by = rows.join(sized(near), "id", "left_semi").groupBy("id").agg(first)
@@ -468,11 +485,19 @@ def near_duplicate_classes(
     close = per_text(some, "text", "size int, sketch binary, bands binary", measure(False), ["id"], True)
     close = stored(close, "sketches").dropDuplicates(["id"])
     carried = ["id", "size", "sketch"]
+    blocks = F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    big = stored(printed.groupBy("cell").agg(blocks).filter("blocks > 1"), "big-cells")
+    by_print = stored(_similar_links(close.join(sized(printed), "id").select("cell", *carried), big, similarity), "links-by-fingerprint")
+    # a band whose points are one class by now has nothing to add
+    known = stored(components(by_print.filter("sure")), "known")
+    known = close.select("id", "bands").join(sized(known), F.col("id") == F.col("node"), "left")
+    known = known.select("bands", F.coalesce("root", "id").alias("class"))
+    light = known.mapInArrow(lambda batches: _banded(batches, ["class"]), "cell long, class long")
+    open_cells = light.groupBy("cell").agg(blocks, F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y")
+    open_cells = stored(open_cells.select("cell", "blocks"), "open-cells")
     banded = close.mapInArrow(lambda batches: _banded(batches, carried), "cell long, id long, size int, sketch binary")
-    light = close.select("bands").mapInArrow(lambda batches: _banded(batches, []), "cell long")
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")
-    big = stored(light.groupBy("cell").count().filter(F.col("count") > BLOCK).select("cell", blocks), "big-cells")
-    links = stored(_similar_links(banded, big, similarity), "links")
+    by_band = stored(_similar_links(banded, open_cells, similarity, how="inner"), "links-by-band")
+    links = by_print.union(by_band)
     # only a group of possible links that holds several sure classes is open
     sure = components(links.filter("sure")).select(F.col("node").alias("member"), F.col("root").alias("class"))
     loose = components(links)
