@@ -11,7 +11,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from vitrine.functions.sql import Sql, first, first_of, let, lit, lower_bound
-from vitrine.sources.htmltree import Keep
+from vitrine.sources.htmltree import Keep, Own
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,7 @@ class Sel:
     attr_head: tuple[tuple[str, str], ...] = ()
     inside: "Sel | None" = None  # some ancestor matches
     child_of: "Sel | None" = None  # the parent matches
+    number: int | None = None  # the parse step lists its matches in ``hits`` at this place
 
     def on(self, n: str) -> Sql:
         """Predicate for the node bound to lambda variable ``n``, without ancestors."""
@@ -44,6 +45,13 @@ class Sel:
         tests += [f"startswith({attr(n, name)}, {lit(value)})" for name, value in self.attr_head]
         return "(" + " AND ".join(tests) + ")"
 
+    def own(self) -> Own:
+        """The conditions of :meth:`on`, for the parse step."""
+        tokens = tuple(f" {token} " for token in self.classes)
+        exact = None if self.cls_exact is None else f" {self.cls_exact} "
+        parts = tokens if self.cls_part is None else (*tokens, self.cls_part)
+        return Own(self.tag, parts, exact, self.attr_is, self.attr_part, self.attr_head)
+
     def keep(self) -> Keep:
         """A necessary condition for a match, as a parse-step filter."""
         names = frozenset(n for n, _ in self.attr_is + self.attr_part + self.attr_head)
@@ -125,8 +133,16 @@ def text_of(n: str) -> Sql:
 
 
 def find_all(sel: Sel, var: str = "n", nodes: Sql = "nodes") -> Sql:
-    """All matches in document order; the ancestors are looked up once."""
+    """All matches in document order; the ancestors are looked up once.
+
+    Of a selector with a number only the nodes that the parse step lists for it are looked at.
+    """
     up = var + "_up"
+    if sel.number is not None and nodes == "nodes":
+        listed = f"transform(get(hits, {sel.number}), at -> get(nodes, at))"
+        if sel.inside is None and sel.child_of is None:
+            return listed
+        nodes = listed
     if sel.inside is not None:
         # inside one of them: more start than end before the node
         inside = f"{lower_bound(up, f'{var}.pre', '.pre')} > {lower_bound(f'{up}_ends', f'{var}.pre')}"

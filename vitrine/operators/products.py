@@ -305,6 +305,7 @@ def parse_for(pages: DataFrame, rules: Rules, fields: Iterable[str], carry: Iter
     their own, so that each is computed once per page however many fields use it.
     """
     fields = set(fields)
+    rules, selectors = rules.numbered()
     parsed = parse_pages(
         pages,
         record_keep(rules, fields),
@@ -314,6 +315,7 @@ def parse_for(pages: DataFrame, rules: Rules, fields: Iterable[str], carry: Iter
         markup_keep=nd.keep_for(rules.content_box, *rules.content_fallbacks),
         json_keys=rules.brand_keys if "brand" in fields else (),
         with_text=bool(fields - _WITHOUT_TEXT),
+        selectors=[sel.own() for sel in selectors],
     )
     # each stage may use the columns of the stages before it
     stages: list[dict[str, Sql]] = [{}, {}, {}, {}]
@@ -350,6 +352,7 @@ def extract_fields(
     fields = [f for f in fields if f in FIELDS]
     carry = list(carry)
     parsed = parse_for(pages, rules, fields, carry)
+    rules, _ = rules.numbered()
     values = [f"{FIELDS[f].value(rules)} AS {f}" for f in fields]
     return parsed.selectExpr(*carry, *values, "parse_error")
 

@@ -7,7 +7,7 @@ other values, not other code.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 
 from vitrine.functions.nodes import Sel, attr_head, attr_is, cls, cls_part, tag
 
@@ -117,6 +117,24 @@ class Rules:
     grid: Sel = Sel(label="grid", tag="div", classes=("grid", "grid-cols-2", "md:grid-cols-4"))
     item_suffix: str = ".html"
 
+    def numbered(self) -> tuple["Rules", list[Sel]]:
+        """These rules with a number in each selector, and the selectors by number."""
+        sels: dict[Sel, int] = {}
+
+        def number(sel: Sel) -> Sel:
+            around = {n: number(s) for n in ("inside", "child_of") if (s := getattr(sel, n))}
+            bare = replace(sel, label="", inside=None, child_of=None, number=None)
+            return replace(sel, **around, number=sels.setdefault(bare, len(sels)))
+
+        changed = {}
+        for spec in fields(self):
+            value = getattr(self, spec.name)
+            if isinstance(value, Sel):
+                changed[spec.name] = number(value)
+            elif isinstance(value, tuple) and value and all(isinstance(v, Sel) for v in value):
+                changed[spec.name] = tuple(map(number, value))
+        return replace(self, **changed), list(sels)
+
 
 def default_rules(base_url: str, image_cdn: str, image_host: str) -> Rules:
     """Default rules for a site at ``base_url`` whose JSON names images on ``image_cdn``.

@@ -21,6 +21,7 @@ from vitrine.sources.htmltree import (
     TAG,
     TEXT,
     Keep,
+    Own,
     TreeBuilder,
 )
 
@@ -34,8 +35,8 @@ NODE_FIELDS = (
 )
 NODES_DDL = f"array<struct<{NODE_FIELDS.replace(' int', ':int').replace(' string', ':string').replace(' map', ':map')}>>"
 JSON_HITS_DDL = "array<struct<pre:int,linked:boolean,value:string,failed:boolean>>"
-OUTPUTS = ("text", "markup", "nodes", "json_hits", "parse_error")
-_DDL = {"nodes": NODES_DDL, "json_hits": JSON_HITS_DDL}
+OUTPUTS = ("text", "markup", "nodes", "json_hits", "hits", "parse_error")
+_DDL = {"nodes": NODES_DDL, "json_hits": JSON_HITS_DDL, "hits": "array<array<int>>"}
 
 _INT, _STR = pa.int32(), pa.string()
 _NODE_TYPES = [
@@ -70,13 +71,15 @@ def parse_pages(
     markup_keep: Keep = ALL_NODES,
     json_keys: Iterable[str] = (),
     with_text: bool = True,
+    selectors: Iterable[Own] = (),
 ) -> DataFrame:
     """Parse every page once.
 
     Output: the ``carry`` columns, ``text`` (all visible text, only ``with_text``), ``markup``
     (re-serialised elements let through by ``markup_keep``, only with
     ``markup_attrs``), ``nodes`` (filtered by
-    ``keep``), ``json_hits`` (only with ``json_keys``) and ``parse_error``, which
+    ``keep``), ``json_hits`` (only with ``json_keys``), ``hits`` (per entry of ``selectors`` the places
+    of its elements in ``nodes``) and ``parse_error``, which
     is NULL for a good page.  A bad page is a row, never an exception.  What is not asked for is
     neither built nor sent back from Python.
 
@@ -86,7 +89,8 @@ def parse_pages(
     carry = list(carry)
     source = pages.select(*carry, html_text(F.col(html)).alias("_html"))
     keys = tuple(json_keys)
-    asked = {"text": with_text, "markup": markup_attrs is not None, "json_hits": bool(keys)}
+    selectors = tuple(selectors)
+    asked = {"hits": bool(selectors), "text": with_text, "markup": markup_attrs is not None, "json_hits": bool(keys)}
     outputs = tuple(name for name in OUTPUTS if asked.get(name, True))
     fields = [source.schema[name] for name in carry]
     fields += [T.StructField(name, T.DataType.fromDDL(_DDL.get(name, "string"))) for name in outputs]
@@ -96,6 +100,7 @@ def parse_pages(
         "markup_skip": tuple(markup_skip),
         "markup_keep": markup_keep,
         "with_text": with_text,
+        "selectors": selectors,
     }
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +117,7 @@ def _parse_batch(builder, batch, carry, keys, outputs=OUTPUTS):
     for index in range(batch.num_rows):
         row = _parse_one(builder, sources[index].as_py(), keys)
         rows.append(row)
-        chars += row[5]
+        chars += row[6]
         if chars >= _FLUSH_CHARS:
             yield _to_arrow(batch.slice(start, len(rows)), carry, rows, outputs)
             start, chars, rows = index + 1, 0, []
@@ -121,13 +126,13 @@ def _parse_batch(builder, batch, carry, keys, outputs=OUTPUTS):
 
 
 def _parse_one(builder, html, keys):
-    """(text, markup, nodes, json hits, error, size) of one page."""
+    """(text, markup, nodes, json hits, selector hits, error, size) of one page."""
     if html is None:
-        return "", "", [], [], "no html", 0
+        return "", "", [], [], builder.no_hits(), "no html", 0
     try:
         tree = builder.build(html)
     except Exception as error:  # noqa: BLE001 - a bad page is data, not a failure
-        return "", "", [], [], f"{type(error).__name__}: {error}", len(html)
+        return "", "", [], [], builder.no_hits(), f"{type(error).__name__}: {error}", len(html)
     hits = []
     if keys:
         for node in tree.nodes:
@@ -136,17 +141,18 @@ def _parse_one(builder, html, keys):
                 if kind == JSON_TYPE or kind == LINKED_JSON_TYPE:
                     value, failed = search_script(node[TEXT], keys)
                     hits.append((node[PRE], kind == LINKED_JSON_TYPE, value, failed))
-    return tree.text, tree.markup, tree.nodes, hits, None, len(html)
+    return tree.text, tree.markup, tree.nodes, hits, tree.hits, None, len(html)
 
 
 def _to_arrow(carried, carry, rows, outputs):
-    text, markup, nodes, hits, errors, _ = zip(*rows)
+    text, markup, nodes, hits, places, errors, _ = zip(*rows)
     columns = [carried.column(index) for index in range(len(carry))]
     made = {
         "text": lambda: pa.array(text, _STR),
         "markup": lambda: pa.array(markup, _STR),
         "nodes": lambda: _nested(nodes, _NODE_ARROW, NODE_WIDTH),
         "json_hits": lambda: _nested(hits, _HIT_ARROW, len(_HIT_ARROW)),
+        "hits": lambda: pa.array(places, pa.list_(pa.list_(_INT))),
         "parse_error": lambda: pa.array(errors, _STR),
     }
     columns += [made[name]() for name in outputs]
