@@ -50,7 +50,7 @@ _HIT_ARROW = [
     pa.field("value", _STR), pa.field("failed", pa.bool_()),
 ]
 # Output is flushed after this much HTML, so one batch of huge pages stays small.
-_FLUSH_CHARS = 8 << 20
+_FLUSH_CHARS = 1 << 20
 
 JSON_TYPE = "application/json"
 LINKED_JSON_TYPE = "application/ld+json"
