@@ -89,8 +89,9 @@ def _images(rules: Rules) -> list[Sql]:
 
 def _content(rules: Rules) -> list[Sql]:
     sels = (rules.content_box, *rules.content_fallbacks)
-    tests = [f"if(exists(nodes, n -> {sel.on('n')}), {content.content(rules)}, NULL)" for sel in sels]
-    return _chain([(sel.label, test) for sel, test in zip(sels, tests)])
+    tries = [f"if(size({nd.find_all(sel)}) > 0, {_found(str(i), lit(sel.label), 'c')}, NULL)" for i, sel in enumerate(sels)]
+    # bound to a variable, so the markup is cut once and not per rule
+    return [let("c", content.content(rules), f"if(c IS NULL, NULL, {coalesce(tries)})")]
 
 
 def chains(rules: Rules) -> dict[str, Sql]:
@@ -127,7 +128,7 @@ def winning_rules(pages: DataFrame, rules: Rules) -> DataFrame:
     Fields that no rule decided give no row.  One parse, no shuffle.
     """
     parsed = parse_for(usable_pages(pages), rules, EXTRACTED, ("page_id", "url")).filter(F.col("parse_error").isNull())
-    won = chains(rules)
+    won = chains(rules.numbered()[0])
     # the structs are columns of their own, so that each is computed once
     fields = parsed.selectExpr("page_id", "url", *[f"{value} AS {field}" for field, value in won.items()])
     rows = ", ".join(f"struct({lit(f)} AS field, {f}.rule_idx, {f}.rule, {f}.value)" for f in won)
