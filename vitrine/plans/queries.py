@@ -454,7 +454,9 @@ def stream_records(spark, folder):
     pages = _with_faults(_items(spark, folder))
 
     def drop(number):
-        pages.filter(F.col("page_id") % 3 == number).write.mode("append").parquet(drops)
+        # a file a core, in row groups that let a batch of few files keep all cores busy
+        some = pages.filter(F.col("page_id") % 3 == number).coalesce(spark.sparkContext.defaultParallelism)
+        some.write.mode("append").option("parquet.block.size", 16 << 20).parquet(drops)
 
     def catch_up():
         stream = read_page_stream(spark, drops, pages.schema, files_per_batch=8)

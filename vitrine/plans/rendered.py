@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vitrine.plans.rules import Rules, default_rules
-from vitrine.session import spread
+from vitrine.session import even, spread
 
 BASE = "https://shop.example"
 CDN = "https://cdn.shop.example"
@@ -137,7 +137,7 @@ def product_pages(part: DataFrame) -> DataFrame:
         "concat('<!DOCTYPE html><html><head><title>', p_name, '</title></head><body>', "
         f"{body}, '</body></html>')"
     )
-    return spread(part, "p_partkey").selectExpr(
+    return even(part, "p_partkey").selectExpr(
         "p_partkey AS page_id", f"{ITEM_URL} AS url", f"{html} AS html"
     )
 
